@@ -137,13 +137,15 @@ def sum_money(c: Column | str) -> Column:
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:
     """100 * part / whole on decimals, rounded half up; NULL when whole is zero."""
     num = part.cast("decimal(20,2)") * F.lit(100).cast("decimal(3,0)")
-    return F.round(num / F.nullif(whole.cast("decimal(20,2)"), F.lit(0).cast("decimal(20,2)")), digits)
+    share = num / F.nullif(whole.cast("decimal(20,2)"), F.lit(0).cast("decimal(20,2)"))
+    return F.round(share, digits).cast(f"decimal(18,{digits})")
 
 
 def ratio(num: Column, den: Column, digits: int = 2) -> Column:
     """num / den on decimals, rounded half up; NULL when den is zero."""
     zero = F.lit(0).cast("decimal(20,2)")
-    return F.round(num.cast("decimal(20,2)") / F.nullif(den.cast("decimal(20,2)"), zero), digits)
+    quotient = num.cast("decimal(20,2)") / F.nullif(den.cast("decimal(20,2)"), zero)
+    return F.round(quotient, digits).cast(f"decimal(18,{digits})")
 
 
 def weighted_mean(mean: Column | str, weight: Column | str, digits: int = 2) -> Column:
@@ -152,7 +154,7 @@ def weighted_mean(mean: Column | str, weight: Column | str, digits: int = 2) ->
     top = F.sum((m * w.cast("decimal(18,0)")).cast("decimal(28,2)"))
     bottom = F.sum(F.when(m.isNotNull(), w).otherwise(F.lit(0)))
     den = F.nullif(bottom, F.lit(0).cast("bigint")).cast("decimal(20,0)")
-    return F.round(top / den, digits)
+    return F.round(top / den, digits).cast(f"decimal(18,{digits})")
 
 
 def sum_where(value: Column | str, condition: Column) -> Column:

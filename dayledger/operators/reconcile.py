@@ -107,8 +107,8 @@ def fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Each row gives an md5; its first 15 hex digits are summed exactly as integers, so every
     partition contributes one partial sum. Equal sets give equal sums; duplicates count.
     """
-    text = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns])
-    part = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(20,0)")
+    text = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns])
+    part = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(28,0)")
     return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(part).cast("string").alias("fingerprint"))
 
 
