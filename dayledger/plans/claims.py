@@ -300,8 +300,9 @@ def request_quarantine(requests: DataFrame, answers: DataFrame, amounts: DataFra
     return quarantine(rows, "entente_prealable", F.col(key).cast("string"), rules, raw, mode)
 
 
-def person_rules(as_of: Column) -> list[Rule]:
-    """``as_of`` is the day the ages are judged on; pass a literal for results that do not drift."""
+def person_rules(as_of: str | None = None) -> list[Rule]:
+    """``as_of`` is the day ages are judged on (today if not given); a fixed day does not drift."""
+    today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
     name, secu, birth = F.col("ASSURE_NOM"), F.col("NUMERO_SECU"), F.col("date_naissance")
     broken = name.contains("?") | name.contains("Ã") | name.contains("Â")
     return [
@@ -311,20 +312,19 @@ def person_rules(as_of: Column) -> list[Rule]:
         Rule("NUMERO_SECU_INVALIDE", "IDENTITE",
              (F.char_length(secu) != SECU_LENGTH) | ~secu.startswith(SECU_PREFIX)),
         Rule("DATE_NAISSANCE_ABERRANTE", "IDENTITE",
-             (birth > as_of) | (birth < F.add_months(as_of, -12 * MAX_AGE_YEARS))),
+             (birth > today) | (birth < F.add_months(today, -12 * MAX_AGE_YEARS))),
     ]
 
 
-def person_quarantine(persons: DataFrame, as_of: Column | None = None, mode: str = "first") -> DataFrame:
+def person_quarantine(persons: DataFrame, as_of: str | None = None, mode: str = "first") -> DataFrame:
     raw = {
         "personne_uuid": "PERSONNE_UUID", "assure_numero_identifiant": "ASSURE_NUMERO_IDENTIFIANT",
         "numero_secu": "NUMERO_SECU", "assure_nom": "ASSURE_NOM", "assure_prenoms": "ASSURE_PRENOMS",
         "assure_date_naissance": F.col("date_naissance").cast("string")}
-    rules = person_rules(F.current_date() if as_of is None else as_of)
-    return quarantine(persons, "assure", F.col("PERSONNE_UUID"), rules, raw, mode)
+    return quarantine(persons, "assure", F.col("PERSONNE_UUID"), person_rules(as_of), raw, mode)
 
 
-def quarantine_table(src: Sources, as_of: Column | None = None, mode: str = "first") -> DataFrame:
+def quarantine_table(src: Sources, as_of: str | None = None, mode: str = "first") -> DataFrame:
     """All domains, one row per flagged row and reason."""
     return stack([
         service_quarantine(raw_services(src), mode=mode),
@@ -336,7 +336,7 @@ def quarantine_table(src: Sources, as_of: Column | None = None, mode: str = "fir
     ])
 
 
-def all_tables(src: Sources, as_of: Column | None = None) -> dict[str, DataFrame]:
+def all_tables(src: Sources, as_of: str | None = None) -> dict[str, DataFrame]:
     """Every target table of the plan."""
     return {**kpi_tables(src), **dimension_tables(src), "qualite_anomalies": quarantine_table(src, as_of)}
 

@@ -151,7 +151,7 @@ def quarantine_persons(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.when(F.col("c_acctbal") < 0, "384").otherwise("394"), digits, F.lit("1")).alias("NUMERO_SECU"),
         name.alias("ASSURE_NOM"), F.lit(None).cast("string").alias("ASSURE_PRENOMS"),
         F.date_add(F.lit("1895-01-01").cast("date"), (key % 43000).cast("int") * 30).alias("date_naissance"))
-    return quality.without_raw_row(claims.person_quarantine(rows, F.lit(star.AS_OF).cast("date")))
+    return quality.without_raw_row(claims.person_quarantine(rows, star.AS_OF))
 
 
 @query("""SELECT 'agent' AS domaine, 'EMAIL_INVALIDE' AS motif_anomalie, 'FORMAT' AS famille,
@@ -428,7 +428,7 @@ def stage_latency(spark: SparkSession, d: str) -> DataFrame:
 @query("""WITH a AS (SELECT event_id, ts, row_number() OVER (ORDER BY ts, event_id) AS k FROM events WHERE event_type = 'signup'),
   s AS (SELECT ts + INTERVAL 90 SECOND AS seen, count(*) FILTER (WHERE event_type = 'signup') OVER (ORDER BY ts, event_id) + 100 AS c FROM events)
   SELECT a.event_id, a.ts, a.k, min(s.seen) AS seen_at, epoch_us(min(s.seen)) - epoch_us(a.ts) AS delay_us
-  FROM a JOIN (SELECT c, min(seen) AS seen FROM s GROUP BY 1) s ON s.c >= a.k + 100 GROUP BY ALL""")
+  FROM a JOIN (SELECT c, min(seen) AS seen FROM s GROUP BY 1) s ON s.c >= a.k + 100 GROUP BY a.event_id, a.ts, a.k""")
 def kth_arrival(spark: SparkSession, d: str) -> DataFrame:
     """Arrivals = signups; samples = running signup counter seen 90 s after every event."""
     events = table(spark, d, "events").select("event_id", "ts", "event_type")

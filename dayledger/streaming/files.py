@@ -27,6 +27,17 @@ def numbered(spark: SparkSession, path: str, label: str) -> list[int]:
     return sorted(done)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete one folder of a target table."""
+    fs, jpath = _fs(spark, path)
+    fs.delete(jpath, True)
+
+
+def has(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _fs(spark, path)
+    return bool(fs.exists(jpath))
+
+
 class WriterBusy(RuntimeError):
     """Another job already writes to the same target tables."""
 
@@ -37,7 +48,7 @@ def acquire(spark: SparkSession, root: str, owner: str) -> None:
     Two jobs on the same tables corrupt them, so a second owner is refused. A job that restarts
     under its own name may claim again.
     """
-    path = f"{root}/_writer"
+    path = f"{root}/writer.lock"
     fs, jpath = _fs(spark, path)
     try:
         stream = fs.create(jpath, False)
@@ -50,7 +61,7 @@ def acquire(spark: SparkSession, root: str, owner: str) -> None:
 
 
 def release(spark: SparkSession, root: str, owner: str) -> None:
-    path = f"{root}/_writer"
+    path = f"{root}/writer.lock"
     fs, jpath = _fs(spark, path)
     if fs.exists(jpath) and "\n".join(r.value for r in spark.read.text(path).collect()) == owner:
         fs.delete(jpath, False)

@@ -9,11 +9,14 @@ source positions.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -32,6 +35,14 @@ INVOICE_KEY, REQUEST_KEY = "FACTURE_NUMERO", "ENTENTE_PREALABLE_ID"
 _ORDER_TYPE = T.StructType([T.StructField("lsn", T.LongType()), T.StructField("offset", T.LongType())])
 
 
+@dataclass
+class _Part:
+    """What one family of sources adds in a batch: writes, and (before, after) quarantine rows."""
+
+    writes: list[Callable[[], None]]
+    flagged: list[tuple[DataFrame, DataFrame]] = field(default_factory=list)
+
+
 @dataclass
 class Ledger:
     """All tables under one root folder."""
@@ -40,8 +51,9 @@ class Ledger:
     root: str
     buckets: int = 16
     history: bool = True
-    as_of: Column | None = None
+    as_of: str | None = None
     compact_every: int | None = None
+    parallel_jobs: int = 8
     _cached: list[DataFrame] = field(default_factory=list)
 
     # -- tables --------------------------------------------------------------------------------
@@ -109,22 +121,22 @@ class Ledger:
                 new: dict[str, DataFrame]) -> DataFrame:
         return stack([build(old).withColumn("_sign", F.lit(-1)), build(new).withColumn("_sign", F.lit(1))])
 
-    def _append_sums(self, rows: DataFrame, names: Iterable[str], batch: int) -> None:
+    def _sum_writes(self, rows: DataFrame, names: Iterable[str], batch: int) -> list[Callable[[], None]]:
         tables = self.sum_tables()
-        for name in names:
-            table, inputs = tables[name]
-            table.append_signed(rows, inputs, batch)
+        return [partial(table.append_signed, rows, inputs, batch) for table, inputs in (tables[n] for n in names)]
 
-    def _append_quarantine(self, old: list[DataFrame], new: list[DataFrame]) -> DataFrame | None:
-        if not new:
-            return None
+    def _quarantine_writes(self, pairs: list[tuple[DataFrame, DataFrame]], batch: int) -> list[Callable[[], None]]:
+        """Upsert what the batch's rows are flagged for; in current mode, remove what no longer is."""
+        if not pairs:
+            return []
         keys = list(claims.TABLE_KEYS["qualite_anomalies"])
-        found = self._hold(stack(new))
+        found = self._hold(stack([new for _, new in pairs]))
         rows = found.withColumn("_deleted", F.lit(False))
         if not self.history:
-            gone = stack(old).join(found.select(*keys), keys, "left_anti")
+            gone = stack([old for old, _ in pairs]).join(found.select(*keys), keys, "left_anti")
             rows = rows.unionByName(gone.withColumn("_deleted", F.lit(True)))
-        return rows.withColumn("detecte_le", F.current_timestamp())
+        rows = rows.withColumn("detecte_le", F.current_timestamp())
+        return [partial(upsert_by_key, self.quarantine(), rows, batch)]
 
     def process(self, raw: DataFrame, batch: int) -> None:
         """Apply one batch of raw change events. Applying the same batch again changes nothing."""
@@ -133,85 +145,114 @@ class Ledger:
         raw = self._hold(raw)
         try:
             seen = {r.topic for r in raw.select("topic").distinct().collect()}
-            names = [n for n, s in SPECS.items() if s.table in seen]
-            changes = {}
-            for name in names:
-                spec = SPECS[name]
-                events = cdc.parse_envelope(raw.where(F.col("topic") == spec.table), spec)
-                changes[name] = self._hold(cdc.normalize_changelog(events, spec.keys, keep_deletes=True))
-                self.state(name).append(changes[name], batch)
-            old_bad, new_bad = self._apply(changes, batch)
-            rows = self._append_quarantine(old_bad, new_bad)
-            if rows is not None:
-                upsert_by_key(self.quarantine(), rows, batch)
-            if self.compact_every and (batch + 1) % self.compact_every == 0:
-                self.compact(batch + 1)
+            changes = {n: self._hold(self._changes(raw, n)) for n, s in SPECS.items() if s.table in seen}
+            with ThreadPoolExecutor(self.parallel_jobs) as pool:
+                def together(calls: Iterable[Callable]) -> list:
+                    return list(pool.map(lambda call: call(), calls))
+
+                together(partial(self.state(n).append, df, batch) for n, df in changes.items())
+                parts = [p for p in together(partial(f, changes, batch) for f in self._families()) if p]
+                writes = [w for part in parts for w in part.writes]
+                writes += self._quarantine_writes([pair for part in parts for pair in part.flagged], batch)
+                together(writes)
             # Last: readers and a restarted job see the batch only once all of it is written.
             self.spark.range(1).write.mode("overwrite").parquet(f"{self.root}/done/batch={batch}")
+            if self.compact_every and (batch + 1) % self.compact_every == 0:
+                self.compact(batch + 1)
         finally:
             while self._cached:
                 self._cached.pop().unpersist()
 
-    def _both(self, family: Iterable[str], touched: DataFrame, batch: int) -> list[dict[str, DataFrame]]:
-        """Rows of the touched keys before and after this batch."""
-        return [{n: self._hold(self.source(n, before, touched)) for n in family} for before in (batch, batch + 1)]
+    def _changes(self, raw: DataFrame, name: str) -> DataFrame:
+        """Last change per key of one source within the batch."""
+        spec = SPECS[name]
+        events = cdc.parse_envelope(raw.where(F.col("topic") == spec.table), spec)
+        return cdc.normalize_changelog(events, spec.keys, keep_deletes=True)
 
-    def _touched(self, changes: dict[str, DataFrame], family: Iterable[str], key: str) -> DataFrame | None:
+    def _before_after(self, changes: dict[str, DataFrame], family: Iterable[str], key: str,
+                      batch: int) -> tuple[dict[str, DataFrame], dict[str, DataFrame]] | None:
+        """Rows of the touched keys as they stood before this batch and as they stand after it."""
         parts = [changes[n].select(key) for n in family if n in changes]
-        return self._hold(stack(parts).distinct()) if parts else None
-
-    def _apply(self, changes: dict[str, DataFrame], batch: int) -> tuple[list[DataFrame], list[DataFrame]]:
-        old_bad: list[DataFrame] = []
-        new_bad: list[DataFrame] = []
-
-        def flagged(build: Callable[[dict[str, DataFrame]], DataFrame], old: dict, new: dict) -> None:
-            old_bad.append(build(old))
-            new_bad.append(build(new))
-
-        touched = self._touched(changes, INVOICE_FAMILY, INVOICE_KEY)
-        if touched is not None:
-            old, new = self._both(INVOICE_FAMILY, touched, batch)
-            services = self._hold(self._signed(claims.enriched_services, old, new))
-            self._append_sums(services, claims.SERVICE_TABLES, batch)
-            self._append_sums(self._signed(claims.valid_invoices, old, new), claims.INVOICE_TABLES, batch)
-            flagged(lambda s: claims.service_quarantine(claims.raw_services(s)), old, new)
-            flagged(lambda s: claims.undated_invoices(s["invoices"]), old, new)
-            flagged(lambda s: claims.invoice_quarantine(s["invoices"]), old, new)
-
-        touched = self._touched(changes, REQUEST_FAMILY, REQUEST_KEY)
-        if touched is not None:
-            old, new = self._both(REQUEST_FAMILY, touched, batch)
-            asked = self._hold(self._signed(claims.enriched_requests, old, new).withColumn(
-                "repondue", F.when(F.col("delai_heures").isNotNull(), 1).otherwise(0)))
-            self._append_sums(asked, ["kpi_ententes_prealables_jour"], batch)
-            self._append_sums(asked.where("agent_code is not null"), ["kpi_ententes_prealables_agent_jour"], batch)
-            flagged(lambda s: claims.request_quarantine(s["requests"], s["answers"], claims.request_amounts(s)), old, new)
-
-        for name, table, build in (
-            ("prescriptions", "kpi_prescriptions_medicament_jour", claims.prescription_rows),
-            ("pathologies", "kpi_pathologies_jour", claims.pathology_rows),
-        ):
-            touched = self._touched(changes, [name], INVOICE_KEY)
-            if touched is not None:
-                old, new = self._both([name], touched, batch)
-                self._append_sums(self._signed(build, old, new), [table], batch)
-
-        for name, build in (
-            ("agents", lambda s: claims.agent_quarantine(s["agents"])),
-            ("persons", lambda s: claims.person_quarantine(s["persons"], self.as_of)),
-        ):
-            touched = self._touched(changes, [name], SPECS[name].keys[0])
-            if touched is not None:
-                old, new = self._both([name], touched, batch)
-                flagged(build, old, new)
-        return old_bad, new_bad
+        if not parts:
+            return None
+        touched = self._hold(stack(parts).distinct())
+        old, new = ({n: self._hold(self.source(n, before, touched)) for n in family} for before in (batch, batch + 1))
+        return old, new
+
+    def _families(self) -> list[Callable[[dict[str, DataFrame], int], _Part | None]]:
+        def simple(name: str, build: Callable[[DataFrame], DataFrame]) -> Callable:
+            def run(changes: dict[str, DataFrame], batch: int) -> _Part | None:
+                rows = self._before_after(changes, [name], SPECS[name].keys[0], batch)
+                return rows and _Part([], [tuple(build(side[name]) for side in rows)])
+            return run
+
+        def counted(name: str, target: str, build: Callable[[dict], DataFrame]) -> Callable:
+            def run(changes: dict[str, DataFrame], batch: int) -> _Part | None:
+                rows = self._before_after(changes, [name], INVOICE_KEY, batch)
+                return rows and _Part(self._sum_writes(self._signed(build, *rows), [target], batch))
+            return run
+
+        return [
+            self._invoices, self._requests,
+            counted("prescriptions", "kpi_prescriptions_medicament_jour", claims.prescription_rows),
+            counted("pathologies", "kpi_pathologies_jour", claims.pathology_rows),
+            simple("agents", claims.agent_quarantine),
+            simple("persons", lambda df: claims.person_quarantine(df, self.as_of)),
+        ]
+
+    def _invoices(self, changes: dict[str, DataFrame], batch: int) -> _Part | None:
+        rows = self._before_after(changes, INVOICE_FAMILY, INVOICE_KEY, batch)
+        if rows is None:
+            return None
+        services = self._hold(self._signed(claims.enriched_services, *rows))
+        writes = self._sum_writes(services, claims.SERVICE_TABLES, batch)
+        writes += self._sum_writes(self._signed(claims.valid_invoices, *rows), claims.INVOICE_TABLES, batch)
+        rules = (
+            lambda s: claims.service_quarantine(claims.raw_services(s)),
+            lambda s: claims.undated_invoices(s["invoices"]),
+            lambda s: claims.invoice_quarantine(s["invoices"]),
+        )
+        return _Part(writes, [tuple(rule(side) for side in rows) for rule in rules])
+
+    def _requests(self, changes: dict[str, DataFrame], batch: int) -> _Part | None:
+        rows = self._before_after(changes, REQUEST_FAMILY, REQUEST_KEY, batch)
+        if rows is None:
+            return None
+        asked = self._hold(self._signed(claims.enriched_requests, *rows).withColumn(
+            "repondue", F.when(F.col("delai_heures").isNotNull(), 1).otherwise(0)))
+        writes = self._sum_writes(asked, ["kpi_ententes_prealables_jour"], batch)
+        writes += self._sum_writes(asked.where("agent_code is not null"), ["kpi_ententes_prealables_agent_jour"], batch)
+        flagged = tuple(claims.request_quarantine(s["requests"], s["answers"], claims.request_amounts(s)) for s in rows)
+        return _Part(writes, [flagged])
+
+    def _all(self) -> list[KeyedTable | SumTable]:
+        return [*(self.state(n) for n in SPECS), self.quarantine(), *(t for t, _ in self.sum_tables().values())]
 
     def compact(self, upto: int) -> None:
         """Fold all batches below ``upto`` in every table that has any."""
-        keyed = [self.state(n) for n in SPECS] + [self.quarantine()]
-        for table in [*keyed, *(t for t, _ in self.sum_tables().values())]:
-            if any(b >= table.base_upto() for b in table.batches(upto)):
-                table.compact(upto)
+        grown = [t for t in self._all() if any(b >= t.base_upto() for b in t.batches(upto))]
+        with ThreadPoolExecutor(self.parallel_jobs) as pool:
+            list(pool.map(lambda t: t.compact(upto), grown))
+
+    def vacuum(self) -> None:
+        for table in self._all():
+            table.vacuum()
+
+    def first_batch(self, checkpoint: str) -> int:
+        """Number of the first batch of a checkpoint.
+
+        A new checkpoint numbers its batches from 0 again, so they continue after the finished ones
+        (a full replay is then an ordinary series of batches that changes nothing). What an
+        abandoned run left unfinished is dropped.
+        """
+        note = f"{self.root}/runs/{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
+        if files.has(self.spark, f"{checkpoint}/metadata") and files.has(self.spark, f"{note}/_SUCCESS"):
+            return self.spark.read.parquet(note).first()["first"]
+        first = self.committed()
+        for table in self._all():
+            table.discard_from(first)
+        self.spark.range(1).select(F.lit(first).alias("first")).write.mode("overwrite").parquet(note)
+        return first
 
 
 def run_pipeline(raw: DataFrame, ledger: Ledger, checkpoint: str, owner: str = "dayledger",
@@ -222,8 +263,9 @@ def run_pipeline(raw: DataFrame, ledger: Ledger, checkpoint: str, owner: str = "
     offset after a restart.
     """
     files.acquire(ledger.spark, ledger.root, owner)
+    first = ledger.first_batch(checkpoint)
     captured = cdc.allow_tables(raw, [s.table for s in SPECS.values()])
-    writer = captured.writeStream.foreachBatch(lambda df, batch: ledger.process(df, batch))
+    writer = captured.writeStream.foreachBatch(lambda df, batch: ledger.process(df, first + batch))
     writer = writer.option("checkpointLocation", checkpoint).queryName(owner)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 

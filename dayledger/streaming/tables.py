@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dayledger.sources.cdc import OP, ORDER
-from dayledger.streaming.files import numbered
+from dayledger.streaming.files import children, numbered, remove
 
 BUCKET = "_bucket"
 
@@ -36,6 +36,23 @@ class _BatchTable:
         done = numbered(self.spark, f"{self.path}/base", "upto")
         return max([u for u in done if before is None or u <= before], default=0)
 
+    def discard_from(self, batch: int) -> None:
+        """Drop what an abandoned run left behind: batches from ``batch`` on, finished or not."""
+        for kind, label, first in (("delta", "batch", batch), ("base", "upto", batch + 1)):
+            for name in children(self.spark, f"{self.path}/{kind}"):
+                if name.startswith(f"{label}=") and int(name.split("=", 1)[1]) >= first:
+                    remove(self.spark, f"{self.path}/{kind}/{name}")
+
+    def vacuum(self) -> None:
+        """Drop folders that only reads older than the last but one base would need."""
+        bases = numbered(self.spark, f"{self.path}/base", "upto")
+        if len(bases) < 2:
+            return
+        for upto in bases[:-2]:
+            remove(self.spark, f"{self.path}/base/upto={upto}")
+        for batch in self.batches(bases[-2]):
+            remove(self.spark, f"{self.path}/delta/batch={batch}")
+
     def _read_paths(self, paths: list[str], schema: T.StructType) -> DataFrame:
         if not paths:
             return self.spark.createDataFrame([], schema)
