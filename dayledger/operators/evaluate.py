@@ -120,17 +120,11 @@ def kth_arrival(numbered: DataFrame, samples: DataFrame, start: int, created: st
 
 def latency_summary(df: DataFrame, delay_us: str, by: Sequence[str] = ()) -> DataFrame:
     """n, mean, median, p95 (linear interpolation), min and max, in seconds."""
-    by = list(by)
+    figures = exact_quantiles(df, by, delay_us, {"median_s": (0.5, "linear"), "p95_s": (0.95, "linear")})
     us = F.lit(1e6)
-    stats = df.groupBy(*by).agg(
-        F.count(delay_us).alias("n"), (F.sum(delay_us) / F.count(delay_us) / us).alias("mean_s"),
-        (F.min(delay_us) / us).alias("min_s"), (F.max(delay_us) / us).alias("max_s"))
-    quantiles = exact_quantiles(df, by, delay_us, {"median_s": 0.5, "p95_s": 0.95})
-    quantiles = quantiles.withColumns({c: F.col(c) / us for c in ("median_s", "p95_s")})
-    if by:
-        return stats.join(quantiles, by)
-    one = F.lit(1).alias("_k")
-    return stats.withColumn("_k", one).join(quantiles.withColumn("_k", one), "_k").drop("_k")
+    return figures.select(
+        *by, "n", (F.col("sum") / F.col("n") / us).alias("mean_s"), (F.col("min") / us).alias("min_s"),
+        (F.col("max") / us).alias("max_s"), (F.col("median_s") / us).alias("median_s"), (F.col("p95_s") / us).alias("p95_s"))
 
 
 def throughput(events: Column, start: Column, end: Column) -> Column:
@@ -156,12 +150,10 @@ def stage_delays(events: DataFrame, created: str, published_ms: str | Column = "
 
 def stage_latency(delays: DataFrame) -> DataFrame:
     """Per stage: n, median, p95 (the element at floor(0.95 * (n - 1))) and max, in ms."""
+    figures = exact_quantiles(delays, ["stage"], "delay_us", {"median_ms": (0.5, "linear"), "p95_ms": (0.95, "lower")})
     ms = F.lit(1000.0)
-    stats = delays.groupBy("stage").agg(F.count("delay_us").alias("n"), (F.max("delay_us") / ms).alias("max_ms"))
-    median = exact_quantiles(delays, ["stage"], "delay_us", {"median_ms": 0.5})
-    p95 = exact_quantiles(delays, ["stage"], "delay_us", {"p95_ms": 0.95}, method="lower")
-    joined = stats.join(median, "stage").join(p95, "stage")
-    return joined.withColumns({c: F.col(c) / ms for c in ("median_ms", "p95_ms")})
+    return figures.select("stage", "n", (F.col("max") / ms).alias("max_ms"), (F.col("median_ms") / ms).alias("median_ms"),
+                          (F.col("p95_ms") / ms).alias("p95_ms"))
 
 
 def recovery_summary(probes: DataFrame, invoices: int, services: int, expected_events: int,

@@ -65,44 +65,52 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], alias: str =
         *df.columns, (F.col("_start") + within + 1).cast("bigint").alias(alias))
 
 
-def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, quantiles: dict[str, float],
-                    method: str = "linear", digits: int = 16) -> DataFrame:
-    """Exact quantiles of a BIGINT column per group, one output column per named quantile.
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, quantiles: dict[str, tuple[float, str]],
+                    shifts: Sequence[int] = (32, 16, 0)) -> DataFrame:
+    """Exact quantiles of a BIGINT column per group: {output: (q, method)}, with n, min, max and sum.
 
     ``linear`` interpolates between the two neighbours; ``lower`` takes the element at
-    floor(q * (n - 1)). Two passes of counting: first over value >> digits to find the slice that
-    holds each wanted rank, then over the values of those slices alone. A slice has at most
-    2**digits distinct values, so no task ever sees a whole group.
+    floor(q * (n - 1)). The wanted ranks are found by counting: first over value >> 32, then inside
+    the slices that hold a wanted rank over value >> 16, then over the values of those slices. Past
+    the first level no window sees more than 65536 rows, and no task ever sees a whole group.
     """
     by = list(by)
     base = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("bigint").alias("_v"))
-    base = base.withColumn("_hi", F.shiftright("_v", digits))
-    slices = base.groupBy(*by, "_hi").agg(F.count(F.lit(1)).alias("_n"))
+    # Level 1: counts per top slice, group figures, wanted ranks.
     group = Window.partitionBy(*(by or [F.lit(0)]))
-    upto = group.orderBy("_hi").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    slices = slices.withColumns({"_end": F.sum("_n").over(upto), "_total": F.sum("_n").over(group)})
-    wanted = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("q"), (F.lit(float(q)) * (F.col("_total") - 1)).alias("pos"))
-        for name, q in quantiles.items()
-    ]))
-    spots = slices.withColumn("w", wanted).select(
-        *by, "_hi", (F.col("_end") - F.col("_n")).alias("_before"), "_end", F.col("w.q").alias("_q"),
-        F.col("w.pos").alias("_pos"))
-    ranks = F.array_distinct(F.array(F.floor("_pos"), F.ceil("_pos") if method == "linear" else F.floor("_pos")))
-    spots = spots.withColumn("_rank", F.explode(ranks))
-    spots = spots.where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_end")))
-    slice_keys = [*by, "_hi"]
-    needed = spots.select(*slice_keys).distinct()
-    counts = base.join(needed, slice_keys, "left_semi").groupBy(*slice_keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    inside = Window.partitionBy(*slice_keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counts = counts.withColumn("_vend", F.sum("_c").over(inside))
-    found = spots.join(counts, slice_keys).where(
-        (F.col("_rank") - F.col("_before") < F.col("_vend"))
-        & (F.col("_rank") - F.col("_before") >= F.col("_vend") - F.col("_c")))
-    weight = F.when(F.col("_rank") == F.floor("_pos"), 1 - (F.col("_pos") - F.floor("_pos"))).otherwise(
-        F.col("_pos") - F.floor("_pos"))
-    if method != "linear":
-        weight = F.lit(1.0)
-    return found.groupBy(*by).agg(*[
-        F.sum(F.when(F.col("_q") == name, F.col("_v") * weight)).alias(name) for name in quantiles
+    top = base.groupBy(*by, F.shiftright("_v", shifts[0]).alias("_h")).agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("min"), F.max("_v").alias("max"), F.sum("_v").alias("sum"))
+    upto = group.orderBy("_h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    top = top.withColumns({
+        "_end": F.sum("_c").over(upto), "n": F.sum("_c").over(group), "min": F.min("min").over(group),
+        "max": F.max("max").over(group), "sum": F.sum("sum").over(group)})
+    wanted = F.array(*[
+        F.struct(F.lit(name).alias("q"), F.lit(method == "linear").alias("mix"),
+                 (F.lit(float(q)) * (F.col("n") - 1)).alias("pos"))
+        for name, (q, method) in quantiles.items()
     ])
+    stats = ["n", "min", "max", "sum"]
+    spots = top.withColumn("_w", F.explode(wanted))
+    last = F.when(F.col("_w.mix"), F.ceil("_w.pos")).otherwise(F.floor("_w.pos"))
+    spots = spots.withColumn("_at", F.explode(F.array_distinct(F.array(F.floor("_w.pos"), last))))
+    share = F.when(~F.col("_w.mix"), F.lit(1.0)).when(
+        F.col("_at") == F.floor("_w.pos"), 1 - (F.col("_w.pos") - F.floor("_w.pos"))).otherwise(
+        F.col("_w.pos") - F.floor("_w.pos"))
+    before = F.col("_end") - F.col("_c")
+    spots = spots.where((F.col("_at") >= before) & (F.col("_at") < F.col("_end"))).select(
+        *by, "_h", *stats, F.col("_w.q").alias("_q"), share.alias("_share"), (F.col("_at") - before).alias("_at"))
+    # Deeper levels: only rows of the slices found so far.
+    for wide, narrow in zip(shifts, shifts[1:]):
+        slice_keys = [*by, "_h"]
+        inside = base.withColumn("_h", F.shiftright("_v", wide)).join(
+            spots.select(*slice_keys).distinct(), slice_keys, "left_semi")
+        counts = inside.groupBy(*slice_keys, F.shiftright("_v", narrow).alias("_next")).agg(F.count(F.lit(1)).alias("_c"))
+        running = Window.partitionBy(*slice_keys).orderBy("_next").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        counts = counts.withColumn("_end", F.sum("_c").over(running))
+        hit = (F.col("_at") >= before) & (F.col("_at") < F.col("_end"))
+        spots = spots.join(counts, slice_keys).where(hit).select(
+            *by, F.col("_next").alias("_h"), *stats, "_q", "_share", (F.col("_at") - before).alias("_at"))
+    return spots.groupBy(*by).agg(
+        *[F.max(s).alias(s) for s in stats],
+        *[F.sum(F.when(F.col("_q") == name, F.col("_h") * F.col("_share"))).alias(name) for name in quantiles])

@@ -54,9 +54,12 @@ def pairs_only_left(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def json_columns(df: DataFrame, json: str, fields: Mapping[str, str], keep: Sequence[str]) -> DataFrame:
-    """JSON text to typed columns: {key: type}. A value that does not fit its type gives NULL."""
-    schema = ", ".join(f"`{k}` string" for k in fields)
-    parsed = df.withColumn("_j", F.from_json(json, schema))
-    typed = [F.col(f"_j.{k}").try_cast(t).alias(k) if t != "string" else F.col(f"_j.{k}").alias(k)
-             for k, t in fields.items()]
+    """JSON text to typed columns: {key: type}. A value that does not fit its type gives NULL.
+
+    The generator makes the text parsed once per row, whatever the number of keys.
+    """
+    names = {k: f"_j{i}" for i, k in enumerate(fields)}
+    parsed = df.select(*keep, F.inline(F.array(F.from_json(json, ", ".join(f"`{k}` string" for k in fields)))).alias(
+        *names.values()))
+    typed = [(F.col(names[k]) if t == "string" else F.col(names[k]).try_cast(t)).alias(k) for k, t in fields.items()]
     return parsed.select(*keep, *typed)

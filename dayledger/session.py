@@ -16,6 +16,9 @@ def local_session(cores: str = "8", app: str = "dayledger", **conf: str) -> Spar
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.adaptive.enabled", "true")
+        # One small file is one scan task: shuffling such joins gives all cores work.
+        .config("spark.sql.autoBroadcastJoinThreshold", "1m")
+        .config("spark.sql.join.preferSortMergeJoin", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in conf.items():

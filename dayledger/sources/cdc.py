@@ -76,12 +76,13 @@ def envelope_schema(spec: SourceSpec) -> T.StructType:
 
 
 def decode(raw: DataFrame, spec: SourceSpec) -> DataFrame:
-    """Full envelope as columns; tombstones (NULL value) are dropped."""
-    return (
-        raw.where(F.col("value").isNotNull())
-        .withColumn("e", F.from_json("value", envelope_schema(spec)))
-        .select("e.*", "offset", "timestamp")
-    )
+    """Full envelope as columns; tombstones (NULL value) are dropped.
+
+    The generator makes the text parsed once per event: as a plain column it would be copied into
+    every later reference and filter.
+    """
+    parsed = F.inline(F.array(F.from_json("value", envelope_schema(spec))))
+    return raw.where(F.col("value").isNotNull()).select("offset", "timestamp", parsed)
 
 
 def parse_envelope(raw: DataFrame, spec: SourceSpec) -> DataFrame:

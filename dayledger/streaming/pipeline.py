@@ -152,9 +152,9 @@ class Ledger:
 
                 together(partial(self.state(n).append, df, batch) for n, df in changes.items())
                 parts = [p for p in together(partial(f, changes, batch) for f in self._families()) if p]
-                writes = [w for part in parts for w in part.writes]
-                writes += self._quarantine_writes([pair for part in parts for pair in part.flagged], batch)
-                together(writes)
+                # The quarantine write is the longest, so it starts first.
+                writes = self._quarantine_writes([pair for part in parts for pair in part.flagged], batch)
+                together(writes + [w for part in parts for w in part.writes])
             # Last: readers and a restarted job see the batch only once all of it is written.
             self.spark.range(1).write.mode("overwrite").parquet(f"{self.root}/done/batch={batch}")
             if self.compact_every and (batch + 1) % self.compact_every == 0:
