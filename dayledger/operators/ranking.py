@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 from dayledger.session import cut_lineage
 
 
-def top_n_with_ties(df: DataFrame, measure: str, n: int, by: Sequence[str] = (), rank: str = "rang") -> DataFrame:
+def top_n_with_ties(df: DataFrame, measure: str, n: int, by: Sequence[str] = (), rank: str = "rang",
+                    materialize: bool = False) -> DataFrame:
     """Rows with RANK <= n on ``measure`` descending, all ties included, overall or per group.
 
     Ranks are worked out on the n best distinct values, which every partition trims to n before
     any shuffle; the join back then lets a value shared by many rows through whole. No task sorts
-    a group.
+    a group. ``df`` is read twice: with ``materialize`` it is written once to the shared checkpoint
+    folder first, which pays when it is the result of a large join rather than a stored table.
     """
     by = list(by)
+    if materialize:
+        df = cut_lineage(df)
     values = df.where(F.col(measure).isNotNull()).groupBy(*by, measure).agg(F.count(F.lit(1)).alias("_ties"))
     if by:
         best = Window.partitionBy(*by).orderBy(F.col(measure).desc())

@@ -293,14 +293,14 @@ _PERSON_CENTRE = ENRICHED + """, tot AS (SELECT centre, person, count(*) AS n_se
        "FROM tot QUALIFY rang <= 10")
 def top_persons(spark: SparkSession, d: str) -> DataFrame:
     totals_ = rollup.additive(star.person_day(spark, d), ["person"], *_SERVICE_SUMS)
-    return ranking.top_n_with_ties(totals_, "n_services", 10)
+    return ranking.top_n_with_ties(totals_, "n_services", 10, materialize=True)
 
 
 @query(with_(_PERSON_CENTRE) + "SELECT centre, person, n_services, billed, "
        "CAST(rank() OVER (PARTITION BY centre ORDER BY n_services DESC) AS INTEGER) AS rang FROM tot QUALIFY rang <= 10")
 def top_persons_by_centre(spark: SparkSession, d: str) -> DataFrame:
     totals_ = rollup.additive(star.person_day(spark, d), ["centre", "person"], *_SERVICE_SUMS)
-    return ranking.top_n_with_ties(totals_, "n_services", 10, by=["centre"])
+    return ranking.top_n_with_ties(totals_, "n_services", 10, by=["centre"], materialize=True)
 
 
 @query(with_(ENRICHED, """tot AS (SELECT person, count(*) AS n_services, CAST(sum(billed) AS DECIMAL(18,2)) AS billed
@@ -308,7 +308,7 @@ def top_persons_by_centre(spark: SparkSession, d: str) -> DataFrame:
        "SELECT person, n_services, billed, CAST(rank() OVER (ORDER BY n_services DESC) AS INTEGER) AS rang FROM tot QUALIFY rang <= 10")
 def top_persons_period(spark: SparkSession, d: str) -> DataFrame:
     period = star.person_day(spark, d).where(S.in_period("jour", "1998-01-01", "1998-12-31"))
-    return ranking.top_n_with_ties(rollup.additive(period, ["person"], *_SERVICE_SUMS), "n_services", 10)
+    return ranking.top_n_with_ties(rollup.additive(period, ["person"], *_SERVICE_SUMS), "n_services", 10, materialize=True)
 
 
 @query("""SELECT l.l_partkey AS medicine, COALESCE(p.p_name, '(inconnu)') AS medicine_name, count(*) AS n_prescriptions

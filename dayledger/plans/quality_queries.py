@@ -513,7 +513,7 @@ def count_compare(spark: SparkSession, d: str) -> DataFrame:
   SELECT count(*) AS rows, CAST(sum(CAST('0x' || substring(md5(person || chr(31) || n_services), 1, 15) AS HUGEINT)) AS VARCHAR) AS fingerprint FROM top""")
 def fingerprint_top(spark: SparkSession, d: str) -> DataFrame:
     totals = rollup.additive(star.person_day(spark, d), ["person"], {"n_services": "n_services"})
-    return reconcile.fingerprint(ranking.top_n_with_ties(totals, "n_services", 10), ["person", "n_services"])
+    return reconcile.fingerprint(ranking.top_n_with_ties(totals, "n_services", 10, materialize=True), ["person", "n_services"])
 
 
 @query("SELECT DISTINCT CAST(l_shipdate AS DATE) AS jour FROM lineitem WHERE CAST(l_shipdate AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderdate IS NOT NULL)")
