@@ -22,11 +22,17 @@ def windowed(df: DataFrame, time: str, length: str, by: Sequence[str], sums: Map
     1970-01-01 (a Thursday for 7 days), unlike calendar weeks, which start on Monday.
     """
     timed = df.where(F.col(time).isNotNull())
+    begin = F.col("_w.start")
     if watermark:
+        # Watermarks need an instant: read the wall clock as UTC, and give the start back the same
+        # way, so that the session zone plays no part.
+        epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+        timed = timed.withColumn(time, F.timestamp_micros(S.micros_between(epoch, time)))
         timed = timed.withWatermark(time, watermark)
+        begin = epoch + F.make_dt_interval(secs=F.unix_seconds(begin).cast("decimal(18,6)"))
     grouped = timed.groupBy(F.window(time, length).alias("_w"), *by).agg(
         F.count(F.lit(1)).alias(count), *[F.sum(c).alias(out) for out, c in sums.items()])
-    return grouped.select(F.col("_w.start").alias(start), *by, count, *sums)
+    return grouped.select(begin.alias(start), *by, count, *sums)
 
 
 def weekly_by_status(services: DataFrame, watermark: str | None = None) -> DataFrame:
