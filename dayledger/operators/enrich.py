@@ -93,6 +93,18 @@ def count_with_match(df: DataFrame, other: DataFrame, on: str, by: Sequence[str]
     return flagged.groupBy(*by).agg(F.count(F.lit(1)).alias(total), F.count("_hit").alias(matched))
 
 
+def count_pairs(left: DataFrame, right: DataFrame, on: str, left_dim: str, right_dim: str, count: str) -> DataFrame:
+    """Number of (left row, right row) pairs sharing a key, per pair of dimensions.
+
+    Many-to-many without writing out the pairs: each side is counted per (key, dimension), and the
+    counts are multiplied after the join.
+    """
+    a = left.groupBy(on, left_dim).agg(F.count(F.lit(1)).alias("_a"))
+    b = right.groupBy(on, right_dim).agg(F.count(F.lit(1)).alias("_b"))
+    joined = a.join(b, on)
+    return joined.groupBy(left_dim, right_dim).agg(F.sum(F.col("_a") * F.col("_b")).cast("bigint").alias(count))
+
+
 def zero_filled(domain: DataFrame, parts: Mapping[str, DataFrame], on: str) -> DataFrame:
     """Every member of a domain with one count per part, zero where the part has none."""
     out = domain.select(on).distinct()

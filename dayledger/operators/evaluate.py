@@ -173,8 +173,9 @@ def recovery_summary(probes: DataFrame, invoices: int, services: int, expected_e
     low = probes.where(end.isNull() | (F.col("t_s") <= end)).agg(
         F.min(F.struct("invoices", "services")).alias("_low"))
     span = F.greatest(F.col("done_at_s") - running_at, F.lit(1.0))
+    lowest = low.scalar()
     return marks.select(
         "equal_at_s", "done_at_s", (F.col("done_at_s") - relaunched_at).alias("recovery_s"), "events_read",
         (F.col("events_read") / span).alias("events_per_s"),
-        low.select("_low").scalar()["invoices"].alias("lowest_invoices"),
-        low.select("_low").scalar()["services"].alias("lowest_services"))
+        lowest["invoices"].alias("lowest_invoices"),
+        lowest["services"].alias("lowest_services"))

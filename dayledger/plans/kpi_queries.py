@@ -105,20 +105,20 @@ SELECT CAST(date_trunc('month', jour) AS DATE) AS month, count(*) AS n_services,
        CAST(sum(billed) AS DECIMAL(18,2)) AS billed
 FROM enr WHERE jour < date_trunc('month', DATE '{AS_OF}') GROUP BY 1""")
 def services_by_month_closed(spark: SparkSession, d: str) -> DataFrame:
-    return rollup.monthly_closed(star.services_day(spark, d), AS_OF, *_SERVICE_SUMS)
+    return rollup.monthly_closed(star.services_day(spark, d, (None, AS_OF)), AS_OF, *_SERVICE_SUMS)
 
 
 @query(with_(ENRICHED) + "SELECT act, count(*) AS n_services, CAST(sum(billed) AS DECIMAL(18,2)) AS billed FROM enr "
        "WHERE jour BETWEEN DATE '1998-01-01' AND DATE '1998-03-31' GROUP BY 1")
 def services_period(spark: SparkSession, d: str) -> DataFrame:
-    period = star.services_day(spark, d).where(S.in_period("jour", "1998-01-01", "1998-03-31"))
+    period = star.services_day(spark, d, ("1998-01-01", "1998-03-31"))
     return rollup.additive(period, ["act"], *_SERVICE_SUMS)
 
 
 @query("SELECT o_orderstatus AS invoice_type, count(*) AS n_invoices FROM orders "
        f"WHERE CAST(o_orderdate AS DATE) = DATE '{AS_OF}' GROUP BY 1")
 def invoices_today(spark: SparkSession, d: str) -> DataFrame:
-    today = star.invoices_day(spark, d).where(S.today_only("jour", AS_OF))
+    today = star.invoices_day(spark, d, (AS_OF, AS_OF)).where(S.today_only("jour", AS_OF))
     return rollup.additive(today, ["invoice_type"], {"n_invoices": "n_invoices"})
 
 
@@ -196,7 +196,7 @@ def weighted_delay(spark: SparkSession, d: str) -> DataFrame:
     + f" AS mean_delay_hours FROM rday WHERE jour < date_trunc('month', DATE '{AS_OF}') GROUP BY ALL")
 def ep_month_closed(spark: SparkSession, d: str) -> DataFrame:
     mean = S.weighted_mean("mean_delay_hours", "n_requests").alias("mean_delay_hours")
-    return rollup.monthly_closed(star.requests_day(spark, d), AS_OF, {"n_requests": "n_requests"},
+    return rollup.monthly_closed(star.requests_day(spark, d, (None, AS_OF)), AS_OF, {"n_requests": "n_requests"},
                                  {"engaged_amount": "engaged_amount"}, ["status_code"], [mean])
 
 
@@ -307,7 +307,7 @@ def top_persons_by_centre(spark: SparkSession, d: str) -> DataFrame:
   FROM enr WHERE jour BETWEEN DATE '1998-01-01' AND DATE '1998-12-31' GROUP BY 1)""") +
        "SELECT person, n_services, billed, CAST(rank() OVER (ORDER BY n_services DESC) AS INTEGER) AS rang FROM tot QUALIFY rang <= 10")
 def top_persons_period(spark: SparkSession, d: str) -> DataFrame:
-    period = star.person_day(spark, d).where(S.in_period("jour", "1998-01-01", "1998-12-31"))
+    period = star.person_day(spark, d, ("1998-01-01", "1998-12-31"))
     return ranking.top_n_with_ties(rollup.additive(period, ["person"], *_SERVICE_SUMS), "n_services", 10, materialize=True)
 
 
@@ -460,8 +460,8 @@ def ep_by_pathology_masked(spark: SparkSession, d: str) -> DataFrame:
     """Requests expanded by the pathologies of their invoice (many to many)."""
     status = star.requests(spark, d).join(star.answers(spark, d), "request", "left").select(
         F.col("request").alias("invoice"), S.or_unknown("status_code", S.UNANSWERED).alias("status_code"))
-    pairs = status.join(star.pathologies(spark, d), "invoice")
-    counted = daily.counts_by(pairs, ["status_code", "pathology"], "n_pathologies", having=5)
+    counted = enrich.count_pairs(status, star.pathologies(spark, d), "invoice", "status_code", "pathology", "n_pathologies")
+    counted = rollup.suppress_small_groups(counted, "n_pathologies")
     names = table(spark, d, "supplier").select(F.col("s_suppkey").alias("pathology"), F.col("s_name").alias("pathology_name"))
     return enrich.left_dimension(counted, names, "pathology", {"pathology_name": S.UNKNOWN_FEMININE}).select(
         "status_code", "pathology", "pathology_name", "n_pathologies")
@@ -522,9 +522,10 @@ def summary_board(spark: SparkSession, d: str) -> DataFrame:
         S.percent(F.sum(F.when(F.col("status_code") != S.UNANSWERED, F.col("n_requests")).otherwise(0)),
                   F.sum("n_requests")).alias("rate"),
         S.sum_where("engaged_amount", S.member("status_code", ["A", "N"])).cast("decimal(18,2)").alias("engaged"))
+    figures = asked.select(F.struct("n", "rate", "engaged")).scalar()
     return services.select(
-        "n_services", visits.scalar().alias("n_invoices"), "billed", asked.select("n").scalar().alias("n_requests"),
-        asked.select("rate").scalar().alias("response_rate"), asked.select("engaged").scalar().alias("engaged_amount"))
+        "n_services", visits.scalar().alias("n_invoices"), "billed", figures["n"].alias("n_requests"),
+        figures["rate"].alias("response_rate"), figures["engaged"].alias("engaged_amount"))
 
 
 # -- audience ----------------------------------------------------------------------------------

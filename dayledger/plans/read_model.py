@@ -141,9 +141,9 @@ def views(t: Tables, as_of: str | None = None) -> dict[str, DataFrame]:
     per_day = t["kpi_prescriptions_medicament_jour"].groupBy("jour").agg(
         F.sum("nombre_prescriptions").cast("bigint").alias("nombre_prescriptions"),
         F.count("medicament_code").alias("medicaments_distincts"))
-    pathologies = daily.counts_by(
-        detail.join(t["fait_pathologies"], "facture_numero"), ["statut_code", "pathologie_code"], "nombre_pathologies",
-        having=5)
+    pathologies = rollup.suppress_small_groups(enrich.count_pairs(
+        detail, t["fait_pathologies"], "facture_numero", "statut_code", "pathologie_code", "nombre_pathologies"),
+        "nombre_pathologies")
     out = {
         "v_top10_assures": ranking.top_n_with_ties(
             rollup.additive(persons, ["personne_uuid"], *sums), "nombre_prestations", 10),

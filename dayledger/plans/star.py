@@ -17,8 +17,22 @@ from dayledger.sources.tables import table
 AS_OF = "2001-07-15"
 
 
-def invoices(spark: SparkSession, d: str) -> DataFrame:
-    return enrich.project(table(spark, d, "orders"), {
+Period = tuple[str | None, str | None]
+
+
+def orders(spark: SparkSession, d: str, period: Period | None = None) -> DataFrame:
+    """Orders, cut to whole days on the stored column so that the range reaches the scan."""
+    df = table(spark, d, "orders")
+    first, last = period or (None, None)
+    if first:
+        df = df.where(F.col("o_orderdate") >= F.lit(first).cast("timestamp_ntz"))
+    if last:
+        df = df.where(F.col("o_orderdate") < F.date_add(F.lit(last).cast("date"), 1).cast("timestamp_ntz"))
+    return df
+
+
+def invoices(spark: SparkSession, d: str, period: Period | None = None) -> DataFrame:
+    return enrich.project(orders(spark, d, period), {
         "invoice": "o_orderkey", "person": F.col("o_custkey").cast("string"), "care_day": F.col("o_orderdate").cast("date"),
         "invoice_type": "o_orderstatus", "scheme": "o_orderpriority"})
 
@@ -32,41 +46,41 @@ def lines(spark: SparkSession, d: str) -> DataFrame:
         "patient_paid": price * share})
 
 
-def enriched(spark: SparkSession, d: str) -> DataFrame:
+def enriched(spark: SparkSession, d: str, period: Period | None = None) -> DataFrame:
     names = ("act", "invoice_type", "scheme", "centre_type", "centre", "practitioner", "person")
     amounts = ("billed", "insurer_paid", "patient_paid")
-    return enrich.enrich_lines(lines(spark, d), invoices(spark, d), "invoice", "care_day",
+    return enrich.enrich_lines(lines(spark, d), invoices(spark, d, period), "invoice", "care_day",
                                {n: n for n in names}, {a: a for a in amounts})
 
 
 SERVICE_KEYS = ["jour", "act", "invoice_type", "scheme", "centre_type"]
 
 
-def services_day(spark: SparkSession, d: str) -> DataFrame:
-    return daily.count_and_sum(enriched(spark, d), SERVICE_KEYS, "n_services", {
+def services_day(spark: SparkSession, d: str, period: Period | None = None) -> DataFrame:
+    return daily.count_and_sum(enriched(spark, d, period), SERVICE_KEYS, "n_services", {
         "billed": "billed", "insurer_paid": "insurer_paid", "patient_paid": "patient_paid"})
 
 
-def centre_day(spark: SparkSession, d: str) -> DataFrame:
-    return daily.count_and_sum(enriched(spark, d), ["jour", "centre"], "n_services", {"billed": "billed"})
+def centre_day(spark: SparkSession, d: str, period: Period | None = None) -> DataFrame:
+    return daily.count_and_sum(enriched(spark, d, period), ["jour", "centre"], "n_services", {"billed": "billed"})
 
 
-def practitioner_day(spark: SparkSession, d: str) -> DataFrame:
-    return daily.count_and_sum(enriched(spark, d), ["jour", "practitioner"], "n_services", {"billed": "billed"})
+def practitioner_day(spark: SparkSession, d: str, period: Period | None = None) -> DataFrame:
+    return daily.count_and_sum(enriched(spark, d, period), ["jour", "practitioner"], "n_services", {"billed": "billed"})
 
 
-def person_day(spark: SparkSession, d: str) -> DataFrame:
-    return daily.count_and_sum(enriched(spark, d), ["jour", "person", "centre"], "n_services", {"billed": "billed"})
+def person_day(spark: SparkSession, d: str, period: Period | None = None) -> DataFrame:
+    return daily.count_and_sum(enriched(spark, d, period), ["jour", "person", "centre"], "n_services", {"billed": "billed"})
 
 
-def invoices_day(spark: SparkSession, d: str) -> DataFrame:
-    dated = enrich.dated(invoices(spark, d).withColumnRenamed("care_day", "jour"))
+def invoices_day(spark: SparkSession, d: str, period: Period | None = None) -> DataFrame:
+    dated = enrich.dated(invoices(spark, d, period).withColumnRenamed("care_day", "jour"))
     dated = enrich.coalesce_dims(dated, {"invoice_type": S.UNKNOWN, "scheme": S.UNKNOWN})
     return daily.count_and_sum(dated, ["jour", "invoice_type", "scheme"], "n_invoices")
 
 
-def requests(spark: SparkSession, d: str) -> DataFrame:
-    return enrich.project(table(spark, d, "orders"), {
+def requests(spark: SparkSession, d: str, period: Period | None = None) -> DataFrame:
+    return enrich.project(orders(spark, d, period), {
         "request": "o_orderkey", "request_type": "o_orderpriority", "request_time": "o_orderdate"})
 
 
@@ -86,12 +100,12 @@ def amounts(spark: SparkSession, d: str) -> DataFrame:
     return enrich.sum_per_key(acts, "request", "l_extendedprice", "amount")
 
 
-def requests_enriched(spark: SparkSession, d: str) -> DataFrame:
-    return enrich.left_status(requests(spark, d), answers(spark, d), amounts(spark, d), "request")
+def requests_enriched(spark: SparkSession, d: str, period: Period | None = None) -> DataFrame:
+    return enrich.left_status(requests(spark, d, period), answers(spark, d), amounts(spark, d), "request")
 
 
-def requests_day(spark: SparkSession, d: str) -> DataFrame:
-    return daily.requests_day(requests_enriched(spark, d), ["jour", "status_code", "request_type"])
+def requests_day(spark: SparkSession, d: str, period: Period | None = None) -> DataFrame:
+    return daily.requests_day(requests_enriched(spark, d, period), ["jour", "status_code", "request_type"])
 
 
 def agent_day(spark: SparkSession, d: str) -> DataFrame:

@@ -14,8 +14,12 @@ def stamped(df: DataFrame, column: str = "maj_le") -> DataFrame:
 
 
 def overwrite_days(df: DataFrame, path: str, day: str = "jour") -> None:
-    """Replace the day partitions present in ``df``; other days stay. Replaying changes nothing."""
-    (df.repartition(day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Replace the day partitions present in ``df``; other days stay. Replaying changes nothing.
+
+    Range partitioning on the whole row spreads a day that holds a large share of the rows.
+    """
+    rest = [c for c in df.columns if c != day]
+    (df.repartitionByRange(day, *rest).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(day).parquet(path))
 
 

@@ -24,25 +24,36 @@ def freshness(df: DataFrame, stamp: str, now: Column, limit_s: float = 300.0,
 
 
 def threshold_held(df: DataFrame, series: str, time: str, value: str, limit: float, hold: str,
-                   no_data: str = "ok", slice_length: str = "hour") -> DataFrame:
+                   no_data: str = "ok") -> DataFrame:
     """Spans during which a metric stayed above its limit for at least ``hold``.
 
-    A span starts at the first breach after the last sample within the limit. That last good sample
-    is found inside (series, time slice) and carried over slices from one row each, so a busy series
-    is spread over its slices. A sample without value is good (``ok``) or a breach (``alert``).
+    A span starts at the first breach after the last sample within the limit. A sample without
+    value is good (``ok``) or a breach (``alert``).
+
+    The last good sample is found in three bounded steps: over the days of a series, over the
+    minutes of a day, over the instants of a minute. Samples of one instant count as one row, so a
+    busy series, day or instant never reaches one task whole.
     """
     above = F.coalesce(F.col(value) > limit, F.lit(no_data == "alert"))
-    marked = df.select(series, F.col(time).alias("_t"), F.col(value).alias("_v"), above.alias("_above"))
-    marked = marked.withColumns({
-        "_slice": F.date_trunc(slice_length, "_t"), "_good": F.when(~F.col("_above"), F.col("_t"))})
-    before = Window.partitionBy(series).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carry = marked.groupBy(series, "_slice").agg(F.max("_good").alias("_m")).select(
-        series, "_slice", F.max("_m").over(before).alias("_carry"))
-    inside = Window.partitionBy(series, "_slice").orderBy("_t")
-    traced = marked.withColumn("_last", F.max("_good").over(inside)).where("_above").join(carry, [series, "_slice"])
-    spans = traced.groupBy(series, F.coalesce("_last", "_carry").alias("_since")).agg(
+    instants = df.groupBy(F.col(series), F.col(time).alias("_t")).agg(
+        F.max(F.when(~above, F.col(time))).alias("_good"), F.count_if(above).alias("_n"),
+        F.max(F.when(above, F.col(value))).alias("_v"))
+    instants = instants.withColumns({"_day": F.date_trunc("day", "_t"), "_minute": F.date_trunc("minute", "_t")})
+
+    def earlier(keys: list[str], step: str) -> DataFrame:
+        """Newest good sample of each step, and of all steps before it within ``keys``."""
+        before = Window.partitionBy(*keys).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
+        newest = instants.groupBy(*keys, step).agg(F.max("_good").alias("_m"))
+        return newest.select(*keys, step, F.max("_m").over(before).alias(f"{step}_before"))
+
+    inside = Window.partitionBy(series, "_day", "_minute").orderBy("_t")
+    traced = instants.withColumn("_last", F.max("_good").over(inside)).where("_n > 0")
+    traced = traced.join(earlier([series, "_day"], "_minute"), [series, "_day", "_minute"])
+    traced = traced.join(earlier([series], "_day"), [series, "_day"])
+    since = F.coalesce("_last", "_minute_before", "_day_before").alias("_since")
+    spans = traced.groupBy(series, since).agg(
         F.min("_t").alias("started_at"), F.max("_t").alias("last_seen_at"),
-        F.count(F.lit(1)).alias("samples"), F.max("_v").alias("peak"))
+        F.sum("_n").cast("bigint").alias("samples"), F.max("_v").alias("peak"))
     length = F.expr(f"INTERVAL {hold}")
     held = spans.where(F.col("last_seen_at") >= F.col("started_at") + length)
     return held.select(series, "started_at", (F.col("started_at") + length).alias("fires_at"), "last_seen_at",

@@ -3,7 +3,7 @@
 import pytest
 
 import events as ev
-from dayledger.plans import claims, read_model
+from dayledger.plans import batch, claims, read_model
 from dayledger.sources import cdc
 from dayledger.sources.specs import SPECS
 from dayledger.streaming import files
@@ -137,3 +137,15 @@ def test_retried_batch_is_applied_once(spark, tmp_path):
     files.remove(spark, f"{tmp_path}/out/done/batch=0")  # as if the job died before its last write
     ledger.process(raw, 0)
     assert [r["nombre_prestations"] for r in ledger.tables()["kpi_prestations_jour"].collect()] == [1]
+
+
+def test_batch_run_matches_and_reruns(spark, done, tmp_path):
+    raw = cdc.read_files(spark, done["src"], stream=False)
+    src = {n: cdc.current_state(raw, s) for n, s in SPECS.items()}
+    some = ["kpi_prestations_jour", "kpi_ententes_prealables_jour", "dim_agents", "qualite_anomalies"]
+    for _ in range(2):
+        batch.write_all(src, str(tmp_path), AS_OF, some)
+    for name in some:
+        got = spark.read.parquet(f"{tmp_path}/{name}")
+        want = done["ledger"].tables()[name]
+        assert rows(got.select(*want.columns)) == rows(want), name
