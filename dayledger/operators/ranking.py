@@ -69,52 +69,49 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], alias: str =
         *df.columns, (F.col("_start") + within + 1).cast("bigint").alias(alias))
 
 
-def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, quantiles: dict[str, tuple[float, str]],
-                    shifts: Sequence[int] = (32, 16, 0)) -> DataFrame:
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, quantiles: dict[str, tuple[float, str]]) -> DataFrame:
     """Exact quantiles of a BIGINT column per group: {output: (q, method)}, with n, min, max and sum.
 
     ``linear`` interpolates between the two neighbours; ``lower`` takes the element at
-    floor(q * (n - 1)). The wanted ranks are found by counting: first over value >> 32, then inside
-    the slices that hold a wanted rank over value >> 16, then over the values of those slices. Past
-    the first level no window sees more than 65536 rows, and no task ever sees a whole group.
+    floor(q * (n - 1)). Rows shrink to counts per value first. The position of a value is then the
+    sum of three running counts: over value >> 32 in the group, over value >> 16 in that, over the
+    values in that. The last two see at most 65536 rows, so no task ever orders a whole group.
     """
     by = list(by)
-    base = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("bigint").alias("_v"))
-    # Level 1: counts per top slice, group figures, wanted ranks.
-    group = Window.partitionBy(*(by or [F.lit(0)]))
-    top = base.groupBy(*by, F.shiftright("_v", shifts[0]).alias("_h")).agg(
-        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("min"), F.max("_v").alias("max"), F.sum("_v").alias("sum"))
-    upto = group.orderBy("_h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    top = top.withColumns({
-        "_end": F.sum("_c").over(upto), "n": F.sum("_c").over(group), "min": F.min("min").over(group),
-        "max": F.max("max").over(group), "sum": F.sum("sum").over(group)})
-    wanted = F.array(*[
-        F.struct(F.lit(name).alias("q"), F.lit(method == "linear").alias("mix"),
-                 (F.lit(float(q)) * (F.col("n") - 1)).alias("pos"))
-        for name, (q, method) in quantiles.items()
-    ])
-    stats = ["n", "min", "max", "sum"]
-    spots = top.withColumn("_w", F.explode(wanted))
-    last = F.when(F.col("_w.mix"), F.ceil("_w.pos")).otherwise(F.floor("_w.pos"))
-    spots = spots.withColumn("_at", F.explode(F.array_distinct(F.array(F.floor("_w.pos"), last))))
-    share = F.when(~F.col("_w.mix"), F.lit(1.0)).when(
-        F.col("_at") == F.floor("_w.pos"), 1 - (F.col("_w.pos") - F.floor("_w.pos"))).otherwise(
-        F.col("_w.pos") - F.floor("_w.pos"))
-    before = F.col("_end") - F.col("_c")
-    spots = spots.where((F.col("_at") >= before) & (F.col("_at") < F.col("_end"))).select(
-        *by, "_h", *stats, F.col("_w.q").alias("_q"), share.alias("_share"), (F.col("_at") - before).alias("_at"))
-    # Deeper levels: only rows of the slices found so far.
-    for wide, narrow in zip(shifts, shifts[1:]):
-        slice_keys = [*by, "_h"]
-        inside = base.withColumn("_h", F.shiftright("_v", wide)).join(
-            spots.select(*slice_keys).distinct(), slice_keys, "left_semi")
-        counts = inside.groupBy(*slice_keys, F.shiftright("_v", narrow).alias("_next")).agg(F.count(F.lit(1)).alias("_c"))
-        running = Window.partitionBy(*slice_keys).orderBy("_next").rowsBetween(
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("bigint").alias("_v")).agg(
+        F.count(F.lit(1)).alias("_c"))
+    counts = counts.withColumns({"_far": F.shiftright("_v", 32), "_near": F.shiftright("_v", 16)})
+
+    def running(keys: list[str], step: str):
+        return Window.partitionBy(*(keys or [F.lit(0)])).orderBy(step).rowsBetween(
             Window.unboundedPreceding, Window.currentRow)
-        counts = counts.withColumn("_end", F.sum("_c").over(running))
-        hit = (F.col("_at") >= before) & (F.col("_at") < F.col("_end"))
-        spots = spots.join(counts, slice_keys).where(hit).select(
-            *by, F.col("_next").alias("_h"), *stats, "_q", "_share", (F.col("_at") - before).alias("_at"))
-    return spots.groupBy(*by).agg(
-        *[F.max(s).alias(s) for s in stats],
-        *[F.sum(F.when(F.col("_q") == name, F.col("_h") * F.col("_share"))).alias(name) for name in quantiles])
+
+    near = counts.groupBy(*by, "_far", "_near").agg(
+        F.sum("_c").alias("_c"), F.min("_v").alias("min"), F.max("_v").alias("max"),
+        F.sum(F.col("_v") * F.col("_c")).alias("sum"))
+    far = near.groupBy(*by, "_far").agg(
+        F.sum("_c").alias("_c"), F.min("min").alias("min"), F.max("max").alias("max"), F.sum("sum").alias("sum"))
+    group = Window.partitionBy(*(by or [F.lit(0)]))
+    far = far.select(
+        *by, "_far", (F.sum("_c").over(running(by, "_far")) - F.col("_c")).alias("_far_start"), F.sum("_c").over(group).alias("n"),
+        F.min("min").over(group).alias("min"), F.max("max").over(group).alias("max"), F.sum("sum").over(group).alias("sum"))
+    near_start = F.sum("_c").over(running([*by, "_far"], "_near")) - F.col("_c")
+    near = near.select(*by, "_far", "_near", near_start.alias("_near_start")).join(far, [*by, "_far"])
+    inside = F.sum("_c").over(running([*by, "_far", "_near"], "_v"))
+    placed = counts.withColumn("_to", inside).join(near, [*by, "_far", "_near"])
+    placed = placed.withColumn("_to", F.col("_to") + F.col("_far_start") + F.col("_near_start"))
+    placed = placed.withColumn("_from", F.col("_to") - F.col("_c"))
+
+    def holds(position):
+        return (position >= F.col("_from")) & (position < F.col("_to"))
+
+    figures = []
+    needed = F.lit(False)
+    for name, (q, method) in quantiles.items():
+        at = F.lit(float(q)) * (F.col("n") - 1)
+        lower, upper = F.floor(at), F.ceil(at) if method == "linear" else F.floor(at)
+        up = (at - lower) if method == "linear" else F.lit(0.0)
+        needed = needed | holds(lower) | holds(upper)
+        share = F.when(holds(lower), 1 - up).otherwise(0.0) + F.when(holds(upper), up).otherwise(0.0)
+        figures.append(F.sum(F.col("_v") * share).alias(name))
+    return placed.where(needed).groupBy(*by).agg(*[F.max(s).alias(s) for s in ("n", "min", "max", "sum")], *figures)
