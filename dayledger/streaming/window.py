@@ -6,9 +6,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from dayledger.functions import scalars as S
 from dayledger.operators.quality import Rule, first_match
+from dayledger.sources import cdc
+from dayledger.sources.sinks import to_keyed_messages
+from dayledger.sources.specs import SERVICES_BY_STATUS
 
 WATERMARK = "30 seconds"
 WEEK = "7 days"
@@ -44,16 +48,58 @@ def weekly_by_status(services: DataFrame, watermark: str | None = None) -> DataF
                     "nombre_prestations", "semaine_debut", watermark)
 
 
-def rejected_services(services: DataFrame) -> DataFrame:
-    """Lines without creation date, without amount, or with a negative amount, with the reason."""
-    amount = F.col("PRESTATION_MONTANT_DEPENSE")
-    rules = [
-        Rule("date_creation_manquante", "", F.col("DATE_CREATION").isNull()),
+def _reject_rules(row: str = "") -> list[Rule]:
+    """Completeness rules on a service line; ``row`` names the struct that holds its columns."""
+    at = f"{row}." if row else ""
+    amount = F.col(f"{at}PRESTATION_MONTANT_DEPENSE")
+    return [
+        Rule("date_creation_manquante", "", F.col(f"{at}DATE_CREATION").isNull()),
         Rule("montant_manquant", "", amount.isNull()),
         Rule("montant_negatif", "", amount < 0),
     ]
-    flagged = services.withColumn("_hit", first_match(rules)).where(F.col("_hit").isNotNull())
-    return flagged.select(
-        F.col("FACTURE_NUMERO").alias("facture_numero"), F.col("PRESTATION_CODE").alias("prestation_code"),
-        amount.alias("montant_depense"), F.col("_hit.reason").alias("motif_rejet_qualite"),
-        F.col("DATE_CREATION").alias("date_creation_brute"))
+
+
+_REJECT_COLUMNS = {
+    "facture_numero": "FACTURE_NUMERO", "prestation_code": "PRESTATION_CODE",
+    "montant_depense": "PRESTATION_MONTANT_DEPENSE", "date_creation_brute": "DATE_CREATION"}
+REJECT_KEYS = ["facture_numero", "prestation_code"]
+
+
+def rejected_services(services: DataFrame) -> DataFrame:
+    """Lines without creation date, without amount, or with a negative amount, with the reason."""
+    flagged = services.withColumn("_hit", first_match(_reject_rules())).where(F.col("_hit").isNotNull())
+    return flagged.select(*[F.col(c).alias(n) for n, c in _REJECT_COLUMNS.items()],
+                          F.col("_hit.reason").alias("motif_rejet_qualite"))
+
+
+def reject_messages(raw: DataFrame) -> DataFrame:
+    """Upsert messages (key, value) of the reject topic, from change events alone.
+
+    A rejected row gives its message; a row that was rejected before the change and no longer is
+    (repaired or deleted) gives a tombstone. Before-images make this stateless.
+    """
+    events = cdc.decode(raw, SERVICES_BY_STATUS)
+    now = F.when(F.col("after").isNotNull(), first_match(_reject_rules("after")))
+    was = F.when(F.col("before").isNotNull(), first_match(_reject_rules("before")))
+    row = F.when(now.isNotNull(), F.col("after")).otherwise(F.col("before"))
+    changed = events.where(now.isNotNull() | was.isNotNull()).select(row.alias("r"), now.alias("_hit"))
+    rows = changed.select(*[F.col(f"r.{c}").alias(n) for n, c in _REJECT_COLUMNS.items()],
+                          F.col("_hit.reason").alias("motif_rejet_qualite"), F.col("_hit").isNull().alias("_gone"))
+    return to_keyed_messages(rows, REJECT_KEYS, "_gone")
+
+
+def window_messages(raw: DataFrame, watermark: str | None = WATERMARK) -> DataFrame:
+    """Upsert messages (key, value) of the weekly topic."""
+    services = SERVICES_BY_STATUS.with_derived(cdc.parse_envelope(raw, SERVICES_BY_STATUS))
+    return to_keyed_messages(weekly_by_status(services, watermark), ["semaine_debut", "statut_remboursement"])
+
+
+def run_weekly(raw: DataFrame, checkpoint: str, windows: dict[str, str], rejects: dict[str, str],
+               sink: str = "kafka", trigger: dict[str, object] | None = None) -> list[StreamingQuery]:
+    """Both outputs of the weekly job. ``windows`` / ``rejects`` are the options of each sink."""
+    started = []
+    for name, messages, options in (("windows", window_messages(raw), windows), ("rejects", reject_messages(raw), rejects)):
+        writer = messages.writeStream.format(sink).outputMode("append").options(**options)
+        writer = writer.option("checkpointLocation", f"{checkpoint}/{name}")
+        started.append(writer.trigger(**(trigger or {"availableNow": True})).start())
+    return started

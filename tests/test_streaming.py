@@ -89,3 +89,25 @@ def test_threshold_held(spark):
     assert [(r.started_at, r.fires_at, r.samples) for r in got] == [(t0 + dt.timedelta(minutes=1), t0 + dt.timedelta(minutes=6), 6)]
     assert health.threshold_held(df, "s", "t", "v", 10, "2 MINUTES").count() == 1
     assert health.threshold_held(df, "s", "t", "v", 10, "2 MINUTES", no_data="alert").count() == 2
+
+
+def change(i, before, after, lsn):
+    def row(amount):
+        return amount and json.loads(event(i, "2026-09-03T00:00:00.000Z", *amount))["after"]
+    op = "d" if after is None else "u" if before else "c"
+    return json.dumps({"before": row(before), "after": row(after), "op": op, "ts_ms": 1, "source": {"ts_ms": 1, "lsn": lsn}})
+
+
+def test_weekly_job_writes_messages_and_tombstones(spark, tmp_path):
+    put(tmp_path, "a.json", event(1, "2026-09-03T00:00:00.000Z", -1.0), change(2, None, (-2.0,), 2), change(3, None, (-3.0,), 3))
+    put(tmp_path, "b.json", change(2, (-2.0,), (5.0,), 4), change(3, (-3.0,), None, 5), change(4, None, (1.0,), 6), change(4, (1.0,), (2.0,), 7))
+    for query in window.run_weekly(
+            cdc.read_files(spark, str(tmp_path / "in")), str(tmp_path / "check"), {"path": str(tmp_path / "w")},
+            {"path": str(tmp_path / "r")}, sink="parquet"):
+        query.awaitTermination()
+    rejects = spark.read.parquet(str(tmp_path / "r"))
+    assert rejects.count() == 5  # three rejects, then one repair and one delete
+    gone = {json.loads(r.key)["facture_numero"] for r in rejects.where("value is null").collect()}
+    left = {json.loads(r.value)["motif_rejet_qualite"] for r in rejects.where("value is not null").collect()}
+    assert gone == {"F2", "F3"} and left == {"montant_negatif"}
+    assert spark.read.parquet(str(tmp_path / "w")).columns == ["key", "value"]
