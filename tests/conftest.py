@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = local_session(
-        "4", "tests", spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
+        "4", "tests", spark__sql__shuffle__partitions="2", spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")))
     yield session
     session.stop()
