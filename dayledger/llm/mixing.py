@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from dayledger.llm.common import running_sum, stored, words
 
-#: Words a slice of a queue holds on average; a slice is what one task numbers.
-SLICE_WORDS = 4_000_000
+#: A slice is what one task numbers: so many words, or the millionth part of the budget if that is more,
+#: which keeps the totals of all slices few.
+SLICE_WORDS, MOST_SLICES = 65_536, 1_000_000
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...], share: float, repeats: int) -> DataFrame:
@@ -65,8 +66,9 @@ def mix(rows: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: fl
     ``stream_start`` is the number of words of the stream before the copy: order by it to read the mix.
     """
     budget = (rows.agg(F.sum("size")).first()[0] or 0) * share
+    slice_words = max(SLICE_WORDS, budget / MOST_SLICES)
     entries = rows.filter("size > 0").groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("n_rows"))
-    queue = queued(entries, goals(rows, weights, share, repeats), seed)
+    queue = queued(entries, goals(rows, weights, share, repeats), seed, slice_words)
     copies = queue.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))) \
         .withColumn("queue_end", F.col("end") + F.col("copy") * F.col("source_size")) \
         .withColumn("words", F.greatest(F.lit(0), F.least(
@@ -74,7 +76,7 @@ def mix(rows: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: fl
         .filter("words > 0") \
         .withColumn("finish", F.col("queue_end") / F.col("target"))
     # Equal stretches of virtual time hold equal numbers of words: they are the ranges of the sort.
-    n_ranges = max(1, round(budget / SLICE_WORDS))
+    n_ranges = max(1, round(budget / slice_words))
     placed = running_sum(
         copies.withColumn("range", F.floor(F.col("finish") * n_ranges).cast("long")), "words", "stream_end", [], "range",
         [F.col("finish"), F.col("source").asc_nulls_last(), F.col("key"), F.col("doc_id"), F.col("size"), F.col("copy")])
@@ -84,14 +86,15 @@ def mix(rows: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: fl
         .select("doc_id", "source", "size", "n_rows", "source_size", "target", "copy", "finish", "stream_start", "words")
 
 
-def queued(entries: DataFrame, goal: DataFrame, seed: int) -> DataFrame:
+def queued(entries: DataFrame, goal: DataFrame, seed: int, slice_words: float) -> DataFrame:
     """Every entry with its source's target and ``end``: words of its queue up to its own last word."""
     joined = same(entries, goal, ["source"], "inner")
-    key = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size")), 11)
-    # A uniform key cut into equal stretches: about SLICE_WORDS words each.
-    stretches = F.greatest(F.lit(1), F.ceil(F.col("source_size") / SLICE_WORDS))
+    ticket = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string")))
+    key = F.conv(F.substring(ticket, 1, 13), 16, 10).cast("long")
+    # A uniform key cut into equal stretches: about ``slice_words`` each.
+    stretches = F.greatest(F.lit(1), F.ceil(F.col("source_size") / slice_words))
     keyed = joined.withColumn("load", F.col("size") * F.col("n_rows")).withColumn("key", key) \
-        .withColumn("stretch", F.floor(F.col("key") / F.lit(2.0 ** 53) * stretches).cast("long"))
+        .withColumn("stretch", F.floor(F.col("key") / F.lit(2.0 ** 52) * stretches).cast("long"))
     return running_sum(keyed, "load", "end", ["source"], "stretch", [F.col("key"), F.col("doc_id"), F.col("size")])
 
 

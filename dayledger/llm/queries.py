@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.llm import mixing, sharding
+from dayledger.llm import exact_dedup, mixing, sharding, simhash
 from dayledger.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +30,47 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of near equal bytes, equal texts together where they fit."""
     return sharding.shard(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts over all documents; the largest doc_id stays."""
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op2_exact_dedup"] = """
+WITH d AS (
+  SELECT doc_id, sha256(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+  FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, text_sha256
+FROM d WINDOW w AS (PARTITION BY text_sha256)"""
+
+ORACLES["op1_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(COALESCE(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rk FROM d GROUP BY source),
+w AS (SELECT *, CASE (rk - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w, 2.0::DOUBLE * source_size AS cap FROM s),
+f AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - COALESCE(sum(cap) OVER before, 0))
+                / (sum(w) OVER () - COALESCE(sum(w) OVER before, 0)) AS level, row_number() OVER (ORDER BY cap / w, source NULLS LAST) AS pos
+      FROM w WINDOW before AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+o AS (SELECT pos AS open_at, level AS open_level FROM f WHERE level * w < cap ORDER BY pos LIMIT 1),
+t AS (SELECT source, source_size, CASE WHEN open_at IS NULL OR pos < open_at THEN cap ELSE least(cap, open_level * w) END AS target
+      FROM f LEFT JOIN o ON true),
+e AS (SELECT source, doc_id, size, count(*) AS n FROM d WHERE size > 0 GROUP BY ALL),
+k AS (SELECT e.*, t.source_size, t.target, size * n AS load,
+             CAST('0x' || left(md5('17|' || COALESCE(CAST(doc_id AS VARCHAR), '') || '|' || CAST(size AS VARCHAR)), 13) AS BIGINT) AS key
+      FROM e JOIN t ON e.source IS NOT DISTINCT FROM t.source),
+q AS (SELECT *, sum(load) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) AS stop FROM k),
+x AS (SELECT source, doc_id, size, (greatest(0, least(load, floor(target) - stop + load))
+             + greatest(0, least(load, floor(target) - stop - source_size + load))) // n AS taken FROM q)
+SELECT d.doc_id, d.size, t.source_size, t.target, CAST(COALESCE(x.taken, 0) AS BIGINT) AS taken
+FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+LEFT JOIN x ON d.source IS NOT DISTINCT FROM x.source AND d.doc_id IS NOT DISTINCT FROM x.doc_id AND d.size = x.size"""
+
+
+@query
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and the groups linked at 4 or fewer differing bits."""
+    found = simhash.grouped(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
