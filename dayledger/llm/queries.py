@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.llm import exact_dedup, mixing, sharding, simhash
+from dayledger.llm import decontaminate, exact_dedup, mixing, sharding, simhash
 from dayledger.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and the groups linked at 4 or fewer differing bits."""
     found = simhash.grouped(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of documents and benchmark items that the documents hold, exact or edited."""
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.round("score", 6).alias("score"), "first_word", "last_word")
