@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.llm import decontaminate, exact_dedup, mixing, sharding, simhash
+from dayledger.llm import decontaminate, exact_dedup, mixing, sharding, simhash, url_filter
 from dayledger.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of documents and benchmark items that the documents hold, exact or edited."""
     found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", F.round("score", 6).alias("score"), "first_word", "last_word")
+
+
+@query
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by rule, else by trust and distrust that links carry between hosts."""
+    return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLES["op9_url_filter"] = url_filter.sql()
