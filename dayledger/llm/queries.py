@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.llm import decontaminate, exact_dedup, mixing, sharding, simhash, url_filter
+from dayledger.llm import decontaminate, exact_dedup, html_extract, mixing, sharding, simhash, url_filter
 from dayledger.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,10 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op9_url_filter"] = url_filter.sql()
+
+
+@query
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_extract.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
