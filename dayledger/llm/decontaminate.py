@@ -48,6 +48,14 @@ def item_grams(items: DataFrame, n: int) -> DataFrame:
     return items.mapInPandas(run, "item_id long, pos int, n_words int, width int, gram long")
 
 
+def portions(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[textbytes.Words, pd.DataFrame]]:
+    """The words of the ``text`` column, a bounded part of a batch at a time, and its rows."""
+    for batch in batches:
+        texts = list(batch["text"])
+        for part in textbytes.portions(texts):
+            yield textbytes.split(texts[part], textbytes.ALNUM), batch.iloc[part]
+
+
 def lookup(values: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where ``values`` occur in the sorted ``table``: (index of value, index in table)."""
     if not len(table):
@@ -66,13 +74,12 @@ def document_counts(docs: DataFrame, grams: np.ndarray, widths: list[int]) -> Da
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(len(sent.value), np.int64)
-        for batch in batches:
-            words = textbytes.split(list(batch["text"]), textbytes.ALNUM)
+        for words, _ in portions(batches):
             for width in widths:
                 gram, at = textbytes.grams(words, width)
                 found, place = lookup(gram.view(np.int64), sent.value)
                 pairs = np.unique(words.doc[at[found]].astype(np.int64) * len(sent.value) + place)
-                counts += np.bincount(pairs % max(1, len(sent.value)), minlength=len(sent.value))
+                np.add.at(counts, pairs % max(1, len(sent.value)), 1)
         held = np.flatnonzero(counts)
         yield pd.DataFrame({"gram": sent.value[held], "n_docs": counts[held]})
 
@@ -96,8 +103,7 @@ def proposals(docs: DataFrame, seeds_: pd.DataFrame, slack: float) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table, keys, spans, widths = sent.value
-        for batch in batches:
-            words = textbytes.split(list(batch["text"]), textbytes.ALNUM)
+        for words, batch in portions(batches):
             hits = []
             for width in widths:
                 gram, at = textbytes.grams(words, width)

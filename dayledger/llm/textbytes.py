@@ -6,6 +6,7 @@ polynomial over their bytes and kept as arrays; no Python object is made per wor
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,6 +41,18 @@ class Words:
     first: np.ndarray
 
 
+def portions(texts: list[str | None], characters: int = 1 << 20) -> Iterator[slice]:
+    """Consecutive parts of ``texts`` of about so many characters; a longer text is a part of its own."""
+    start = size = 0
+    for k, text in enumerate(texts):
+        if size and size + len(text or "") > characters:
+            yield slice(start, k)
+            start, size = k, 0
+        size += len(text or "") + 1
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
 def lower(raw: np.ndarray) -> np.ndarray:
     """Lower case of ASCII and of the accented Latin letters U+00C0 to U+00DE."""
     low = raw.copy()
@@ -64,15 +77,16 @@ def split(texts: list[str | None], inside: np.ndarray) -> Words:
     return Words(raw, low, start, stop, hashes(low, start, stop), doc, first)
 
 
-def hashes(low: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word. Bytes beyond 256 of one word wrap around to the first power."""
-    if not len(start):
-        return np.zeros(0, np.uint64)
-    length = stop - start
-    at = np.repeat(start - np.r_[0, np.cumsum(length)[:-1]], length) + np.arange(length.sum())
-    offset = at - np.repeat(start, length)
-    sums = np.add.reduceat((low[at].astype(np.uint64) + np.uint64(1)) * POWERS[offset & 255], np.r_[0, np.cumsum(length)[:-1]])
-    return mix(sums ^ length.astype(np.uint64))
+def hashes(low: np.ndarray, start: np.ndarray, stop: np.ndarray, at_once: int = 1 << 16) -> np.ndarray:
+    """64-bit hash of each word, ``at_once`` words at a time. Beyond 256 bytes of a word the powers repeat."""
+    out = np.zeros(len(start), np.uint64)
+    for k in range(0, len(start), at_once):
+        first, length = start[k:k + at_once], (stop - start)[k:k + at_once]
+        edge = np.r_[0, np.cumsum(length)[:-1]]
+        offset = np.arange(length.sum()) - np.repeat(edge, length)
+        value = low[offset + np.repeat(first, length)].astype(np.uint64) + np.uint64(1)
+        out[k:k + at_once] = mix(np.add.reduceat(value * POWERS[offset & 255], edge) ^ length.astype(np.uint64))
+    return out
 
 
 def mix(x: np.ndarray) -> np.ndarray:
