@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.llm import decontaminate, exact_dedup, html_extract, mixing, quality, sharding, simhash, url_filter
+from dayledger.llm import decontaminate, exact_dedup, html_extract, mixing, quality, sharding, simhash, toxicity, url_filter
 from dayledger.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from two thirds of the labels."""
     found = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from three quarters of the labels."""
+    found = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
