@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.llm import decontaminate, exact_dedup, html_extract, mixing, quality, sharding, simhash, toxicity, url_filter
+from dayledger.llm import decontaminate, exact_dedup, html_extract, mixing, pii, quality, sharding, simhash, toxicity, url_filter
 from dayledger.llm.common import table
 
+#: Key of the registered query; users bring their own.
+PII_KEY = b"surrogates"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -111,3 +114,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned from three quarters of the labels."""
     found = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced, and the kinds of what was found."""
+    found = pii.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
+    return found.select("doc_id", F.size("spans").cast("long").alias("n_entities"),
+                        F.array_join(F.array_sort(F.array_distinct(F.col("spans.kind"))), ",").alias("kinds"), "text")

@@ -197,3 +197,24 @@ def grouped(docs: DataFrame, width: int = 4, text: str = "text", doc_id: str = "
     classed = prints.join(roots, F.col("fp") == F.col("a"), "left").withColumn("root", F.coalesce("root", "fp"))
     ids = classed.groupBy("root").agg(F.min("first").alias("component_id"))
     return rows.join(stored(classed.join(ids, "root").select("fp", "component_id")), "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, width: int = 5, text: str = "text", doc_id: str = "doc_id", dense: int = DENSE) -> DataFrame:
+    """``docs`` with one document of each group, that of the smallest id (nulls last), all columns kept.
+
+    Only what belongs to a group of several rows is joined back, by a hash of the text; of rows equal in
+    all columns one stays."""
+    row, key = F.xxhash64(*docs.columns), F.xxhash64(text)
+    rows = stored(docs.select(F.col(doc_id).alias("doc_id"), key.alias("text_key"), row.alias("row_key"), fingerprints(width)(F.col(text)).alias("fp")))
+    prints = stored(rows.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first")))
+    roots = components(links(prints.select("fp"), dense))
+    classed = prints.join(roots, F.col("fp") == F.col("a"), "left").withColumn("root", F.coalesce("root", "fp"))
+    groups = classed.groupBy("root").agg(F.sum("n").alias("n"), F.min("first").alias("first")).filter("n > 1")
+    keepers = classed.select("fp", "root").join(groups, "root").select("fp", F.col("first.row_key").alias("keeper"))
+    members = stored(rows.join(stored(keepers), "fp").select(F.col("text_key").alias("__text_key"), F.col("keeper").alias("__keeper")).distinct())
+
+    packed = docs.select(F.struct(*docs.columns).alias("__row"), row.alias("__row_key"), key.alias("__key"))
+    judged = packed.join(members, F.col("__key") == F.col("__text_key"), "left")
+    alone = judged.filter("__keeper IS NULL").select("__row.*")
+    kept = judged.filter("__keeper = __row_key").select("__row.*")
+    return alone.unionByName(kept.dropDuplicates())
