@@ -32,9 +32,9 @@ from dayledger.llm import textbytes
 from dayledger.llm.common import stored
 from dayledger.llm.quality import held_out, sampled
 
-ORDER = 7
+ORDER = 5
 SAMPLE_DOCS = 100_000
-MAX_GRAMS = 4_000_000
+MAX_GRAMS = 1_000_000
 #: One of so many labelled documents calibrates instead of being counted.
 CALIBRATION = 5
 #: Words of a passage.
@@ -150,8 +150,9 @@ def bounded(table: DataFrame, key: str) -> tuple[np.ndarray, np.ndarray]:
     if n > MAX_GRAMS:
         least = table.agg(F.percentile_approx("gain", 1 - MAX_GRAMS / n, 10_000)).first()[0]
         table = table.filter(F.col("gain") > least)
-    rows = table.select(key, F.col("ratio").cast("float")).toPandas().sort_values(key)
-    return rows[key].to_numpy(), rows["ratio"].to_numpy()
+    rows = table.select(key, F.col("ratio").cast("float")).toArrow()
+    order = np.argsort(rows[key].to_numpy(), kind="stable")
+    return rows[key].to_numpy()[order], rows["ratio"].to_numpy()[order]
 
 
 def found_in(values: np.ndarray, keys: np.ndarray, ratios_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
