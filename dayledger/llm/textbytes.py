@@ -41,7 +41,7 @@ class Words:
     first: np.ndarray
 
 
-def portions(texts: list[str | None], characters: int = 1 << 20) -> Iterator[slice]:
+def portions(texts: list[str | None], characters: int = 1 << 19) -> Iterator[slice]:
     """Consecutive parts of ``texts`` of about so many characters; a longer text is a part of its own."""
     start = size = 0
     for k, text in enumerate(texts):
