@@ -28,6 +28,10 @@ class _BatchTable:
     def _write_delta(self, df: DataFrame, batch: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/delta/batch={batch}")
 
+    def delta(self, batch: int) -> DataFrame:
+        """What one finished batch added."""
+        return self._read_paths([f"{self.path}/delta/batch={batch}"], self.schema)
+
     def batches(self, before: int | None = None) -> list[int]:
         done = numbered(self.spark, f"{self.path}/delta", "batch")
         return done if before is None else [b for b in done if b < before]

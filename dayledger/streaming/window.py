@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from dayledger.functions import scalars as S
@@ -13,6 +16,7 @@ from dayledger.operators.quality import Rule, first_match
 from dayledger.sources import cdc
 from dayledger.sources.sinks import to_keyed_messages
 from dayledger.sources.specs import SERVICES_BY_STATUS
+from dayledger.streaming.tables import KeyedTable, SumTable
 
 WATERMARK = "30 seconds"
 WEEK = "7 days"
@@ -41,19 +45,23 @@ def windowed(df: DataFrame, time: str, length: str, by: Sequence[str], sums: Map
 
 def weekly_by_status(services: DataFrame, watermark: str | None = None) -> DataFrame:
     """Service lines per 7-day window and refund status."""
-    prepared = services.withColumns({
+    summed = windowed(_weekly_rows(services), "event_time", WEEK, ["statut_remboursement"], {"montant_total": "montant"},
+                      "nombre_prestations", "semaine_debut", watermark)
+    return summed.withColumn("montant_total", F.col("montant_total").cast("double"))
+
+
+def _weekly_rows(services: DataFrame) -> DataFrame:
+    """Status and amount as the weekly sums take them. Decimal, so that no sum depends on its order."""
+    return services.withColumns({
         "statut_remboursement": S.or_unknown("STATUT_REMBOURSEMENT", "inconnu"),
-        "montant": F.coalesce("PRESTATION_MONTANT_DEPENSE", F.lit(0.0))})
-    return windowed(prepared, "event_time", WEEK, ["statut_remboursement"], {"montant_total": "montant"},
-                    "nombre_prestations", "semaine_debut", watermark)
+        "montant": F.coalesce(F.col("PRESTATION_MONTANT_DEPENSE").cast("decimal(18,2)"), F.lit(0).cast("decimal(18,2)"))})
 
 
-def _reject_rules(row: str = "") -> list[Rule]:
-    """Completeness rules on a service line; ``row`` names the struct that holds its columns."""
-    at = f"{row}." if row else ""
-    amount = F.col(f"{at}PRESTATION_MONTANT_DEPENSE")
+def _reject_rules() -> list[Rule]:
+    """Completeness rules on a service line."""
+    amount = F.col("PRESTATION_MONTANT_DEPENSE")
     return [
-        Rule("date_creation_manquante", "", F.col(f"{at}DATE_CREATION").isNull()),
+        Rule("date_creation_manquante", "", F.col("DATE_CREATION").isNull()),
         Rule("montant_manquant", "", amount.isNull()),
         Rule("montant_negatif", "", amount < 0),
     ]
@@ -72,34 +80,86 @@ def rejected_services(services: DataFrame) -> DataFrame:
                           F.col("_hit.reason").alias("motif_rejet_qualite"))
 
 
-def reject_messages(raw: DataFrame) -> DataFrame:
-    """Upsert messages (key, value) of the reject topic, from change events alone.
+WEEK_KEYS = ("semaine_debut", "statut_remboursement")
+
 
-    A rejected row gives its message; a row that was rejected before the change and no longer is
-    (repaired or deleted) gives a tombstone. Before-images make this stateless.
+@dataclass(frozen=True)
+class WeeklyLedger:
+    """The tables behind the weekly job: current service lines, and signed sums per week and status.
+
+    Every batch compares the lines of the touched invoices before and after it. A corrected line leaves
+    its old window and enters the new one, a deleted line leaves, and an event delivered again, or older
+    than what is known, changes nothing: neither a sum nor a reject that was repaired comes back.
     """
-    events = cdc.decode(raw, SERVICES_BY_STATUS)
-    now = F.when(F.col("after").isNotNull(), first_match(_reject_rules("after")))
-    was = F.when(F.col("before").isNotNull(), first_match(_reject_rules("before")))
-    row = F.when(now.isNotNull(), F.col("after")).otherwise(F.col("before"))
-    changed = events.where(now.isNotNull() | was.isNotNull()).select(row.alias("r"), now.alias("_hit"))
-    rows = changed.select(*[F.col(f"r.{c}").alias(n) for n, c in _REJECT_COLUMNS.items()],
-                          F.col("_hit.reason").alias("motif_rejet_qualite"), F.col("_hit").isNull().alias("_gone"))
-    return to_keyed_messages(rows, REJECT_KEYS, "_gone")
+
+    spark: SparkSession
+    root: str
+    buckets: int = 16
+
+    def lines(self) -> KeyedTable:
+        spec = SERVICES_BY_STATUS
+        order = T.StructType.fromDDL("lsn bigint, offset bigint")
+        schema = T.StructType([*spec.schema.fields, T.StructField(cdc.OP, T.StringType()), T.StructField(cdc.ORDER, order)])
+        return KeyedTable(self.spark, f"{self.root}/lines", schema, spec.keys, spec.keys[0], self.buckets)
+
+    def sums(self) -> SumTable:
+        schema = T.StructType.fromDDL("semaine_debut timestamp_ntz, statut_remboursement string, nombre_prestations bigint, "
+                                      "montant_total decimal(18,2), maj_le timestamp")
+        return SumTable(self.spark, f"{self.root}/weeks", schema, WEEK_KEYS, "nombre_prestations", ("montant_total",))
+
+    def read(self, before: int | None = None) -> DataFrame:
+        """Current sums per week and status."""
+        return self.sums().read(before).drop("maj_le").withColumn("montant_total", F.col("montant_total").cast("double"))
+
+    def process(self, raw: DataFrame, batch: int) -> tuple[DataFrame, DataFrame]:
+        """Apply one batch; the messages (key, value) of both topics that follow from it. Applying a batch
+        again writes and returns the same."""
+        spec = SERVICES_BY_STATUS
+        events = cdc.parse_envelope(raw, spec)
+        changes = cdc.normalize_changelog(events, spec.keys, keep_deletes=True).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self.lines().append(changes, batch)
+            touched = changes.select(spec.keys[0]).distinct()
+            old, new = (self.lines().read(upto, touched) for upto in (batch, batch + 1))
+            signed = self._weeks(old, -1).unionByName(self._weeks(new, 1))
+            self.sums().append_signed(signed, {"montant_total": "montant"}, batch)
+        finally:
+            changes.unpersist()
+        moved = self.sums().delta(batch).select(*WEEK_KEYS)
+        held = self.read(batch + 1).withColumn("_held", F.lit(True))
+        weeks = moved.join(held, list(WEEK_KEYS), "left").withColumn("_gone", F.col("_held").isNull()).drop("_held")
+        return to_keyed_messages(weeks, WEEK_KEYS, "_gone"), self._reject_messages(old, new)
+
+    def _weeks(self, lines: DataFrame, sign: int) -> DataFrame:
+        timed = _weekly_rows(SERVICES_BY_STATUS.with_derived(lines)).where(F.col("event_time").isNotNull())
+        return timed.select(F.window("event_time", WEEK)["start"].alias("semaine_debut"), "statut_remboursement", "montant", F.lit(sign).alias("_sign"))
+
+    def _reject_messages(self, old: DataFrame, new: DataFrame) -> DataFrame:
+        """A rejected line gives its message; one that was rejected and no longer is gives a tombstone."""
+        was, now = rejected_services(old).distinct(), rejected_services(new)
+        fresh = now.exceptAll(was).withColumn("_gone", F.lit(False))
+        gone = was.join(now.select(*REJECT_KEYS), REJECT_KEYS, "left_anti").withColumn("_gone", F.lit(True))
+        return to_keyed_messages(fresh.unionByName(gone), REJECT_KEYS, "_gone")
 
 
 def window_messages(raw: DataFrame, watermark: str | None = WATERMARK) -> DataFrame:
-    """Upsert messages (key, value) of the weekly topic."""
+    """Messages (key, value) of the weekly sums of an insert-only source, one per closed window.
+
+    For a source with updates, deletes or repeats use ``run_weekly``."""
     services = SERVICES_BY_STATUS.with_derived(cdc.parse_envelope(raw, SERVICES_BY_STATUS))
-    return to_keyed_messages(weekly_by_status(services, watermark), ["semaine_debut", "statut_remboursement"])
+    return to_keyed_messages(weekly_by_status(services, watermark), WEEK_KEYS)
 
 
 def run_weekly(raw: DataFrame, checkpoint: str, windows: dict[str, str], rejects: dict[str, str],
-               sink: str = "kafka", trigger: dict[str, object] | None = None) -> list[StreamingQuery]:
-    """Both outputs of the weekly job. ``windows`` / ``rejects`` are the options of each sink."""
-    started = []
-    for name, messages, options in (("windows", window_messages(raw), windows), ("rejects", reject_messages(raw), rejects)):
-        writer = messages.writeStream.format(sink).outputMode("append").options(**options)
-        writer = writer.option("checkpointLocation", f"{checkpoint}/{name}")
-        started.append(writer.trigger(**(trigger or {"availableNow": True})).start())
-    return started
+               sink: str = "kafka", trigger: dict[str, object] | None = None) -> StreamingQuery:
+    """The weekly job: one read of the source feeds both outputs. ``windows`` / ``rejects`` are the
+    options of each sink. Its tables live beside the checkpoint and start anew with it. A batch that is
+    retried may send its messages again; they are upserts, so readers see the same."""
+    ledger = WeeklyLedger(raw.sparkSession, f"{checkpoint}/tables")
+
+    def apply(batch: DataFrame, number: int) -> None:
+        for messages, options in zip(ledger.process(batch, number), (windows, rejects)):
+            messages.write.format(sink).mode("append").options(**options).save()
+
+    writer = raw.writeStream.foreachBatch(apply).option("checkpointLocation", f"{checkpoint}/source")
+    return writer.trigger(**(trigger or {"availableNow": True})).start()

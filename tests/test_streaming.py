@@ -98,16 +98,45 @@ def change(i, before, after, lsn):
     return json.dumps({"before": row(before), "after": row(after), "op": op, "ts_ms": 1, "source": {"ts_ms": 1, "lsn": lsn}})
 
 
-def test_weekly_job_writes_messages_and_tombstones(spark, tmp_path):
-    put(tmp_path, "a.json", event(1, "2026-09-03T00:00:00.000Z", -1.0), change(2, None, (-2.0,), 2), change(3, None, (-3.0,), 3))
-    put(tmp_path, "b.json", change(2, (-2.0,), (5.0,), 4), change(3, (-3.0,), None, 5), change(4, None, (1.0,), 6), change(4, (1.0,), (2.0,), 7))
-    for query in window.run_weekly(
-            cdc.read_files(spark, str(tmp_path / "in")), str(tmp_path / "check"), {"path": str(tmp_path / "w")},
-            {"path": str(tmp_path / "r")}, sink="parquet"):
-        query.awaitTermination()
-    rejects = spark.read.parquet(str(tmp_path / "r"))
-    assert rejects.count() == 5  # three rejects, then one repair and one delete
-    gone = {json.loads(r.key)["facture_numero"] for r in rejects.where("value is null").collect()}
-    left = {json.loads(r.value)["motif_rejet_qualite"] for r in rejects.where("value is not null").collect()}
-    assert gone == {"F2", "F3"} and left == {"montant_negatif"}
-    assert spark.read.parquet(str(tmp_path / "w")).columns == ["key", "value"]
+def weekly(spark, tmp_path, *batches):
+    """Messages of both topics after the given batches of events: {key: last value}."""
+    for n, lines in enumerate(batches):
+        put(tmp_path, f"{n}.json", *lines)
+        window.run_weekly(cdc.read_files(spark, str(tmp_path / "in")), str(tmp_path / "check"), {"path": str(tmp_path / "w" / f"n={n}")},
+                          {"path": str(tmp_path / "r" / f"n={n}")}, sink="parquet").awaitTermination()
+    out = []
+    for topic, key in (("w", "statut_remboursement"), ("r", "facture_numero")):
+        last: dict = {}
+        for r in spark.read.parquet(str(tmp_path / topic)).orderBy("n").collect():
+            last[json.loads(r.key)[key]] = r.value and json.loads(r.value)
+        out.append(last)
+    return out
+
+
+def test_weekly_job_retracts(spark, tmp_path):
+    """Create 10, update to 12, delete; another line delivered twice: only the second line counts."""
+    weeks, _ = weekly(spark, tmp_path, [change(1, None, (10.0,), 1), change(2, None, (5.0,), 2)],
+                      [change(1, (10.0,), (12.0,), 3), change(2, None, (5.0,), 2)], [change(1, (12.0,), None, 4)])
+    (only,) = weeks.values()
+    assert (only["nombre_prestations"], only["montant_total"]) == (1, 5.0)
+    weeks, _ = weekly(spark, tmp_path, [], [], [], [change(2, (5.0,), None, 5)])
+    assert list(weeks.values()) == [None]  # the emptied window is withdrawn
+
+
+def test_weekly_job_moves_a_line_to_another_week(spark, tmp_path):
+    first, later = event(1, "2026-09-03T00:00:00.000Z", 7.0), json.loads(event(1, "2026-09-20T00:00:00.000Z", 7.0))
+    later |= {"op": "u", "source": {"ts_ms": 9, "lsn": 9}}
+    for n, lines in enumerate(([first], [json.dumps(later)])):
+        put(tmp_path, f"{n}.json", *lines)
+        window.run_weekly(cdc.read_files(spark, str(tmp_path / "in")), str(tmp_path / "check"), {"path": str(tmp_path / "w" / f"n={n}")},
+                          {"path": str(tmp_path / "r" / f"n={n}")}, sink="parquet").awaitTermination()
+    got = {json.loads(r.key)["semaine_debut"][:10]: r.value is not None for r in spark.read.parquet(str(tmp_path / "w")).orderBy("n").collect()}
+    assert sorted(got.items()) == [("2026-09-03", False), ("2026-09-17", True)]
+
+
+def test_rejects_are_repaired_for_good(spark, tmp_path):
+    _, rejects = weekly(
+        spark, tmp_path, [event(1, "2026-09-03T00:00:00.000Z", -1.0), change(2, None, (-2.0,), 2), change(3, None, (-3.0,), 3)],
+        [change(2, (-2.0,), (5.0,), 4), change(3, (-3.0,), None, 5), change(4, None, (1.0,), 6), change(4, (1.0,), (2.0,), 7)],
+        [change(2, None, (-2.0,), 2), change(3, None, (-3.0,), 3)])  # old events, delivered again
+    assert {k: v and v["motif_rejet_qualite"] for k, v in rejects.items()} == {"F1": "montant_negatif", "F2": None, "F3": None}
