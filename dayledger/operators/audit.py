@@ -42,7 +42,7 @@ def verify_chain(manifest: DataFrame, actual: DataFrame, position: str, by: Sequ
     """Per manifest line: missing, altered, broken before, invalid; ``ok`` when none holds.
 
     ``manifest`` has name, file_hash, previous, chain and a gap-free ``position`` (see
-    ``global_row_number``) within ``by``; ``actual`` has name and actual_hash. The line before is
+    ``ranking.row_numbers``) within ``by``; ``actual`` has name and actual_hash. The line before is
     found by an equality join on position, so that a long chain is checked in parallel.
     """
     keys = [*by, position]

@@ -26,7 +26,7 @@ def _pairs(injected: DataFrame, detected: DataFrame) -> DataFrame:
 def recall_by_code(injected: DataFrame, detected: DataFrame, total: str = "TOTAL") -> DataFrame:
     """Per injected code: injected, found, recall %, surplus detections; plus a total row.
 
-    Both sides are sets of (code, key).
+    Both sides are sets of (code, key). An injected row without key counts as injected and is never found.
     """
     inj, det = F.col("inj"), F.col("det")
     per_code = _pairs(injected, detected).groupBy("code").agg(
@@ -88,7 +88,7 @@ def first_sample_at_or_above(wanted: DataFrame, samples: DataFrame, threshold: s
 
     Thresholds are unique BIGINTs. Samples shrink to one row per counter value, so a slice of
     ``width`` counter values has at most ``2 * width`` rows: the running minimum is taken inside
-    slices, and the minimum of all higher slices is added from one row per slice.
+    slices, and the minimum of all higher slices is added in two more levels of the same width.
     """
     per_count = samples.groupBy(F.col(counter).cast("bigint").alias("_c")).agg(F.min(time).alias("_t"))
     slice_of = F.floor(F.col("_c") / width)
@@ -96,9 +96,13 @@ def first_sample_at_or_above(wanted: DataFrame, samples: DataFrame, threshold: s
         wanted.select(F.col(threshold).cast("bigint").alias("_c"), F.lit(None).cast(
             per_count.schema["_t"].dataType).alias("_t"), F.lit(True).alias("_wanted")))
     points = points.withColumn("_slice", slice_of)
-    later = Window.orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carry = points.groupBy("_slice").agg(F.min("_t").alias("_m")).select(
-        "_slice", F.min("_m").over(later).alias("_carry"))
+    near = points.groupBy("_slice").agg(F.min("_t").alias("_m")).withColumn("_far", F.floor(F.col("_slice") / width))
+    far = near.groupBy("_far").agg(F.min("_m").alias("_m"))
+    beyond = Window.orderBy(F.col("_far").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    far = far.select("_far", F.min("_m").over(beyond).alias("_beyond"))
+    later = Window.partitionBy("_far").orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carry = near.withColumn("_later", F.min("_m").over(later)).join(far, "_far").select(
+        "_slice", F.least("_later", "_beyond").alias("_carry"))
     # Samples sort before the threshold of the same value: reaching it counts.
     inside = Window.partitionBy("_slice").orderBy(F.col("_c").desc(), "_wanted").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -111,7 +115,7 @@ def first_sample_at_or_above(wanted: DataFrame, samples: DataFrame, threshold: s
 def kth_arrival(numbered: DataFrame, samples: DataFrame, start: int, created: str, counter: str, time: str) -> DataFrame:
     """Delay of the k-th arrival: first sample with counter >= start + k. Unseen arrivals go.
 
-    ``numbered`` has ``k`` (see ``global_row_number``) and the creation time.
+    ``numbered`` has ``k`` (see ``ranking.row_numbers``) and the creation time.
     """
     wanted = numbered.withColumn("_need", F.col("k") + F.lit(start))
     seen = first_sample_at_or_above(wanted, samples, "_need", counter, time).where(F.col("seen_at").isNotNull())
@@ -156,7 +160,7 @@ def stage_latency(delays: DataFrame) -> DataFrame:
                           (F.col("p95_ms") / ms).alias("p95_ms"))
 
 
-def recovery_summary(probes: DataFrame, invoices: int, services: int, expected_events: int,
+def recovery_summary(probes: DataFrame, invoices: int | Column, services: int | Column, expected_events: int | Column,
                      relaunched_at: float, running_at: float) -> DataFrame:
     """Replay figures from probe rows (t_s, invoices, services, events_read).
 

@@ -7,21 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayledger.session import cut_lineage
 
-
-def top_n_with_ties(df: DataFrame, measure: str, n: int, by: Sequence[str] = (), rank: str = "rang",
-                    materialize: bool = False) -> DataFrame:
+def top_n_with_ties(df: DataFrame, measure: str, n: int, by: Sequence[str] = (), rank: str = "rang") -> DataFrame:
     """Rows with RANK <= n on ``measure`` descending, all ties included, overall or per group.
 
     Ranks are worked out on the n best distinct values, which every partition trims to n before
     any shuffle; the join back then lets a value shared by many rows through whole. No task sorts
-    a group. ``df`` is read twice: with ``materialize`` it is written once to the shared checkpoint
-    folder first, which pays when it is the result of a large join rather than a stored table.
+    a group. ``df`` stands twice in one lazy plan, which shares its shuffles.
     """
     by = list(by)
-    if materialize:
-        df = cut_lineage(df)
     values = df.where(F.col(measure).isNotNull()).groupBy(*by, measure).agg(F.count(F.lit(1)).alias("_ties"))
     if by:
         best = Window.partitionBy(*by).orderBy(F.col(measure).desc())
@@ -46,27 +40,29 @@ def newest(df: DataFrame, time: str, tiebreak: Sequence[str], n: int) -> DataFra
     return df.orderBy(F.col(time).desc(), *[F.col(t).asc() for t in tiebreak]).limit(n)
 
 
-def global_row_number(df: DataFrame, order: Sequence[str | Column], alias: str = "k",
-                      partitions: int | None = None) -> DataFrame:
-    """1-based position in a total order, in parallel.
+def running_total(df: DataFrame, by: Sequence[str], slice_: Column, order: Sequence[str | Column], value: Column, alias: str) -> DataFrame:
+    """Inclusive running sum of ``value`` per group in a total order, lazily and in parallel.
 
-    Rows are range-partitioned on the full order (tie-break included, so equal leading values
-    split too), written once to the shared checkpoint folder, then numbered from one row count per
-    partition. The counts table has one row per partition.
+    ``slice_`` cuts the order into consecutive stretches (a day of a time, the upper digits of a number):
+    it rises with the order's first column. A window runs inside each slice; what lies before comes from
+    one sum per slice. A NULL slice comes first.
     """
-    if partitions is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(o) if isinstance(o, str) else o for o in order]
-    ranged = df.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)
-    placed = cut_lineage(ranged.withColumn("_mid", F.monotonically_increasing_id()))
-    placed = placed.withColumn("_part", F.shiftright("_mid", 33))
-    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
-    within = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    # One row per partition of the range exchange: a bounded side by construction.
-    return placed.join(F.broadcast(starts), "_part").select(
-        *df.columns, (F.col("_start") + within + 1).cast("bigint").alias(alias))
+    by = list(by)
+    rows = df.withColumns({"_slice": slice_, "_value": value})
+    sums = rows.groupBy(*by, "_slice").agg(F.sum("_value").alias("_sum"))
+    earlier = Window.partitionBy(*by).orderBy(F.col("_slice").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(*[F.col(b).alias(f"_b{i}") for i, b in enumerate(by)], F.col("_slice").alias("_s"),
+                         F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
+    same = F.col("_slice").eqNullSafe(F.col("_s"))
+    for i, b in enumerate(by):
+        same = same & F.col(b).eqNullSafe(F.col(f"_b{i}"))
+    inside = Window.partitionBy(*by, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.join(starts, same).select(*df.columns, (F.col("_start") + F.sum("_value").over(inside)).cast("bigint").alias(alias))
+
+
+def row_numbers(df: DataFrame, by: Sequence[str], slice_: Column, order: Sequence[str | Column], alias: str = "k") -> DataFrame:
+    """1-based position per group in a total order (see ``running_total``)."""
+    return running_total(df, by, slice_, order, F.lit(1), alias)
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, quantiles: dict[str, tuple[float, str]]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayledger.operators.reshape import stack
@@ -55,7 +55,7 @@ def lag_or_error(first: DataFrame, second: DataFrame, keys: Sequence[str], measu
 
 def compare_counts(reference: DataFrame, restored: DataFrame, tolerance_pct: float) -> DataFrame:
     """Two (table_name, rows) lists: OK within tolerance, ECART beyond, ABSENTE / MANQUANTE when
-    one side lacks the table. A reference of zero allows only zero."""
+    one side lacks the table. A reference of zero allows only zero. The words are fixed output values."""
     a = reference.select("table_name", F.col("rows").alias("reference_rows"))
     b = restored.select("table_name", F.col("rows").alias("restored_rows"))
     j = a.join(b, "table_name", "full_outer")
@@ -88,28 +88,27 @@ def duplicate_report(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> D
         for name, (df, keys) in tables.items()])
 
 
-def ordered_md5(df: DataFrame, text: str, order: Sequence[str], max_rows: int = 100_000) -> DataFrame:
-    """md5 of the comma-joined texts in order: the short fingerprint of a report.
+def ordered_md5(df: DataFrame, text: str, order: Sequence[str | Column], n: int) -> DataFrame:
+    """md5 of the comma-joined texts of the first ``n`` rows in order: the short fingerprint of a ranking.
 
-    One string holds the whole input, so the input is counted first and refused beyond
-    ``max_rows``; use ``fingerprint`` for larger sets.
+    Each task keeps its n best, so no more than n rows ever meet; use ``fingerprint`` for whole sets.
     """
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows: use fingerprint()")
-    rows = F.sort_array(F.collect_list(F.struct(*order, F.col(text).alias("_text"))))
-    return df.agg(F.count(F.lit(1)).alias("rows"),
-                  F.md5(F.array_join(F.transform(rows, lambda r: r["_text"]), ",")).alias("fingerprint"))
+    keys = [F.col(o) if isinstance(o, str) else o for o in order]
+    first = df.orderBy(*keys).limit(n).select(F.row_number().over(Window.orderBy(*keys)).alias("_pos"), F.col(text).alias("_text"))
+    rows = F.sort_array(F.collect_list(F.struct("_pos", "_text")))
+    return first.agg(F.count(F.lit(1)).alias("rows"),
+                     F.md5(F.array_join(F.transform(rows, lambda r: r["_text"]), ",")).alias("fingerprint"))
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(rows, fingerprint) of a set of any size, independent of order and partitioning.
 
-    Each row gives an md5; its first 15 hex digits are summed exactly as integers, so every
-    partition contributes one partial sum. Equal sets give equal sums; duplicates count.
+    Each row gives an md5; both halves of it are summed exactly as integers, so every partition
+    contributes one partial sum. Equal sets give equal sums; duplicates count.
     """
-    text = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns])
-    part = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(28,0)")
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(part).cast("string").alias("fingerprint"))
+    digest = F.md5(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns]))
+    halves = [F.sum(F.conv(F.substring(digest, at, 16), 16, 10).cast("decimal(38,0)")).cast("string") for at in (1, 17)]
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.concat_ws("-", *halves).alias("fingerprint"))
 
 
 def ghost_days(target: DataFrame, source: DataFrame, day: str = "jour") -> DataFrame:

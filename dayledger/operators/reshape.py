@@ -19,20 +19,25 @@ def long_form(df: DataFrame, by: str, indicators: Mapping[str, Column], name: st
     return wide.unpivot([by], list(indicators), name, value)
 
 
-def matrix(long: DataFrame, rows: str, column: str | Column, value: str, periods: Sequence[str]) -> DataFrame:
-    """Indicator rows by period columns. The periods are given, so no extra job looks for them."""
-    keyed = long.withColumn("_p", F.col(column) if isinstance(column, str) else column)
-    return keyed.groupBy(rows).pivot("_p", list(periods)).agg(F.sum(value))
+def matrix(long: DataFrame, rows: str, column: str | Column, value: str, periods: Sequence[str], rest: str = "autres") -> DataFrame:
+    """Indicator rows by period columns. The periods are given, so no extra job looks for them; values of
+    any other period, or of none, go to the column ``rest``."""
+    period = F.col(column) if isinstance(column, str) else column
+    known = F.when(period.isin(list(periods)), period).otherwise(F.lit(rest))
+    return long.withColumn("_p", known).groupBy(rows).pivot("_p", [*periods, rest]).agg(F.sum(value))
 
 
 def cross_tab(df: DataFrame, row: str, column: str, measure: str | Column, values: Sequence[str],
-              total: str = "total") -> DataFrame:
-    """Row x column table with a total column and a total row, in one pass over the data."""
+              total: str = "total", rest: str = "autres") -> DataFrame:
+    """Row x column table with a total column and a total row, in one pass over the data. What has none
+    of the given ``values`` counts in the column ``rest``, so cells always add up to the total."""
     m = F.col(measure) if isinstance(measure, str) else measure
-    cells = [F.coalesce(F.sum(F.when(F.col(column) == v, m)), F.lit(0)).cast("bigint").alias(v) for v in values]
-    out = df.rollup(row).agg(F.grouping(row).alias("_all"), *cells, F.sum(m).cast("bigint").alias(total))
+    zero = F.lit(0)
+    cells = [F.coalesce(F.sum(F.when(F.col(column) == v, m)), zero).cast("bigint").alias(v) for v in values]
+    other = F.coalesce(F.sum(F.when(~F.coalesce(F.col(column).isin(list(values)), F.lit(False)), m)), zero).cast("bigint").alias(rest)
+    out = df.rollup(row).agg(F.grouping(row).alias("_all"), *cells, other, F.sum(m).cast("bigint").alias(total))
     label = F.when(F.col("_all") == 1, F.lit(total)).otherwise(F.col(row).cast("string"))
-    return out.select(label.alias(row), *values, total)
+    return out.select(label.alias(row), *values, rest, total)
 
 
 def stack(parts: Sequence[DataFrame]) -> DataFrame:

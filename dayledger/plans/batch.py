@@ -13,10 +13,11 @@ from dayledger.sources.sinks import overwrite_days, stamped
 
 
 def write_all(src: claims.Sources, root: str, as_of: str | None = None, tables: Sequence[str] | None = None,
-              parallel_jobs: int = 8) -> None:
+              parallel_jobs: int = 8, period: tuple[str, str] | None = None, keep_history: bool = False) -> None:
     """Fan out from one read: the two joined row sets are computed once and feed all daily tables.
 
-    Daily tables are day-partitioned; a rerun replaces the days it produces and changes nothing else.
+    Daily tables are day-partitioned. A full run replaces them; one with ``period`` replaces the days of
+    the period; ``keep_history`` leaves days that the sources no longer have (see ``overwrite_days``).
     """
     services = claims.enriched_services(src).persist(StorageLevel.MEMORY_AND_DISK)
     requests = claims.enriched_requests(src).persist(StorageLevel.MEMORY_AND_DISK)
@@ -26,7 +27,7 @@ def write_all(src: claims.Sources, root: str, as_of: str | None = None, tables:
 
         def write(name: str) -> None:
             if name.startswith("kpi_"):
-                overwrite_days(stamped(plan[name]), f"{root}/{name}")
+                overwrite_days(stamped(plan[name]), f"{root}/{name}", period=period, keep_history=keep_history)
             else:
                 stamp = "detecte_le" if name == "qualite_anomalies" else "maj_le"
                 stamped(plan[name], stamp).write.mode("overwrite").parquet(f"{root}/{name}")

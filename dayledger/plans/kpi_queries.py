@@ -63,7 +63,7 @@ def kpi_ep_agent_day(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("SELECT l_orderkey AS request, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS amount "
-       "FROM lineitem WHERE l_linenumber > 1 GROUP BY 1")
+       "FROM lineitem GROUP BY 1")
 def amount_per_request(spark: SparkSession, d: str) -> DataFrame:
     return star.amounts(spark, d)
 
@@ -87,7 +87,7 @@ _SERVICE_SUMS = ({"n_services": "n_services"}, {"billed": "billed"})
 @query(with_(ENRICHED) + "SELECT jour, count(*) AS n_services, CAST(sum(billed) AS DECIMAL(18,2)) AS billed "
        "FROM enr GROUP BY 1")
 def services_by_day(spark: SparkSession, d: str) -> DataFrame:
-    return rollup.additive(star.services_day(spark, d), ["jour"], *_SERVICE_SUMS)
+    return rollup.additive(star.service_units(spark, d), ["jour"], *_SERVICE_SUMS)
 
 
 @query(with_(ENRICHED) + f"""
@@ -97,7 +97,7 @@ SELECT CAST(date_trunc('week', jour) AS DATE) AS week, count(*) AS n_services,
 FROM enr GROUP BY 1""")
 def services_by_week(spark: SparkSession, d: str) -> DataFrame:
     rate = S.percent(F.sum("insurer_paid"), F.sum("billed")).alias("coverage_pct")
-    return rollup.weekly(star.services_day(spark, d), *_SERVICE_SUMS, extra=[rate])
+    return rollup.weekly(star.service_units(spark, d), *_SERVICE_SUMS, extra=[rate])
 
 
 @query(with_(ENRICHED) + f"""
@@ -105,49 +105,49 @@ SELECT CAST(date_trunc('month', jour) AS DATE) AS month, count(*) AS n_services,
        CAST(sum(billed) AS DECIMAL(18,2)) AS billed
 FROM enr WHERE jour < date_trunc('month', DATE '{AS_OF}') GROUP BY 1""")
 def services_by_month_closed(spark: SparkSession, d: str) -> DataFrame:
-    return rollup.monthly_closed(star.services_day(spark, d, (None, AS_OF)), AS_OF, *_SERVICE_SUMS)
+    return rollup.monthly_closed(star.service_units(spark, d, (None, AS_OF)), AS_OF, *_SERVICE_SUMS)
 
 
 @query(with_(ENRICHED) + "SELECT act, count(*) AS n_services, CAST(sum(billed) AS DECIMAL(18,2)) AS billed FROM enr "
        "WHERE jour BETWEEN DATE '1998-01-01' AND DATE '1998-03-31' GROUP BY 1")
 def services_period(spark: SparkSession, d: str) -> DataFrame:
-    period = star.services_day(spark, d, ("1998-01-01", "1998-03-31"))
+    period = star.service_units(spark, d, ("1998-01-01", "1998-03-31"))
     return rollup.additive(period, ["act"], *_SERVICE_SUMS)
 
 
 @query("SELECT o_orderstatus AS invoice_type, count(*) AS n_invoices FROM orders "
        f"WHERE CAST(o_orderdate AS DATE) = DATE '{AS_OF}' GROUP BY 1")
 def invoices_today(spark: SparkSession, d: str) -> DataFrame:
-    today = star.invoices_day(spark, d, (AS_OF, AS_OF)).where(S.today_only("jour", AS_OF))
+    today = star.invoice_units(spark, d, (AS_OF, AS_OF)).where(S.today_only("jour", AS_OF))
     return rollup.additive(today, ["invoice_type"], {"n_invoices": "n_invoices"})
 
 
 @query("SELECT CAST(o_orderdate AS DATE) AS jour, count(*) AS n_invoices FROM orders GROUP BY 1")
 def invoices_by_day(spark: SparkSession, d: str) -> DataFrame:
-    return rollup.additive(star.invoices_day(spark, d), ["jour"], {"n_invoices": "n_invoices"})
+    return rollup.additive(star.invoice_units(spark, d), ["jour"], {"n_invoices": "n_invoices"})
 
 
 @query(with_(ENRICHED) + "SELECT count(*) AS n_services, CAST(sum(billed) AS DECIMAL(18,2)) AS billed, "
        "CAST(sum(insurer_paid) AS DECIMAL(18,2)) AS insurer_paid, CAST(sum(patient_paid) AS DECIMAL(18,2)) AS patient_paid FROM enr")
 def totals(spark: SparkSession, d: str) -> DataFrame:
-    return rollup.grand_totals(star.services_day(spark, d), {"n_services": "n_services"}, {
+    return rollup.grand_totals(star.service_units(spark, d), {"n_services": "n_services"}, {
         "billed": "billed", "insurer_paid": "insurer_paid", "patient_paid": "patient_paid"})
 
 
 @query(with_(ENRICHED) + f"SELECT {half_up('100 * ' + cents('sum(insurer_paid)'), cents('sum(billed)'), 1)} AS coverage_pct FROM enr")
 def coverage_rate(spark: SparkSession, d: str) -> DataFrame:
-    return rollup.coverage_rate(star.services_day(spark, d), "insurer_paid", "billed", "coverage_pct")
+    return rollup.coverage_rate(star.service_units(spark, d), "insurer_paid", "billed", "coverage_pct")
 
 
 @query(with_(ENRICHED) + f"SELECT {half_up(cents('sum(billed)'), '100 * count(*)', 2)} AS mean_amount FROM enr")
 def mean_amount(spark: SparkSession, d: str) -> DataFrame:
-    return star.services_day(spark, d).agg(S.ratio(F.sum("billed"), F.sum("n_services")).alias("mean_amount"))
+    return star.service_units(spark, d).agg(S.ratio(F.sum("billed"), F.sum("n_services")).alias("mean_amount"))
 
 
 @query(with_(ENRICHED) + "SELECT act, invoice_type, scheme, count(*) AS n_services, "
        "CAST(sum(billed) AS DECIMAL(18,2)) AS billed FROM enr GROUP BY ALL")
 def breakdown_by_act_type_scheme(spark: SparkSession, d: str) -> DataFrame:
-    return rollup.additive(star.services_day(spark, d), ["act", "invoice_type", "scheme"], *_SERVICE_SUMS)
+    return rollup.additive(star.service_units(spark, d), ["act", "invoice_type", "scheme"], *_SERVICE_SUMS)
 
 
 def _breakdown(dim: str) -> None:
@@ -156,7 +156,7 @@ def _breakdown(dim: str) -> None:
 
     @query(sql, name=f"breakdown_by_{dim}")
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return rollup.additive(star.services_day(spark, d), [dim], *_SERVICE_SUMS)
+        return rollup.additive(star.service_units(spark, d), [dim], *_SERVICE_SUMS)
 
 
 for _dim in ("act", "invoice_type", "scheme", "centre_type"):
@@ -179,7 +179,7 @@ def breakdown_by_part_type(spark: SparkSession, d: str) -> DataFrame:
 @query(with_(REQUESTS) + "SELECT " + half_up("100 * count(*) FILTER (WHERE status_code <> 'sans_reponse')", "count(*)", 1)
        + " AS response_rate FROM req")
 def response_rate(spark: SparkSession, d: str) -> DataFrame:
-    return rollup.response_rate(star.requests_day(spark, d), "n_requests")
+    return rollup.response_rate(star.request_units(spark, d), "n_requests")
 
 
 @query(with_(REQUESTS_DAY) + "SELECT " + half_up(
@@ -204,7 +204,7 @@ def _requests_by(dim: str) -> None:
     @query(with_(REQUESTS) + f"SELECT {dim}, count(*) AS n_requests, CAST(sum(amount) AS DECIMAL(18,2)) AS engaged_amount "
            "FROM req GROUP BY 1", name=f"requests_by_{dim}")
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return rollup.additive(star.requests_day(spark, d), [dim], {"n_requests": "n_requests"},
+        return rollup.additive(star.request_units(spark, d), [dim], {"n_requests": "n_requests"},
                                {"engaged_amount": "engaged_amount"})
 
 
@@ -217,7 +217,7 @@ for _dim in ("status_code", "request_type"):
 def engaged_on_granted(spark: SparkSession, d: str) -> DataFrame:
     """Engaged amount on granted requests per day; NULL on a day without any."""
     granted = S.sum_where("engaged_amount", S.member("status_code", ["A", "N"])).cast("decimal(18,2)")
-    return star.requests_day(spark, d).groupBy("jour").agg(granted.alias("engaged_amount"))
+    return star.request_units(spark, d).groupBy("jour").agg(granted.alias("engaged_amount"))
 
 
 @query(with_(ANSWERS) + "SELECT o_orderkey AS request FROM orders WHERE NOT EXISTS "
@@ -292,34 +292,34 @@ _PERSON_CENTRE = ENRICHED + """, tot AS (SELECT centre, person, count(*) AS n_se
 @query(with_(_PERSON) + "SELECT person, n_services, billed, CAST(rank() OVER (ORDER BY n_services DESC) AS INTEGER) AS rang "
        "FROM tot QUALIFY rang <= 10")
 def top_persons(spark: SparkSession, d: str) -> DataFrame:
-    totals_ = rollup.additive(star.person_day(spark, d), ["person"], *_SERVICE_SUMS)
-    return ranking.top_n_with_ties(totals_, "n_services", 10, materialize=True)
+    totals_ = rollup.additive(star.service_units(spark, d), ["person"], *_SERVICE_SUMS)
+    return ranking.top_n_with_ties(totals_, "n_services", 10)
 
 
 @query(with_(_PERSON_CENTRE) + "SELECT centre, person, n_services, billed, "
        "CAST(rank() OVER (PARTITION BY centre ORDER BY n_services DESC) AS INTEGER) AS rang FROM tot QUALIFY rang <= 10")
 def top_persons_by_centre(spark: SparkSession, d: str) -> DataFrame:
-    totals_ = rollup.additive(star.person_day(spark, d), ["centre", "person"], *_SERVICE_SUMS)
-    return ranking.top_n_with_ties(totals_, "n_services", 10, by=["centre"], materialize=True)
+    totals_ = rollup.additive(star.service_units(spark, d), ["centre", "person"], *_SERVICE_SUMS)
+    return ranking.top_n_with_ties(totals_, "n_services", 10, by=["centre"])
 
 
 @query(with_(ENRICHED, """tot AS (SELECT person, count(*) AS n_services, CAST(sum(billed) AS DECIMAL(18,2)) AS billed
   FROM enr WHERE jour BETWEEN DATE '1998-01-01' AND DATE '1998-12-31' GROUP BY 1)""") +
        "SELECT person, n_services, billed, CAST(rank() OVER (ORDER BY n_services DESC) AS INTEGER) AS rang FROM tot QUALIFY rang <= 10")
 def top_persons_period(spark: SparkSession, d: str) -> DataFrame:
-    period = star.person_day(spark, d, ("1998-01-01", "1998-12-31"))
-    return ranking.top_n_with_ties(rollup.additive(period, ["person"], *_SERVICE_SUMS), "n_services", 10, materialize=True)
+    period = star.service_units(spark, d, ("1998-01-01", "1998-12-31"))
+    return ranking.top_n_with_ties(rollup.additive(period, ["person"], *_SERVICE_SUMS), "n_services", 10)
 
 
 @query("""SELECT l.l_partkey AS medicine, COALESCE(p.p_name, '(inconnu)') AS medicine_name, count(*) AS n_prescriptions
 FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey GROUP BY 1, 2 HAVING count(*) >= 5
 ORDER BY n_prescriptions DESC, medicine LIMIT 10""")
 def top_parts_masked(spark: SparkSession, d: str) -> DataFrame:
-    per_code = rollup.additive(star.medicine_day(spark, d), ["medicine"], {"n_prescriptions": "n_prescriptions"})
+    per_code = rollup.additive(star.medicine_units(spark, d), ["medicine"], {"n_prescriptions": "n_prescriptions"})
     best = ranking.top_n_strict(rollup.suppress_small_groups(per_code, "n_prescriptions"), "n_prescriptions", "medicine", 10)
     names = table(spark, d, "part").select(F.col("p_partkey").alias("medicine"), F.col("p_name").alias("medicine_name"))
-    return enrich.left_dimension(best, names, "medicine", {"medicine_name": S.UNKNOWN}).select(
-        "medicine", "medicine_name", "n_prescriptions")
+    named = enrich.left_dimension(best, names, "medicine", {"medicine_name": S.UNKNOWN})
+    return named.select("medicine", "medicine_name", "n_prescriptions").orderBy(F.desc("n_prescriptions"), "medicine")
 
 
 @query("""SELECT s.s_nationkey AS nation, COALESCE(n.n_name, '(inconnue)') AS nation_name, count(*) AS n_services
@@ -332,21 +332,21 @@ def top_nations_masked(spark: SparkSession, d: str) -> DataFrame:
     per_nation = rollup.additive(located, [F.col("s_nationkey").alias("nation")], {"n_services": "n_services"})
     best = ranking.top_n_strict(rollup.suppress_small_groups(per_nation, "n_services"), "n_services", "nation", 10)
     names = table(spark, d, "nation").select(F.col("n_nationkey").alias("nation"), F.col("n_name").alias("nation_name"))
-    return enrich.left_dimension(best, names, "nation", {"nation_name": S.UNKNOWN_FEMININE}).select(
-        "nation", "nation_name", "n_services")
+    named = enrich.left_dimension(best, names, "nation", {"nation_name": S.UNKNOWN_FEMININE})
+    return named.select("nation", "nation_name", "n_services").orderBy(F.desc("n_services"), "nation")
 
 
 @query(with_(ENRICHED) + "SELECT centre, count(*) AS n_services, CAST(sum(billed) AS DECIMAL(18,2)) AS billed FROM enr "
        "GROUP BY 1 ORDER BY billed DESC, centre LIMIT 10")
 def top_centres_by_amount(spark: SparkSession, d: str) -> DataFrame:
-    per_centre = rollup.additive(star.centre_day(spark, d), ["centre"], *_SERVICE_SUMS)
+    per_centre = rollup.additive(star.service_units(spark, d), ["centre"], *_SERVICE_SUMS)
     return ranking.top_n_strict(per_centre, "billed", "centre", 10)
 
 
 @query(with_(ENRICHED) + "SELECT practitioner, count(*) AS n_services, CAST(sum(billed) AS DECIMAL(18,2)) AS billed FROM enr "
        "GROUP BY 1 ORDER BY billed DESC, practitioner LIMIT 10")
 def top_practitioners_by_amount(spark: SparkSession, d: str) -> DataFrame:
-    per_one = rollup.additive(star.practitioner_day(spark, d), ["practitioner"], *_SERVICE_SUMS)
+    per_one = rollup.additive(star.service_units(spark, d), ["practitioner"], *_SERVICE_SUMS)
     return ranking.top_n_strict(per_one, "billed", "practitioner", 10)
 
 
@@ -354,7 +354,7 @@ def top_practitioners_by_amount(spark: SparkSession, d: str) -> DataFrame:
   CAST(sum(billed) AS DECIMAL(18,2)) AS billed FROM enr e LEFT JOIN supplier s ON CAST(s.s_suppkey AS VARCHAR) = e.centre
   GROUP BY ALL""")
 def centre_totals_named(spark: SparkSession, d: str) -> DataFrame:
-    per_centre = rollup.additive(star.centre_day(spark, d), ["centre"], *_SERVICE_SUMS)
+    per_centre = rollup.additive(star.service_units(spark, d), ["centre"], *_SERVICE_SUMS)
     names = table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("centre"),
                                                F.col("s_name").alias("centre_name"))
     return per_centre.join(names, "centre", "left")
@@ -364,7 +364,7 @@ def centre_totals_named(spark: SparkSession, d: str) -> DataFrame:
   CAST(sum(billed) AS DECIMAL(18,2)) AS billed FROM enr e LEFT JOIN part p ON CAST(p.p_partkey AS VARCHAR) = e.practitioner
   GROUP BY ALL""")
 def practitioner_totals_named(spark: SparkSession, d: str) -> DataFrame:
-    per_one = rollup.additive(star.practitioner_day(spark, d), ["practitioner"], *_SERVICE_SUMS)
+    per_one = rollup.additive(star.service_units(spark, d), ["practitioner"], *_SERVICE_SUMS)
     names = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("practitioner"),
                                            S.full_name("p_brand", "p_name").alias("full_name"))
     return per_one.join(names, "practitioner", "left")
@@ -389,7 +389,7 @@ def geo_totals(spark: SparkSession, d: str) -> DataFrame:
                .join(table(spark, d, "nation").where("n_regionkey is not null"), "n_nationkey")
                .select(F.col("s_suppkey").cast("string").alias("centre"), F.col("s_name").alias("centre_name"),
                        F.col("n_name").alias("locality")))
-    per_centre = rollup.additive(star.centre_day(spark, d), ["centre"], *_SERVICE_SUMS)
+    per_centre = rollup.additive(star.service_units(spark, d), ["centre"], *_SERVICE_SUMS)
     return located.join(per_centre, "centre").select("centre", "centre_name", "locality", "n_services", "billed")
 
 
@@ -472,6 +472,7 @@ _STATUSES = ["A", "N", "R", S.UNANSWERED]
 
 @query(with_(_BY_PATHOLOGY) + "SELECT COALESCE(pathology_name, 'total') AS pathology_name, "
        + ", ".join(f"CAST(sum(CASE WHEN status_code = '{s}' THEN n_pathologies ELSE 0 END) AS BIGINT) AS \"{s}\"" for s in _STATUSES)
+       + f", CAST(sum(CASE WHEN status_code NOT IN {tuple(_STATUSES)} THEN n_pathologies ELSE 0 END) AS BIGINT) AS autres"
        + ", CAST(sum(n_pathologies) AS BIGINT) AS total FROM bp GROUP BY ROLLUP(pathology_name)")
 def cross_tab(spark: SparkSession, d: str) -> DataFrame:
     return reshape.cross_tab(ep_by_pathology_masked(spark, d), "pathology_name", "status_code", "n_pathologies", _STATUSES)
@@ -488,7 +489,7 @@ _REPORT = ENRICHED + """, rep AS (
 
 @query(with_(_REPORT) + "SELECT * FROM rep")
 def report_long(spark: SparkSession, d: str) -> DataFrame:
-    return reshape.long_form(star.services_day(spark, d), "jour", {
+    return reshape.long_form(star.service_units(spark, d), "jour", {
         "returned": S.sum_where("n_services", F.col("act") == "R"),
         "type F": S.sum_where("n_services", F.col("invoice_type") == "F"),
         "urgent": S.sum_where("n_services", F.col("scheme") == "1-URGENT"),
@@ -500,6 +501,7 @@ _YEARS = [str(y) for y in range(1995, 2002)]
 
 @query(with_(_REPORT) + "SELECT indicateur, "
        + ", ".join(f"CAST(sum(CASE WHEN year(jour) = {y} THEN valeur END) AS DECIMAL(38,2)) AS \"{y}\"" for y in _YEARS)
+       + f", CAST(sum(CASE WHEN year(jour) NOT BETWEEN {_YEARS[0]} AND {_YEARS[-1]} THEN valeur END) AS DECIMAL(38,2)) AS autres"
        + " FROM rep GROUP BY 1")
 def report_matrix(spark: SparkSession, d: str) -> DataFrame:
     return reshape.matrix(report_long(spark, d), "indicateur", F.year("jour").cast("string"), "valeur", _YEARS)
@@ -516,8 +518,8 @@ SELECT (SELECT count(*) FROM enr) AS n_services, (SELECT count(*) FROM orders) A
 def summary_board(spark: SparkSession, d: str) -> DataFrame:
     """Headline figures, one row: each part is one aggregated row, read as a scalar."""
     services = totals(spark, d)
-    visits = rollup.grand_totals(star.invoices_day(spark, d), {"n": "n_invoices"}, {})
-    asked = star.requests_day(spark, d).agg(
+    visits = rollup.grand_totals(star.invoice_units(spark, d), {"n": "n_invoices"}, {})
+    asked = star.request_units(spark, d).agg(
         F.sum("n_requests").cast("bigint").alias("n"),
         S.percent(F.sum(F.when(F.col("status_code") != S.UNANSWERED, F.col("n_requests")).otherwise(0)),
                   F.sum("n_requests")).alias("rate"),

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from dayledger.functions import scalars as S
 from dayledger.operators import audit, enrich, evaluate, quality, ranking, reconcile, reshape, rollup
 from dayledger.plans import claims, read_model, star
-from dayledger.plans.registry import ENRICHED, half_up, query, with_
+from dayledger.plans.registry import ENRICHED, ORACLES, QUERIES, half_up, query, with_
 from dayledger.sources import cdc, sinks
-from dayledger.sources.specs import SourceSpec
-from dayledger.sources.tables import table
+from dayledger.sources.specs import SPECS, SourceSpec
+from dayledger.sources.tables import TABLES, table
 from dayledger.streaming import health, window
 
 # -- quarantine --------------------------------------------------------------------------------
@@ -23,11 +23,11 @@ def _service_rows(spark: SparkSession, d: str) -> DataFrame:
         F.col("l_orderkey").cast("string").alias("FACTURE_NUMERO"), F.col("l_returnflag").alias("PRESTATION_CODE"),
         F.col("l_partkey").cast("string").alias("PROFESSIONNEL_SANTE_CODE"),
         F.when(F.col("l_quantity") != 50, F.col("l_extendedprice")).alias("PRESTATION_MONTANT_DEPENSE"),
-        (F.col("l_extendedprice") - F.col("l_tax") * 20).alias("PRESTATION_MONTANT_RQ"),
+        (F.col("l_extendedprice").cast("decimal(18,2)") - F.col("l_tax").cast("decimal(4,2)") * 20).cast("double").alias("PRESTATION_MONTANT_RQ"),
         F.lit(None).cast("double").alias("PRESTATION_MONTANT_ASSURE"),
         (F.col("l_linenumber") * 8.0).alias("PRESTATION_QUANTITE_PRESCRITE"),
         (F.col("l_quantity") - 1).alias("PRESTATION_QUANTITE_SERVIE"),
-        (F.col("l_discount") * 1050).alias("PRESTATION_TAUX_REMBOURSEMENT"))
+        (F.col("l_discount").cast("decimal(4,2)") * 1050).cast("double").alias("PRESTATION_TAUX_REMBOURSEMENT"))
     invoices = table(spark, d, "orders").select(
         F.col("o_orderkey").cast("string").alias("FACTURE_NUMERO"),
         F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderdate").cast("date")).alias("jour_soins"),
@@ -45,9 +45,9 @@ _SERVICE_ROWS = """src AS (
          CAST(l.l_orderkey AS VARCHAR) AS facture_numero, l.l_returnflag AS prestation_code,
          CAST(l.l_partkey AS VARCHAR) AS professionnel_sante_code,
          CASE WHEN l.l_quantity <> 50 THEN l.l_extendedprice END AS montant_depense,
-         l.l_extendedprice - l.l_tax * 20 AS montant_rq, CAST(NULL AS DOUBLE) AS montant_assure,
+         CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) - CAST(l.l_tax AS DECIMAL(4,2)) * 20 AS DOUBLE) AS montant_rq, CAST(NULL AS DOUBLE) AS montant_assure,
          l.l_linenumber * CAST(8 AS DOUBLE) AS quantite_prescrite, l.l_quantity - 1 AS quantite_servie,
-         l.l_discount * 1050 AS taux_remboursement, o.o_orderstatus AS type_facture_code,
+         CAST(CAST(l.l_discount AS DECIMAL(4,2)) * 1050 AS DOUBLE) AS taux_remboursement, o.o_orderstatus AS type_facture_code,
          o.o_orderpriority AS regime_code, CAST(NULL AS VARCHAR) AS centre_sante_code, CAST(o.o_custkey AS VARCHAR) AS personne_uuid
   FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey)"""
 _SERVICE_RULES = (
@@ -81,13 +81,11 @@ def quarantine_services(spark: SparkSession, d: str) -> DataFrame:
 
 @query(with_(_SERVICE_Q) + "SELECT famille, motif_anomalie, cle_metier, facture_numero, prestation_code, "
        "professionnel_sante_code, centre_sante_code, jour AS jour_soins, "
-       + ", ".join(f"CAST({c} AS DECIMAL(18,2)) AS {c}" for c in ("montant_depense", "montant_assure", "quantite_prescrite", "quantite_servie"))
+       + ", ".join(f"CAST({c} AS DECIMAL(18,2)) AS {c}" for c in ("montant_depense", "montant_rq", "montant_assure", "quantite_prescrite", "quantite_servie", "taux_remboursement"))
        + ", type_facture_code, regime_code, personne_uuid FROM q WHERE motif_anomalie IS NOT NULL")
 def quarantine_detail(spark: SparkSession, d: str) -> DataFrame:
     """Raw JSON rows back to typed columns."""
-    detail = read_model.anomaly_detail({"qualite_anomalies": _service_quarantine(spark, d)}, "prestation")
-    # Sums of binary fractions have no agreed second decimal, so these two stay out of the comparison.
-    return detail.drop("montant_rq", "taux_remboursement")
+    return read_model.anomaly_detail({"qualite_anomalies": _service_quarantine(spark, d)}, "prestation")
 
 
 @query(with_(_SERVICE_ROWS) + " UNION ALL ".join(
@@ -195,10 +193,54 @@ def rejected_services(spark: SparkSession, d: str) -> DataFrame:
     return window.rejected_services(rows)
 
 
-@query(with_(_SERVICE_Q) + "SELECT 'prestation' AS domaine, famille, motif_anomalie, count(*) AS nombre_lignes FROM q "
-       "WHERE motif_anomalie IS NOT NULL GROUP BY ALL")
+_DOMAIN_QUERIES = ("quarantine_services", "quarantine_invoices", "quarantine_persons", "quarantine_agents", "quarantine_requests")
+_ALL_DOMAINS = "allq AS (" + " UNION ALL ".join(
+    f"SELECT domaine, motif_anomalie, famille, cle_metier FROM ({ORACLES[q]}) {q}" for q in _DOMAIN_QUERIES) + ")"
+
+
+def _all_domains(spark: SparkSession, d: str) -> DataFrame:
+    """Quarantine rows of all five domains, without the raw row."""
+    return reshape.stack([QUERIES[q](spark, d).select("domaine", "motif_anomalie", "famille", "cle_metier") for q in _DOMAIN_QUERIES])
+
+
+@query(with_(_ALL_DOMAINS) + "SELECT domaine, famille, motif_anomalie, count(*) AS nombre_lignes FROM allq GROUP BY ALL")
 def quarantine_counts(spark: SparkSession, d: str) -> DataFrame:
-    return quality.anomaly_counts(_service_quarantine(spark, d), ["domaine", "famille", "motif_anomalie"])
+    return quality.anomaly_counts(_all_domains(spark, d), ["domaine", "famille", "motif_anomalie"])
+
+
+@query(with_(_SERVICE_Q) + "SELECT jour, famille, motif_anomalie, count(*) AS nombre_lignes FROM q WHERE motif_anomalie IS NOT NULL GROUP BY ALL")
+def quarantine_counts_by_day(spark: SparkSession, d: str) -> DataFrame:
+    """Counts per day of care, read back from the raw row."""
+    rows = _service_quarantine(spark, d).withColumn("jour", S.json_text("donnee_brute", "jour_soins").cast("date"))
+    return quality.anomaly_counts(rows, ["jour", "famille", "motif_anomalie"])
+
+
+def _declared_invoices(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as the declared invoice source brings them: a day number, an ISO time, and what the
+    declaration derives from both."""
+    return SPECS["invoices"].with_derived(table(spark, d, "orders").select(
+        F.col("o_orderkey").cast("string").alias("FACTURE_NUMERO"), F.col("o_orderstatus").alias("TYPE_FACTURE_CODE"),
+        F.col("o_orderpriority").alias("REGIME_CODE"), F.lit(None).cast("string").alias("CENTRE_SANTE_CODE"),
+        F.lit(None).cast("string").alias("CENTRE_SANTE_TYPE_CODE"), F.lit(None).cast("string").alias("CENTRE_SANTE_TYPE_LIBELLE"),
+        F.col("o_custkey").cast("string").alias("PERSONNE_UUID"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.datediff("o_orderdate", F.lit("1970-01-01").cast("date"))).alias("FACTURE_DATE_SOINS"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("DATE_CREATION")))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS facture_numero, CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_orderdate AS DATE) END AS jour_soins, "
+       "o_orderdate AS date_creation_facture FROM orders")
+def declared_invoices(spark: SparkSession, d: str) -> DataFrame:
+    """Day numbers and ISO times to dates and timestamps, by declaration."""
+    return _declared_invoices(spark, d).select(F.col("FACTURE_NUMERO").alias("facture_numero"), "jour_soins", "date_creation_facture")
+
+
+@query("""SELECT 'facture' AS domaine, 'date_soins_manquante' AS motif_anomalie, 'DATES' AS famille, CAST(o_orderkey AS VARCHAR) AS cle_metier,
+  '{"facture_numero":"' || o_orderkey || '","type_facture_code":"' || o_orderstatus || '","regime_code":"' || o_orderpriority ||
+  '","centre_sante_code":null,"centre_sante_type_libelle":null,"personne_uuid":"' || o_custkey || '","facture_date_soins_brute":null}' AS donnee_brute
+  FROM orders WHERE o_orderpriority = '5-LOW' OR o_orderdate IS NULL""")
+def quarantine_undated_invoices(spark: SparkSession, d: str) -> DataFrame:
+    """Invoices without a day of care, raw row included."""
+    return claims.undated_invoices(_declared_invoices(spark, d))
 
 
 @query(with_(_SERVICE_Q) + "SELECT motif_anomalie, cle_metier FROM q WHERE famille IN ('QUANTITES', 'REFERENTIEL')")
@@ -217,19 +259,23 @@ def quarantine_newest(spark: SparkSession, d: str) -> DataFrame:
     return ranking.newest(rows.select(stamp, "motif_anomalie", "cle_metier"), "detecte_le", ["cle_metier"], 200)
 
 
-@query(with_(_SERVICE_Q) + """SELECT 'prestation' AS domaine, motif_anomalie, count(*) AS nombre_lignes,
-  (SELECT count(*) FROM src) AS source_rows, count(*) / CAST((SELECT count(*) FROM src) AS DOUBLE) AS share,
-  count(*) / CAST((SELECT count(*) FROM src) AS DOUBLE) > 0.15 AS suspect FROM q WHERE motif_anomalie IS NOT NULL GROUP BY ALL""")
+_DOMAIN_ROWS = {"prestation": "lineitem", "facture": "orders", "assure": "customer", "agent": "supplier", "entente_prealable": "orders"}
+
+
+@query(with_(_ALL_DOMAINS) + "SELECT domaine, motif_anomalie, n AS nombre_lignes, r AS source_rows, n / CAST(r AS DOUBLE) AS share, n / CAST(r AS DOUBLE) > 0.15 AS suspect "
+       "FROM (SELECT domaine, motif_anomalie, count(*) AS n FROM allq GROUP BY ALL) JOIN ("
+       + " UNION ALL ".join(f"SELECT '{k}' AS domaine, count(*) AS r FROM {t}" for k, t in _DOMAIN_ROWS.items()) + ") USING (domaine)")
 def quarantine_volume(spark: SparkSession, d: str) -> DataFrame:
-    counts = quality.anomaly_counts(_service_quarantine(spark, d), ["domaine", "motif_anomalie"])
-    source = _service_rows(spark, d).agg(F.count(F.lit(1)).alias("source_rows")).withColumn("domaine", F.lit("prestation"))
+    counts = quality.anomaly_counts(_all_domains(spark, d), ["domaine", "motif_anomalie"])
+    source = reconcile.row_counts({k: table(spark, d, t) for k, t in _DOMAIN_ROWS.items()}).select(
+        F.col("table_name").alias("domaine"), F.col("rows").alias("source_rows"))
     return quality.volume_check(counts, source, 0.15)
 
 
-@query(with_(_SERVICE_Q) + "SELECT DISTINCT motif_anomalie, famille FROM q WHERE motif_anomalie IS NOT NULL")
+@query(with_(_ALL_DOMAINS) + "SELECT DISTINCT motif_anomalie, famille FROM allq")
 def quarantine_family_backfill(spark: SparkSession, d: str) -> DataFrame:
-    """Family looked up from the reason alone."""
-    reasons = reshape.distinct_values(_service_quarantine(spark, d), "motif_anomalie")
+    """Family looked up from the reason alone, for the reasons of all domains."""
+    reasons = reshape.distinct_values(_all_domains(spark, d), "motif_anomalie")
     return reasons.withColumn("famille", quality.family_of("motif_anomalie", claims.FAMILIES, F.lit("INDETERMINEE")))
 
 
@@ -253,14 +299,14 @@ _RECALL = """inj AS (SELECT CASE WHEN toxic = 1 THEN 'TOXIC' WHEN quality = 0 TH
   det AS (SELECT CASE WHEN n_chars < 400 THEN 'LOW' WHEN source = 'web' THEN 'FINE' ELSE 'OTHER' END AS code, CAST(doc_id AS VARCHAR) AS key FROM documents)"""
 
 
-@query(with_(_RECALL, """i AS (SELECT DISTINCT code, key FROM inj WHERE key IS NOT NULL), f AS (
+@query(with_(_RECALL, """i AS (SELECT DISTINCT code, key FROM inj), f AS (
   SELECT i.code, count(*) AS injected, count(*) FILTER (WHERE EXISTS (SELECT 1 FROM det WHERE det.code = i.code AND det.key = i.key)) AS found,
     (SELECT count(*) FROM (SELECT DISTINCT code, key FROM det) x WHERE x.code = i.code
        AND NOT EXISTS (SELECT 1 FROM i j WHERE j.code = x.code AND j.key = x.key)) AS surplus FROM i GROUP BY i.code)""")
        + "SELECT COALESCE(code, 'TOTAL') AS code, CAST(sum(injected) AS BIGINT) AS injected, CAST(sum(found) AS BIGINT) AS found, "
        "CAST(sum(surplus) AS BIGINT) AS surplus, " + half_up("100 * sum(found)", "sum(injected)", 1) + " AS recall_pct FROM f GROUP BY ROLLUP(code)")
 def recall_by_code(spark: SparkSession, d: str) -> DataFrame:
-    return evaluate.recall_by_code(_injected(spark, d).where("key is not null"), _detected(spark, d))
+    return evaluate.recall_by_code(_injected(spark, d), _detected(spark, d))
 
 
 @query(with_(_RECALL) + "SELECT code, count(DISTINCT key) AS detected FROM det WHERE code NOT IN (SELECT code FROM inj) GROUP BY 1")
@@ -355,12 +401,14 @@ def cdc_null_columns(spark: SparkSession, d: str) -> DataFrame:
     return cdc.null_column_report(events, ["event_type", "value", "at", "spare"])
 
 
-@query("SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus <> 'P')")
+@query("SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem EXCEPT SELECT l_orderkey, l_linenumber FROM lineitem "
+       "JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus <> 'P' AND l_returnflag <> 'A'")
 def cdc_ghost_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Line keys whose order left the snapshot."""
+    """Line keys that a fresh snapshot no longer has: their order left it, or the line did."""
     state = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber").distinct()
-    snapshot = table(spark, d, "orders").where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("l_orderkey"))
-    return cdc.find_ghost_rows(state, snapshot, ["l_orderkey"])
+    kept = table(spark, d, "orders").where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("l_orderkey"))
+    snapshot = table(spark, d, "lineitem").where("l_returnflag <> 'A'").join(kept, "l_orderkey", "left_semi")
+    return cdc.find_ghost_rows(state, snapshot, ["l_orderkey", "l_linenumber"])
 
 
 @query("""SELECT '{"user_id":' || user_id || '}' AS key, CASE WHEN event_type <> 'error' THEN '{"user_id":' || user_id || ',"event_type":"' || event_type || '"}' END AS value
@@ -389,7 +437,7 @@ def duplicate_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT time_bucket(INTERVAL 7 DAY, ts, TIMESTAMP '1970-01-01') AS semaine_debut, event_type AS statut_remboursement,
-  count(*) AS nombre_prestations, sum(value) AS montant_total FROM events WHERE ts IS NOT NULL GROUP BY ALL""")
+  count(*) AS nombre_prestations, CAST(sum(CAST(COALESCE(value, 0) AS DECIMAL(18,2))) AS DOUBLE) AS montant_total FROM events WHERE ts IS NOT NULL GROUP BY ALL""")
 def weekly_window_batch(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "events").select(
         F.col("ts").alias("event_time"), F.col("event_type").alias("STATUT_REMBOURSEMENT"),
@@ -397,6 +445,18 @@ def weekly_window_batch(spark: SparkSession, d: str) -> DataFrame:
     return window.weekly_by_status(rows)
 
 
+@query(f"""SELECT time_bucket(INTERVAL 7 DAY, CAST("at" AS TIMESTAMP), TIMESTAMP '1970-01-01') AS semaine_debut, event_type AS statut_remboursement,
+  count(*) AS nombre_prestations, CAST(sum(CAST(COALESCE(value, 0) AS DECIMAL(18,2))) AS DOUBLE) AS montant_total FROM ({_LAST_EVENT}) GROUP BY ALL""")
+def weekly_window_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Weekly sums over change events with updates, deletes and every event delivered twice."""
+    once = _envelopes(spark, d)
+    twice = once.unionByName(once.withColumn("offset", F.col("offset") + 1_000_000_000))
+    spec = SourceSpec("users", "users", USER_SPEC.ddl, USER_SPEC.keys, {"event_time": ("iso", "at")})
+    rows = cdc.current_state(twice, spec).select(
+        "event_time", F.col("event_type").alias("STATUT_REMBOURSEMENT"), F.col("value").alias("PRESTATION_MONTANT_DEPENSE"))
+    return window.weekly_by_status(rows)
+
+
 # -- delays --------------------------------------------------------------------------------------
 
 
@@ -426,16 +486,20 @@ def stage_latency(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH a AS (SELECT event_id, ts, row_number() OVER (ORDER BY ts, event_id) AS k FROM events WHERE event_type = 'signup'),
-  s AS (SELECT ts + INTERVAL 90 SECOND AS seen, count(*) FILTER (WHERE event_type = 'signup') OVER (ORDER BY ts, event_id) + 100 AS c FROM events)
+  s AS (SELECT ts + INTERVAL 1 SECOND * (30 + event_id % 977) AS seen, sum(CAST(event_type = 'signup' AS INT)) OVER (ORDER BY ts, event_id) + 100 AS c FROM events)
   SELECT a.event_id, a.ts, a.k, min(s.seen) AS seen_at, epoch_us(min(s.seen)) - epoch_us(a.ts) AS delay_us
-  FROM a JOIN (SELECT c, min(seen) AS seen FROM s GROUP BY 1) s ON s.c >= a.k + 100 GROUP BY a.event_id, a.ts, a.k""")
+  FROM a JOIN (SELECT c, min(seen) AS seen FROM s WHERE epoch_us(seen) % 2 = 0 GROUP BY 1) s ON s.c >= a.k + 100 GROUP BY a.event_id, a.ts, a.k""")
 def kth_arrival(spark: SparkSession, d: str) -> DataFrame:
-    """Arrivals = signups; samples = running signup counter seen 90 s after every event."""
+    """Arrivals = signups; samples = the running counter, read after some of all events, each time with
+    another delay, so that a later sample can be the first to show a count."""
     events = table(spark, d, "events").select("event_id", "ts", "event_type")
-    numbered = ranking.global_row_number(events.where("event_type = 'signup'").select("event_id", "ts"), ["ts", "event_id"])
-    # Between two signups the counter stays: its samples at signups bound all others.
-    samples = numbered.select((F.col("ts") + F.expr("INTERVAL 90 SECOND")).alias("at"), (F.col("k") + 100).alias("counter"))
-    return evaluate.kth_arrival(numbered, samples, 100, "ts", "counter", "at")
+    day, order = F.col("ts").cast("date"), ["ts", "event_id"]
+    arrivals = ranking.row_numbers(events.where("event_type = 'signup'").select("event_id", "ts"), [], day, order)
+    counted = ranking.running_total(events, [], day, order, S.flag_of_state("event_type", "signup"), "n")
+    seen = F.col("ts") + F.make_dt_interval(secs=(30 + F.col("event_id") % 977).cast("decimal(18,6)"))
+    samples = counted.select(seen.alias("at"), (F.col("n") + 100).alias("counter")).where(
+        F.pmod(S.micros_between(F.lit("1970-01-01").cast("timestamp_ntz"), "at"), F.lit(2)) == 0)
+    return evaluate.kth_arrival(arrivals, samples, 100, "ts", "counter", "at")
 
 
 @query("""WITH p AS (SELECT CAST(epoch_us(max(ts)) - epoch_us(TIMESTAMP '2024-01-01') AS DOUBLE) / 1e6 AS t_s, max(event_id) + 1 AS n
@@ -447,14 +511,15 @@ def kth_arrival(spark: SparkSession, d: str) -> DataFrame:
 def recovery_summary(spark: SparkSession, d: str) -> DataFrame:
     """Probes every 100 events of a replay; totals reach the source's figure before the replay ends."""
     events = table(spark, d, "events")
-    total = events.agg((F.max("event_id") + 1).alias("n")).first()["n"]
+    total = events.agg((F.max("event_id") + 1).alias("n")).scalar()
     target = total - 150
+    half = F.floor(target / 2).cast("bigint")
     span = S.micros_between(F.lit("2024-01-01").cast("timestamp_ntz"), F.max("ts")) / F.lit(1e6)
-    probes = events.groupBy((F.col("event_id") / 100).cast("bigint")).agg(
+    probes = events.groupBy(F.expr("event_id DIV 100")).agg(
         span.alias("t_s"), (F.max("event_id") + 1).alias("events_read"))
-    probes = probes.select("t_s", "events_read", F.least("events_read", F.lit(target)).alias("invoices"),
-                           F.expr("CASE WHEN events_read >= %d THEN %d ELSE events_read DIV 2 END" % (target, target // 2)).alias("services"))
-    return evaluate.recovery_summary(probes, target, target // 2, total, 1800.0, 3600.0)
+    probes = probes.select("t_s", "events_read", F.least("events_read", target).alias("invoices"),
+                           F.when(F.col("events_read") >= target, half).otherwise(F.expr("events_read DIV 2")).alias("services"))
+    return evaluate.recovery_summary(probes, target, half, total, 1800.0, 3600.0)
 
 
 # -- reconciliation --------------------------------------------------------------------------------
@@ -469,7 +534,7 @@ def recovery_summary(spark: SparkSession, d: str) -> DataFrame:
 def reconcile_days(spark: SparkSession, d: str) -> DataFrame:
     """Source recomputed from raw rows against a daily table that misses some invoices."""
     source = star.enriched(spark, d).groupBy("jour").agg(F.count(F.lit(1)).alias("n_services"), F.sum("billed").alias("billed"))
-    stale = star.services_day(spark, d).where("not (invoice_type = 'P' and scheme = '5-LOW')")
+    stale = star.service_units(spark, d).where("not (invoice_type = 'P' and scheme = '5-LOW')")
     target = rollup.additive(stale, ["jour"], {"n_services": "n_services"}, {"billed": "billed"})
     return reconcile.reconcile(source, target, ["jour"], ["n_services", "billed"])
 
@@ -489,12 +554,11 @@ def reconcile_lag(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.lag_or_error(first, second, ["jour"], "n")
 
 
-_COUNTED = ("nation", "customer", "orders", "lineitem", "events")
 
 
-@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in _COUNTED))
+@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in TABLES))
 def table_counts(spark: SparkSession, d: str) -> DataFrame:
-    return reconcile.row_counts({t: table(spark, d, t) for t in _COUNTED})
+    return reconcile.row_counts({t: table(spark, d, t) for t in TABLES})
 
 
 @query("""SELECT event_type AS table_name, a AS reference_rows, b AS restored_rows, CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN abs(b - a) * 100.0 / a END AS delta_pct,
@@ -510,10 +574,24 @@ def count_compare(spark: SparkSession, d: str) -> DataFrame:
 
 @query(with_(ENRICHED) + """, tot AS (SELECT person, count(*) AS n_services FROM enr GROUP BY 1),
   top AS (SELECT *, rank() OVER (ORDER BY n_services DESC) AS rang FROM tot QUALIFY rang <= 10)
-  SELECT count(*) AS rows, CAST(sum(CAST('0x' || substring(md5(person || chr(31) || n_services), 1, 15) AS HUGEINT)) AS VARCHAR) AS fingerprint FROM top""")
+  SELECT count(*) AS rows, sum(CAST('0x' || substring(md5(person || chr(31) || n_services), 1, 16) AS HUGEINT)) || '-' ||
+  sum(CAST('0x' || substring(md5(person || chr(31) || n_services), 17, 16) AS HUGEINT)) AS fingerprint FROM top""")
 def fingerprint_top(spark: SparkSession, d: str) -> DataFrame:
-    totals = rollup.additive(star.person_day(spark, d), ["person"], {"n_services": "n_services"})
-    return reconcile.fingerprint(ranking.top_n_with_ties(totals, "n_services", 10, materialize=True), ["person", "n_services"])
+    totals = rollup.additive(star.service_units(spark, d), ["person"], {"n_services": "n_services"})
+    return reconcile.fingerprint(ranking.top_n_with_ties(totals, "n_services", 10), ["person", "n_services"])
+
+
+@query(with_(ENRICHED) + """, p AS (SELECT person AS code, count(*) AS n FROM enr GROUP BY 1), c AS (SELECT centre AS code, count(*) AS n FROM enr GROUP BY 1),
+  r AS (SELECT 'persons' AS ranking, * FROM (SELECT * FROM p ORDER BY n DESC, code LIMIT 10) UNION ALL SELECT 'centres', * FROM (SELECT * FROM c ORDER BY n DESC, code LIMIT 10))
+  SELECT ranking, count(*) AS rows, md5(string_agg(code || ':' || n, ',' ORDER BY n DESC, code)) AS fingerprint FROM r GROUP BY 1""")
+def ranking_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    """Ordered md5 of two rankings of ten, as a short proof of their content and order."""
+    rows = star.service_units(spark, d)
+    def of(name: str, code: str) -> DataFrame:
+        totals = rollup.additive(rows, [F.col(code).alias("code")], {"n": "n_services"})
+        labelled = totals.withColumn("label", F.concat_ws(":", "code", F.col("n").cast("string")))
+        return reconcile.ordered_md5(labelled, "label", [F.desc("n"), "code"], 10).select(F.lit(name).alias("ranking"), "rows", "fingerprint")
+    return of("persons", "person").unionByName(of("centres", "centre"))
 
 
 @query("SELECT DISTINCT CAST(l_shipdate AS DATE) AS jour FROM lineitem WHERE CAST(l_shipdate AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderdate IS NOT NULL)")
@@ -539,12 +617,11 @@ _MANIFEST = """m AS (SELECT CAST(o_orderkey AS VARCHAR) AS name, o_custkey AS ar
 def chain_verify(spark: SparkSession, d: str) -> DataFrame:
     """A manifest of one archive per customer with every kind of fault in it."""
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    numbered = ranking.global_row_number(orders, ["o_custkey", "o_orderkey"], "g")
-    first = numbered.groupBy("o_custkey").agg(F.min("g").alias("_first"))
+    numbered = ranking.row_numbers(orders, ["o_custkey"], F.shiftright("o_orderkey", 16), ["o_orderkey"], "pos")
     text = F.concat(F.col("o_orderkey").cast("string"), F.lit("/"), "o_orderstatus")
-    rows = numbered.join(first, "o_custkey").select(
+    rows = numbered.select(
         F.col("o_orderkey").cast("string").alias("name"), F.col("o_custkey").alias("archive"),
-        (F.col("g") - F.col("_first") + 1).alias("pos"), S.sha256(text).alias("file_hash"), "o_orderstatus", "o_orderpriority")
+        "pos", S.sha256(text).alias("file_hash"), "o_orderstatus", "o_orderpriority")
     def link(position):
         return S.sha256(F.concat(F.lit("link"), F.col("archive").cast("string"), F.lit("/"), position.cast("string")))
     pos = F.col("pos")

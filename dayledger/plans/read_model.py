@@ -123,7 +123,8 @@ def months_closed(t: Tables, as_of: str | None) -> DataFrame:
 def _top_masked(daily_table: DataFrame, code: str, count: str, dim: DataFrame, name: str, default: str) -> DataFrame:
     per_code = rollup.suppress_small_groups(rollup.additive(daily_table, [code], {count: count}), count)
     best = ranking.top_n_strict(per_code, count, code, 10)
-    return enrich.left_dimension(best, dim.select(code, name), code, {name: default}).select(code, name, count)
+    named = enrich.left_dimension(best, dim.select(code, name), code, {name: default})
+    return named.select(code, name, count).orderBy(F.desc(count), code)
 
 
 def _named(daily_table: DataFrame, key: str, names: DataFrame) -> DataFrame:

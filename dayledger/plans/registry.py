@@ -59,7 +59,7 @@ ANSWERS = """ans AS (
 
 REQUESTS = ANSWERS + """, amt AS (
   SELECT l_orderkey AS request, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS amount
-  FROM lineitem WHERE l_linenumber > 1 GROUP BY 1), req AS (
+  FROM lineitem GROUP BY 1), req AS (
   SELECT o.o_orderkey AS request, CAST(o.o_orderdate AS DATE) AS jour, o.o_orderpriority AS request_type,
          COALESCE(a.status_code, 'sans_reponse') AS status_code, a.agent_code,
          date_sub('hour', o.o_orderdate, a.answer_time) AS delay_hours, COALESCE(m.amount, 0) AS amount

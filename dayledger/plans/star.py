@@ -53,6 +53,12 @@ def enriched(spark: SparkSession, d: str, period: Period | None = None) -> DataF
                                {n: n for n in names}, {a: a for a in amounts})
 
 
+def service_units(spark: SparkSession, d: str, period: Period | None = None) -> DataFrame:
+    """Service lines as a daily table of one line each: roll-ups that keep no day group these at their
+    own grain at once, with one shuffle."""
+    return enriched(spark, d, period).withColumn("n_services", F.lit(1))
+
+
 SERVICE_KEYS = ["jour", "act", "invoice_type", "scheme", "centre_type"]
 
 
@@ -73,10 +79,13 @@ def person_day(spark: SparkSession, d: str, period: Period | None = None) -> Dat
     return daily.count_and_sum(enriched(spark, d, period), ["jour", "person", "centre"], "n_services", {"billed": "billed"})
 
 
-def invoices_day(spark: SparkSession, d: str, period: Period | None = None) -> DataFrame:
+def invoice_units(spark: SparkSession, d: str, period: Period | None = None) -> DataFrame:
     dated = enrich.dated(invoices(spark, d, period).withColumnRenamed("care_day", "jour"))
-    dated = enrich.coalesce_dims(dated, {"invoice_type": S.UNKNOWN, "scheme": S.UNKNOWN})
-    return daily.count_and_sum(dated, ["jour", "invoice_type", "scheme"], "n_invoices")
+    return enrich.coalesce_dims(dated, {"invoice_type": S.UNKNOWN, "scheme": S.UNKNOWN}).withColumn("n_invoices", F.lit(1))
+
+
+def invoices_day(spark: SparkSession, d: str, period: Period | None = None) -> DataFrame:
+    return daily.count_and_sum(invoice_units(spark, d, period).drop("n_invoices"), ["jour", "invoice_type", "scheme"], "n_invoices")
 
 
 def requests(spark: SparkSession, d: str, period: Period | None = None) -> DataFrame:
@@ -96,7 +105,7 @@ def answers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def amounts(spark: SparkSession, d: str) -> DataFrame:
-    acts = table(spark, d, "lineitem").where("l_linenumber > 1").withColumnRenamed("l_orderkey", "request")
+    acts = table(spark, d, "lineitem").withColumnRenamed("l_orderkey", "request")
     return enrich.sum_per_key(acts, "request", "l_extendedprice", "amount")
 
 
@@ -104,6 +113,10 @@ def requests_enriched(spark: SparkSession, d: str, period: Period | None = None)
     return enrich.left_status(requests(spark, d, period), answers(spark, d), amounts(spark, d), "request")
 
 
+def request_units(spark: SparkSession, d: str, period: Period | None = None) -> DataFrame:
+    return requests_enriched(spark, d, period).withColumns({"n_requests": F.lit(1), "engaged_amount": F.col("amount")})
+
+
 def requests_day(spark: SparkSession, d: str, period: Period | None = None) -> DataFrame:
     return daily.requests_day(requests_enriched(spark, d, period), ["jour", "status_code", "request_type"])
 
@@ -113,10 +126,13 @@ def agent_day(spark: SparkSession, d: str) -> DataFrame:
     return daily.count_and_sum(answered, ["jour", "agent_code", "status_code"], "n_requests")
 
 
+def medicine_units(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "lineitem").select(F.col("l_shipdate").cast("date").alias("jour"),
+                                              F.col("l_partkey").alias("medicine"), F.lit(1).alias("n_prescriptions"))
+
+
 def medicine_day(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "lineitem").select(F.col("l_shipdate").cast("date").alias("jour"),
-                                              F.col("l_partkey").alias("medicine"))
-    return daily.count_and_sum(rows, ["jour", "medicine"], "n_prescriptions")
+    return daily.count_and_sum(medicine_units(spark, d).drop("n_prescriptions"), ["jour", "medicine"], "n_prescriptions")
 
 
 def pathology_day(spark: SparkSession, d: str) -> DataFrame:

@@ -1,10 +1,8 @@
-"""Session helpers: a local session for tests and the shared folder for cut lineage."""
+"""A local session for tests and the bench."""
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cores: str = "8", app: str = "dayledger", **conf: str) -> SparkSession:
@@ -18,7 +16,6 @@ def local_session(cores: str = "8", app: str = "dayledger", **conf: str) -> Spar
         .config("spark.sql.adaptive.enabled", "true")
         # One small file is one scan task: shuffling such joins gives all cores work.
         .config("spark.sql.autoBroadcastJoinThreshold", "1m")
-        .config("spark.sql.join.preferSortMergeJoin", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in conf.items():
@@ -26,22 +23,3 @@ def local_session(cores: str = "8", app: str = "dayledger", **conf: str) -> Spar
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one only where none is set."""
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="dayledger-ckpt-")
-    context.setCheckpointDir(shared)
-    return shared
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder, so that re-reads see the same rows."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

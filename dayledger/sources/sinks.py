@@ -7,20 +7,35 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dayledger.streaming import files
+
 
 def stamped(df: DataFrame, column: str = "maj_le") -> DataFrame:
     """Add the update stamp."""
     return df.withColumn(column, F.current_timestamp())
 
 
-def overwrite_days(df: DataFrame, path: str, day: str = "jour") -> None:
-    """Replace the day partitions present in ``df``; other days stay. Replaying changes nothing.
+def overwrite_days(df: DataFrame, path: str, day: str = "jour", period: tuple[str, str] | None = None,
+                   keep_history: bool = False) -> None:
+    """Write a daily table as day partitions. Writing the same again changes nothing.
 
+    Without ``period`` the table is replaced: a day that has no rows any more goes. With ``period``
+    (first and last day) only its days are written, and those it had but no longer produces go.
+    ``keep_history`` replaces the days in ``df`` and leaves all others, for a source that was reset.
     Range partitioning on the whole row spreads a day that holds a large share of the rows.
     """
+    if period:
+        df = df.where(F.col(day).between(*period))
     rest = [c for c in df.columns if c != day]
-    (df.repartitionByRange(day, *rest).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    mode = "dynamic" if period or keep_history else "static"
+    (df.repartitionByRange(day, *rest).write.mode("overwrite").option("partitionOverwriteMode", mode)
      .partitionBy(day).parquet(path))
+    if period and not keep_history:
+        produced = {f"{day}={r[0]}" for r in df.select(F.col(day).cast("string")).distinct().collect()}  # days of the period
+        first, last = (f"{day}={d}" for d in period)
+        for name in files.children(df.sparkSession, path):
+            if first <= name <= last and name.startswith(f"{day}=") and name not in produced:
+                files.remove(df.sparkSession, f"{path}/{name}")
 
 
 def to_keyed_messages(df: DataFrame, keys: Sequence[str], deleted: str | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -43,25 +44,45 @@ class WriterBusy(RuntimeError):
 
 
 def acquire(spark: SparkSession, root: str, owner: str) -> None:
-    """Claim a target folder for one named job.
+    """Claim a target folder for one run.
 
-    Two jobs on the same tables corrupt them, so a second owner is refused. A job that restarts
-    under its own name may claim again.
+    Two jobs on the same tables corrupt them, so any other owner is refused. Only the run that holds
+    the claim may claim again: a restart from its own checkpoint.
     """
-    path = f"{root}/writer.lock"
-    fs, jpath = _fs(spark, path)
+    fs, jpath = _fs(spark, f"{root}/writer.lock")
+    while True:
+        try:
+            stream = fs.create(jpath, False)
+            break
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+                raise
+        holder = _holder(spark, root)
+        if holder == owner:
+            return
+        if holder is not None:
+            raise WriterBusy(f"{root} is written by {holder!r}")
+        # Given back in between: try again.
+    stream.write(bytearray(owner.encode()))
+    stream.close()
+
+
+def _holder(spark: SparkSession, root: str) -> str | None:
+    """Who holds the claim; none when the file is gone."""
+    fs, jpath = _fs(spark, f"{root}/writer.lock")
+    try:
+        stream = fs.open(jpath)
+    except Py4JJavaError as error:
+        if "FileNotFound" in error.java_exception.getClass().getName():
+            return None
+        raise
     try:
-        stream = fs.create(jpath, False)
-        stream.write(bytearray(owner.encode()))
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
         stream.close()
-    except Exception:
-        holder = "\n".join(r.value for r in spark.read.text(path).collect())
-        if holder != owner:
-            raise WriterBusy(f"{root} is written by {holder!r}") from None
 
 
 def release(spark: SparkSession, root: str, owner: str) -> None:
-    path = f"{root}/writer.lock"
-    fs, jpath = _fs(spark, path)
-    if fs.exists(jpath) and "\n".join(r.value for r in spark.read.text(path).collect()) == owner:
-        fs.delete(jpath, False)
+    """Give a claim back; one that another run holds stays."""
+    if _holder(spark, root) == owner:
+        remove(spark, f"{root}/writer.lock")

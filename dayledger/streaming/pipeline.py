@@ -14,8 +14,10 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import partial
+from threading import Thread
 
 from pyspark import StorageLevel
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from dayledger.operators.reshape import stack
 from dayledger.plans import claims
 from dayledger.sources import cdc
+from dayledger.sources.sinks import overwrite_days
 from dayledger.sources.specs import SPECS
 from dayledger.streaming import files
 from dayledger.streaming.tables import KeyedTable, SumTable, upsert_by_key
@@ -255,23 +258,45 @@ class Ledger:
         return first
 
 
-def run_pipeline(raw: DataFrame, ledger: Ledger, checkpoint: str, owner: str = "dayledger",
+#: Owner and query of the last run per target folder in this process.
+_last_runs: dict[str, tuple[str, StreamingQuery]] = {}
+
+
+def run_pipeline(raw: DataFrame, ledger: Ledger, checkpoint: str, name: str = "dayledger",
                  trigger: dict[str, object] | None = None) -> StreamingQuery:
     """Start the continuous job on a raw change stream (see ``cdc.read_kafka``, ``cdc.read_files``).
 
-    The target folder is claimed for ``owner``; the checkpoint replaces a replay from the earliest
-    offset after a restart.
+    The target folder is claimed for this checkpoint until the query ends: a second job is refused, a
+    restart from the same checkpoint goes on. The checkpoint replaces a replay from the earliest offset.
     """
+    owner = f"checkpoint {checkpoint}"
+    last = _last_runs.get(ledger.root)
+    if last and not last[1].isActive:  # ended in this process; its claim may not be given back yet
+        files.release(ledger.spark, ledger.root, last[0])
     files.acquire(ledger.spark, ledger.root, owner)
-    first = ledger.first_batch(checkpoint)
-    captured = cdc.allow_tables(raw, [s.table for s in SPECS.values()])
-    writer = captured.writeStream.foreachBatch(lambda df, batch: ledger.process(df, first + batch))
-    writer = writer.option("checkpointLocation", checkpoint).queryName(owner)
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
-
-
-def publish_days(ledger: Ledger, name: str, path: str, days: Iterable[str] | None = None) -> None:
-    """Copy a daily table to plain day partitions for readers outside Spark."""
-    from dayledger.sources.sinks import overwrite_days
-    df = ledger.tables()[name]
-    overwrite_days(df if days is None else df.where(F.col("jour").isin(list(days))), path)
+    try:
+        first = ledger.first_batch(checkpoint)
+        captured = cdc.allow_tables(raw, [s.table for s in SPECS.values()])
+        writer = captured.writeStream.foreachBatch(lambda df, batch: ledger.process(df, first + batch))
+        writer = writer.option("checkpointLocation", checkpoint).queryName(name)
+        query = writer.trigger(**(trigger or {"availableNow": True})).start()
+    except BaseException:
+        files.release(ledger.spark, ledger.root, owner)
+        raise
+
+    _last_runs[ledger.root] = owner, query
+
+    def give_back() -> None:
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            pass  # the caller sees it in query.exception()
+        files.release(ledger.spark, ledger.root, owner)
+
+    Thread(target=give_back, daemon=True).start()
+    return query
+
+
+def publish_days(ledger: Ledger, name: str, path: str, period: tuple[str, str] | None = None) -> None:
+    """Copy a daily table, or the days of a period, to plain day partitions for readers outside Spark."""
+    overwrite_days(ledger.tables()[name], path, period=period)

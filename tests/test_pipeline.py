@@ -83,9 +83,30 @@ def test_full_replay_is_idempotent(spark, done):
     assert before == {n: rows(done["ledger"].tables()[n]) for n in some}
 
 
-def test_second_writer_is_refused(spark, done):
+def test_second_writer_is_refused(spark, tmp_path):
+    """Defaults everywhere: another checkpoint is refused while a job runs, and let in when it has ended."""
+    src, target = f"{tmp_path}/in", f"{tmp_path}/out"
+    log = ev.Log()
+    ev.invoice(log, "F1")
+    ev.write(log.take(), src, "a")
+    ledger = Ledger(spark, target, buckets=2)
+    running = run_pipeline(cdc.read_files(spark, src), ledger, f"{tmp_path}/one")
+    with pytest.raises(files.WriterBusy):
+        run_pipeline(cdc.read_files(spark, src), ledger, f"{tmp_path}/two")
+    running.awaitTermination()
+    run(spark, ledger, src, f"{tmp_path}/one")
+    run(spark, ledger, src, f"{tmp_path}/two")
+
+
+def test_claim_is_of_one_checkpoint(spark, tmp_path):
+    files.acquire(spark, str(tmp_path), "checkpoint a")
+    files.acquire(spark, str(tmp_path), "checkpoint a")
     with pytest.raises(files.WriterBusy):
-        run_pipeline(cdc.read_files(spark, done["src"]), done["ledger"], done["root"] + "/check3", owner="other")
+        files.acquire(spark, str(tmp_path), "checkpoint b")
+    files.release(spark, str(tmp_path), "checkpoint b")
+    assert files.has(spark, f"{tmp_path}/writer.lock")
+    files.release(spark, str(tmp_path), "checkpoint a")
+    files.acquire(spark, str(tmp_path), "checkpoint b")
 
 
 def test_views_over_streaming_tables(spark, done):

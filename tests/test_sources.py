@@ -93,12 +93,24 @@ def test_keyed_messages_compact_to_current_rows(spark):
     assert {r.key for r in sinks.latest_messages(ordered, "seq").collect()} == {'{"k":"a"}'}
 
 
-def test_overwrite_days_keeps_other_days(spark, tmp_path):
+def test_overwrite_days(spark, tmp_path):
     path = str(tmp_path / "kpi")
-    sinks.overwrite_days(spark.createDataFrame([("d1", 1), ("d2", 2)], "jour string, n int"), path)
-    for _ in range(2):
-        sinks.overwrite_days(spark.createDataFrame([("d2", 5)], "jour string, n int"), path)
-    assert {(r.jour, r.n) for r in spark.read.parquet(path).collect()} == {("d1", 1), ("d2", 5)}
+
+    def table(*rows):
+        return spark.createDataFrame(list(rows), "jour string, n int")
+
+    def read():
+        return {(str(r.jour), r.n) for r in spark.read.parquet(path).collect()}
+
+    sinks.overwrite_days(table(("2026-01-01", 1), ("2026-01-02", 2), ("2026-01-03", 3)), path)
+    for _ in range(2):  # the source was reset: other days stay
+        sinks.overwrite_days(table(("2026-01-02", 5)), path, keep_history=True)
+        assert read() == {("2026-01-01", 1), ("2026-01-02", 5), ("2026-01-03", 3)}
+    for _ in range(2):  # the period is recomputed: its emptied day goes, days outside stay
+        sinks.overwrite_days(table(("2026-01-01", 7), ("2026-01-03", 9)), path, period=("2026-01-02", "2026-01-03"))
+        assert read() == {("2026-01-01", 1), ("2026-01-03", 9)}
+    sinks.overwrite_days(table(("2026-01-01", 4)), path)  # a full run replaces the table
+    assert read() == {("2026-01-01", 4)}
 
 
 def test_csv(spark, tmp_path):
