@@ -14,11 +14,19 @@ from dayledger.sources.sinks import overwrite_days, stamped
 
 def write_all(src: claims.Sources, root: str, as_of: str | None = None, tables: Sequence[str] | None = None,
               parallel_jobs: int = 8, period: tuple[str, str] | None = None, keep_history: bool = False) -> None:
-    """Fan out from one read: the two joined row sets are computed once and feed all daily tables.
+    """Fan out from one read: the current rows of every source are written once (``_sources``) and read from
+    there, whatever they are planned on; the two joined row sets are computed once and feed all daily tables.
 
     Daily tables are day-partitioned. A full run replaces them; one with ``period`` replaces the days of
     the period; ``keep_history`` leaves days that the sources no longer have (see ``overwrite_days``).
     """
+    def keep(name: str) -> None:
+        src[name].write.mode("overwrite").parquet(f"{root}/_sources/{name}")
+
+    with ThreadPoolExecutor(parallel_jobs) as pool:
+        list(pool.map(keep, src))
+    spark = next(iter(src.values())).sparkSession
+    src = {n: spark.read.schema(df.schema).parquet(f"{root}/_sources/{n}") for n, df in src.items()}
     services = claims.enriched_services(src).persist(StorageLevel.MEMORY_AND_DISK)
     requests = claims.enriched_requests(src).persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -35,6 +35,9 @@ INVOICE_FAMILY = ("services", "invoices")
 REQUEST_FAMILY = ("requests", "answers", "acts")
 INVOICE_KEY, REQUEST_KEY = "FACTURE_NUMERO", "ENTENTE_PREALABLE_ID"
 
+#: Marks of finished batches that stay beside the newest.
+KEPT_MARKS = 8
+
 _ORDER_TYPE = T.StructType([T.StructField("lsn", T.LongType()), T.StructField("offset", T.LongType())])
 
 
@@ -55,7 +58,7 @@ class Ledger:
     buckets: int = 16
     history: bool = True
     as_of: str | None = None
-    compact_every: int | None = None
+    compact_every: int | None = 64
     parallel_jobs: int = 8
     _cached: list[DataFrame] = field(default_factory=list)
 
@@ -160,6 +163,9 @@ class Ledger:
                 together(writes + [w for part in parts for w in part.writes])
             # Last: readers and a restarted job see the batch only once all of it is written.
             self.spark.range(1).write.mode("overwrite").parquet(f"{self.root}/done/batch={batch}")
+            for name in files.children(self.spark, f"{self.root}/done"):  # the newest marks say it all
+                if name.startswith("batch=") and int(name[6:]) < batch - KEPT_MARKS:
+                    files.remove(self.spark, f"{self.root}/done/{name}")
             if self.compact_every and (batch + 1) % self.compact_every == 0:
                 self.compact(batch + 1)
         finally:
