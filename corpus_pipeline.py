@@ -19,8 +19,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose fingerprints of 5-word shingles are linked at 4 or fewer bits."""
-    return simhash.keep_one(docs, width=5)
+    """One document of each group of near copies (0.8 or more of their 5-word shingles in common)."""
+    return simhash.keep_one(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

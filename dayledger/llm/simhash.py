@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dayledger.llm import bloom, textbytes
 from dayledger.llm.common import stored
 
 BLOCKS = ((0, 21), (21, 42), (42, 64))
@@ -199,22 +200,67 @@ def grouped(docs: DataFrame, width: int = 4, text: str = "text", doc_id: str = "
     return rows.join(stored(classed.join(ids, "root").select("fp", "component_id")), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, width: int = 5, text: str = "text", doc_id: str = "doc_id", dense: int = DENSE) -> DataFrame:
-    """``docs`` with one document of each group, that of the smallest id (nulls last), all columns kept.
+def word_prints(texts: list[str | None]) -> np.ndarray:
+    """Two independent fingerprints of each text, as rows: SimHash of its words, lower case, each weighing
+    the root of its count. A text without words has 0 and 0."""
+    words = textbytes.split(texts, ~textbytes.SPACE)
+    out = np.zeros((len(texts), 2), np.int64)
+    if not len(words.hash):
+        return out
+    order = np.lexsort((words.hash, words.doc))
+    doc, hash_ = words.doc[order], words.hash[order]
+    new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (hash_[1:] != hash_[:-1])])
+    weight = np.sqrt(np.diff(np.r_[new, len(doc)])).astype(np.float32)[:, None]
+    doc, hash_ = doc[new], hash_[new]
+    first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+    for k in range(2):
+        bits = np.unpackbits(textbytes.mix(hash_ + np.uint64(k)).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        total = np.add.reduceat(np.where(bits, weight, -weight), first, axis=0)
+        out[doc[first], k] = np.packbits(total > 0, axis=1, bitorder="little").view("<i8").ravel()
+    return out
+
+
+def classes(texts: DataFrame, column: str, root: str, dense: int) -> DataFrame:
+    """``column, root`` of every distinct fingerprint."""
+    prints = stored(texts.select(F.col(column).alias("fp")).distinct())
+    roots = components(links(prints, dense))
+    return prints.join(roots, F.col("fp") == F.col("a"), "left").select(F.col("fp").alias(column), F.coalesce("root", "fp").alias(root))
+
+
+def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", dense: int = DENSE) -> DataFrame:
+    """``docs`` with one document of each group of near copies, that of the smallest id (nulls last), all
+    columns kept. Of rows equal in all columns one stays.
+
+    For near copies as shingles see them: texts that share 0.8 or more of their 5-word shingles differ in
+    about 2 % of their words, which turns few bits of a fingerprint of words, but ten of one of shingles.
+    A text has two such fingerprints; texts that are near by either are linked.
+    """
+    @F.pandas_udf("struct<p: long, q: long>")
+    def prints(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            body = list(batch)
+            parts = [word_prints(body[part]) for part in textbytes.portions(body)]
+            yield pd.DataFrame(np.concatenate(parts or [np.zeros((0, 2), np.int64)]), columns=["p", "q"])
 
-    Only what belongs to a group of several rows is joined back, by a hash of the text; of rows equal in
-    all columns one stays."""
     row, key = F.xxhash64(*docs.columns), F.xxhash64(text)
-    rows = stored(docs.select(F.col(doc_id).alias("doc_id"), key.alias("text_key"), row.alias("row_key"), fingerprints(width)(F.col(text)).alias("fp")))
-    prints = stored(rows.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first")))
-    roots = components(links(prints.select("fp"), dense))
-    classed = prints.join(roots, F.col("fp") == F.col("a"), "left").withColumn("root", F.coalesce("root", "fp"))
-    groups = classed.groupBy("root").agg(F.sum("n").alias("n"), F.min("first").alias("first")).filter("n > 1")
-    keepers = classed.select("fp", "root").join(groups, "root").select("fp", F.col("first.row_key").alias("keeper"))
-    members = stored(rows.join(stored(keepers), "fp").select(F.col("text_key").alias("__text_key"), F.col("keeper").alias("__keeper")).distinct())
-
+    rows = docs.select(F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), row.alias("row")).alias("first"),
+                       key.alias("text_key"), prints(F.col(text)).alias("f"))
+    # Copies of a text arrive as one row per task; from here on there is one row per text.
+    texts = stored(rows.groupBy("text_key", "f.p", "f.q").agg(F.count(F.lit(1)).alias("rows"), F.min("first").alias("first")))
+    pairs = stored(texts.select("p", "q").distinct().join(classes(texts, "p", "by_p", dense), "p").join(classes(texts, "q", "by_q", dense), "q"))
+    # A class by one fingerprint and a class by the other that share a text are one group.
+    node = [F.concat(F.lit(side), F.hex(column)) for side, column in (("p", "by_p"), ("q", "by_q"))]
+    merged = components(pairs.select(node[0].alias("a"), node[1].alias("b")))
+    grouped_ = pairs.join(merged, node[0] == F.col("a"), "left").select("p", "q", F.coalesce("root", node[0]).alias("group"))
+    placed = texts.join(stored(grouped_), ["p", "q"])
+    groups = placed.groupBy("group").agg(F.sum("rows").alias("n"), F.min("first").alias("first")).filter("n > 1")
+    members = stored(placed.join(groups.select("group", F.col("first.row").alias("__keeper")), "group").select(
+        F.col("text_key").alias("__text_key"), "__keeper"))
+
+    # Only rows whose text may be in a group of several meet the members; the rest pass straight through.
+    filter_ = bloom.build(members.select("__text_key"), members.count(), repeated_only=False)
     packed = docs.select(F.struct(*docs.columns).alias("__row"), row.alias("__row_key"), key.alias("__key"))
-    judged = packed.join(members, F.col("__key") == F.col("__text_key"), "left")
-    alone = judged.filter("__keeper IS NULL").select("__row.*")
-    kept = judged.filter("__keeper = __row_key").select("__row.*")
-    return alone.unionByName(kept.dropDuplicates())
+    packed = packed.withColumn("__maybe", bloom.might_hold(docs, filter_, F.col("__key")))
+    judged = packed.filter("__maybe").join(members, F.col("__key") == F.col("__text_key"), "left")
+    alone = packed.filter("NOT __maybe").select("__row.*").unionByName(judged.filter("__keeper IS NULL").select("__row.*"))
+    return alone.unionByName(judged.filter("__keeper = __row_key").select("__row.*").dropDuplicates())

@@ -6,9 +6,9 @@ import random
 import pytest
 
 import corpus_pipeline
-from dayledger.llm import quality
+from dayledger.llm import quality, simhash
 from test_models import made_up
-from test_simhash import groups, plain_print
+from test_simhash import groups
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -29,6 +29,20 @@ def folder(spark, tmp_path_factory):
     return str(path)
 
 
+def joined(first, second):
+    """Groups of a table that is grouped in two ways."""
+    names = list(range(len(first)))
+    for labels in (first, second) * len(first):
+        least = {}
+        for k, label in enumerate(labels):
+            least[label] = min(least.get(label, names[k]), names[k])
+        after = [least[label] for label in labels]
+        if after == names and labels is second:
+            break
+        names = after
+    return names
+
+
 def rows_of(df):
     return collections.Counter(tuple(r) for r in df.collect())
 
@@ -46,7 +60,8 @@ def test_stages(spark, folder):
 
     one = second(spark, good, folder)
     data = sorted(good.collect(), key=lambda r: (r.doc_id is None, r.doc_id))
-    of = groups([plain_print(r.text, 5) for r in data])
+    prints = simhash.word_prints([r.text for r in data])
+    of = joined(groups(prints[:, 0].tolist()), groups(prints[:, 1].tolist()))
     seen: set = set()
     want = [r for r, g in zip(data, of) if not (g in seen or seen.add(g))]
     assert rows_of(one) == collections.Counter(tuple(r) for r in want)
@@ -78,3 +93,30 @@ def test_stages_take_empty_and_repeated_rows(spark, folder):
     twice = docs.unionByName(docs)
     kept = dict(corpus_pipeline.STAGES)["simhash near-dedup"](spark, twice, folder)
     assert rows_of(kept) == rows_of(dict(corpus_pipeline.STAGES)["simhash near-dedup"](spark, docs, folder))
+
+
+def test_near_copies_go_and_others_stay(spark, documents):
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choice("abcdefghijklmnopqrst") for _ in range(rng.randint(2, 8))) for _ in range(rng.randint(150, 400))) for _ in range(60)]
+    docs = [(i, t) for i, t in enumerate(texts)]
+    for i in range(0, 60, 2):
+        words = texts[i].split()
+        for k in rng.sample(range(len(words)), max(1, len(words) // 70)):
+            words[k] = "changed"
+        docs.append((1000 + i, " ".join(words)))
+        docs.append((2000 + i, texts[i]))
+    left = {r.doc_id for r in simhash.keep_one(documents(docs)).collect()}
+    assert set(range(60)) <= left
+    assert not left & set(range(2000, 2060)) and len(left & set(range(1000, 1060))) <= 2
+
+
+def test_word_prints():
+    import numpy as np
+    from dayledger.llm import textbytes
+    texts = ["a b a", "B a A", "", None, "one two  three\nfour", "a b a"]
+    got = simhash.word_prints(texts)
+    assert got[0].tolist() == got[1].tolist() == got[5].tolist() and not got[2].any() and not got[3].any()
+    hashes = textbytes.split(["a b"], ~textbytes.SPACE).hash
+    bits = [[1 if int(textbytes.mix(np.array([h]) + np.uint64(1))[0]) >> k & 1 else -1 for k in range(64)] for h in hashes]
+    want = sum(1 << k for k in range(64) if 2 ** 0.5 * bits[0][k] + bits[1][k] > 0)
+    assert got[0][1] == simhash.signed(want)
