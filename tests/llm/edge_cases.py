@@ -1,10 +1,7 @@
-import sys
-from pathlib import Path
+"""Rows and columns every operator on documents must take."""
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).parent))
-
 #: Names that the operators use inside or return; input columns may have them too.
 CLASHING = {"size": 7, "score": "x", "fp": 1, "key": "k", "shard": 3, "root": 1, "n": 2, "h": 0, "h_": 0, "range": 9, "row_key": 1, "y": 1,
             "taken": 5, "words": 2, "target": 1.0, "kept": True, "maybe": False, "a": 1, "b": 2, "draws": "z", "host": "q", "path": "p", "stretch": 1}

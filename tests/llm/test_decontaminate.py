@@ -3,7 +3,7 @@
 import random
 
 import numpy as np
-from conftest import ODD
+from edge_cases import ODD, documents  # noqa: F401
 
 from dayledger.llm import decontaminate as dc
 

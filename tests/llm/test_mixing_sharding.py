@@ -6,7 +6,7 @@ import re
 import zlib
 
 import pytest
-from conftest import ODD
+from edge_cases import ODD, documents  # noqa: F401
 
 from dayledger.llm import bloom, exact_dedup, mixing, sharding
 

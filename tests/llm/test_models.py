@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import ODD
+from edge_cases import ODD, documents  # noqa: F401
 
 from dayledger.llm import quality, toxicity
 

@@ -4,7 +4,7 @@ import itertools
 
 import numpy as np
 import pytest
-from conftest import CLASHING
+from edge_cases import CLASHING
 
 from dayledger.llm import dom, html_extract, url_filter
 

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import ODD
+from edge_cases import ODD, documents  # noqa: F401
 
 from dayledger.llm import pii
 

@@ -7,6 +7,7 @@ import pytest
 
 import corpus_pipeline
 from dayledger.llm import quality, simhash
+from edge_cases import documents  # noqa: F401
 from test_models import made_up
 from test_simhash import groups
 

@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
-from conftest import ODD
+from edge_cases import ODD, documents  # noqa: F401
 
 from dayledger.llm import simhash
 
