@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,21 +22,22 @@ def hash_files(df: DataFrame) -> DataFrame:
 def extend_chain(day: str, entries: DataFrame, tail: str = GENESIS) -> DataFrame:
     """Manifest lines for one day's archives, chained on from ``tail`` in the order of ``seq``.
 
-    A chain is sequential by nature; what it folds is the day's handful of archive hashes, never
-    the archived rows.
+    Every link needs the one before, so a chain is made by one task, reading the day's archive hashes
+    (never the archived rows) once in order and keeping nothing but the last link.
     """
-    files = F.sort_array(F.collect_list(F.struct("seq", "name", "file_hash")))
-    start = F.struct(F.lit(tail).alias("chain"), F.array().cast(
-        "array<struct<seq:bigint,name:string,file_hash:string,previous:string,chain:string>>").alias("lines"))
-
-    def link(acc, f):
-        chain = S.sha256(F.concat(acc["chain"], f["file_hash"], f["name"]))
-        line = F.struct(f["seq"].cast("bigint").alias("seq"), f["name"].alias("name"),
-                        f["file_hash"].alias("file_hash"), acc["chain"].alias("previous"), chain.alias("chain"))
-        return F.struct(chain.alias("chain"), F.concat(acc["lines"], F.array(line)).alias("lines"))
-
-    folded = entries.agg(F.aggregate(files, start, link)["lines"].alias("lines"))
-    return folded.select(F.explode("lines").alias("l")).select(F.lit(day).alias("day"), "l.*")
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = tail
+        for batch in batches:
+            previous, chain = [], []
+            for file_hash, name in zip(batch["file_hash"], batch["name"]):
+                previous.append(last)
+                last = hashlib.sha256(f"{last}{file_hash}{name}".encode()).hexdigest()
+                chain.append(last)
+            yield batch.assign(previous=previous, chain=chain)
+
+    ordered = entries.select(F.col("seq").cast("bigint"), "name", "file_hash").coalesce(1).sortWithinPartitions("seq")
+    lines = ordered.mapInPandas(fold, "seq bigint, name string, file_hash string, previous string, chain string")
+    return lines.select(F.lit(day).alias("day"), "*")
 
 
 def verify_chain(manifest: DataFrame, actual: DataFrame, position: str, by: Sequence[str] = (),

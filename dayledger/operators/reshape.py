@@ -45,6 +45,15 @@ def stack(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def board(figures: Sequence[tuple[str, DataFrame, str | None, str | Column]]) -> DataFrame:
+    """Headline figures in long form: (indicateur, categorie, valeur), one row per figure and category.
+    Each part is (indicator, aggregated rows, category column or none, value)."""
+    return stack([
+        rows.select(F.lit(name).alias("indicateur"), (F.col(by).cast("string") if by else F.lit(None).cast("string")).alias("categorie"),
+                    (F.col(value) if isinstance(value, str) else value).cast("decimal(18,2)").alias("valeur"))
+        for name, rows, by, value in figures])
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 

@@ -530,6 +530,34 @@ def summary_board(spark: SparkSession, d: str) -> DataFrame:
         figures["rate"].alias("response_rate"), figures["engaged"].alias("engaged_amount"))
 
 
+@query(with_(ENRICHED, REQUESTS) + f"""
+SELECT indicateur, categorie, CAST(valeur AS DECIMAL(18,2)) AS valeur FROM (
+  SELECT 'services' AS indicateur, CAST(NULL AS VARCHAR) AS categorie, count(*) AS valeur FROM enr
+  UNION ALL SELECT 'invoices', NULL, count(*) FROM orders
+  UNION ALL SELECT 'billed', NULL, sum(billed) FROM enr
+  UNION ALL SELECT 'requests', NULL, count(*) FROM req
+  UNION ALL SELECT 'response rate', NULL, {half_up("100 * count(*) FILTER (WHERE status_code <> 'sans_reponse')", "count(*)", 1)} FROM req
+  UNION ALL SELECT 'engaged amount', NULL, {_GRANTED} FROM req
+  UNION ALL SELECT 'services by act', act, count(*) FROM enr GROUP BY act
+  UNION ALL SELECT 'requests by status', status_code, count(*) FROM req GROUP BY status_code
+  UNION ALL SELECT 'insurer paid by invoice type', invoice_type, sum(insurer_paid) FROM enr GROUP BY invoice_type
+  UNION ALL SELECT 'requests by closed month', CAST(CAST(date_trunc('month', jour) AS DATE) AS VARCHAR), count(*) FROM req
+    WHERE jour < date_trunc('month', DATE '{AS_OF}') GROUP BY 2)""")
+def summary_ten(spark: SparkSession, d: str) -> DataFrame:
+    """The ten headline indicators in one place."""
+    services, asked = star.service_units(spark, d), star.request_units(spark, d)
+    by_status = rollup.additive(asked, ["status_code"], {"n": "n_requests"})
+    months = rollup.monthly_closed(asked, AS_OF, {"n": "n_requests"}, {})
+    one = summary_board(spark, d)
+    return reshape.board([
+        ("services", one, None, "n_services"), ("invoices", one, None, "n_invoices"), ("billed", one, None, "billed"),
+        ("requests", one, None, "n_requests"), ("response rate", one, None, "response_rate"), ("engaged amount", one, None, "engaged_amount"),
+        ("services by act", rollup.additive(services, ["act"], {"n": "n_services"}), "act", "n"),
+        ("requests by status", by_status, "status_code", "n"),
+        ("insurer paid by invoice type", rollup.additive(services, ["invoice_type"], {}, {"paid": "insurer_paid"}), "invoice_type", "paid"),
+        ("requests by closed month", months, "month", "n")])
+
+
 # -- audience ----------------------------------------------------------------------------------
 
 

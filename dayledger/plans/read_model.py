@@ -57,7 +57,7 @@ PUBLIC = (
     "dim_pathologies", "v_top10_assures", "v_top10_assures_par_centre", "v_kpi_ententes_prealables_mois",
     "v_kpi_ep_agent_medecin_conseil", "v_centres_sante_geo", "v_professionnels_sante", "v_kpi_prescriptions_jour",
     "v_top10_medicaments", "v_top10_pathologies", "v_kpi_ep_prescriptions", "v_kpi_ep_medicaments",
-    "v_kpi_ep_pathologies", "v_qualite_anomalies", "v_rapport_actes", "v_top_centres_sante_nomme",
+    "v_kpi_ep_pathologies", "v_qualite_anomalies", "v_rapport_actes", "v_synthese", "v_top_centres_sante_nomme",
     "v_top_praticiens_nomme", "v_centres_sante_carte",
 )
 NOMINATIVE = (
@@ -120,6 +120,26 @@ def months_closed(t: Tables, as_of: str | None) -> DataFrame:
         [S.weighted_mean("delai_moyen_heures", "nombre_ententes").alias("delai_moyen_heures")])
 
 
+def summary(t: Tables, as_of: str | None) -> DataFrame:
+    """The ten headline indicators: six figures, three break-downs and the closed months."""
+    services, asked = t["kpi_prestations_jour"], t["kpi_ententes_prealables_jour"]
+    answered = F.when(F.col("statut_code") != S.UNANSWERED, F.col("nombre_ententes")).otherwise(0)
+    figures = services.agg(F.sum("nombre_prestations").alias("n"), F.sum("montant_depense").alias("depense"))
+    requests = asked.agg(F.sum("nombre_ententes").alias("n"), S.percent(F.sum(answered), F.sum("nombre_ententes")).alias("taux"),
+                         F.sum("montant_engage_cmu").alias("engage"))
+    months = months_closed(t, as_of).groupBy("mois").agg(F.sum("nombre_ententes").alias("n"))
+    return reshape.board([
+        ("Nombre de prestations", figures, None, "n"),
+        ("Nombre de factures", t["kpi_factures_jour"].agg(F.sum("nombre_factures").alias("n")), None, "n"),
+        ("Montant total facture", figures, None, "depense"), ("Nombre d'ententes prealables", requests, None, "n"),
+        ("Taux de reponse", requests, None, "taux"), ("Montant engage", requests, None, "engage"),
+        ("Prestations par acte", services.groupBy("prestation_code").agg(F.sum("nombre_prestations").alias("n")), "prestation_code", "n"),
+        ("Ententes par statut", asked.groupBy("statut_code").agg(F.sum("nombre_ententes").alias("n")), "statut_code", "n"),
+        ("Montant pris en charge par type de facture",
+         services.groupBy("type_facture_code").agg(F.sum("montant_pris_en_charge").alias("m")), "type_facture_code", "m"),
+        ("Ententes par mois clos", months, "mois", "n")])
+
+
 def _top_masked(daily_table: DataFrame, code: str, count: str, dim: DataFrame, name: str, default: str) -> DataFrame:
     per_code = rollup.suppress_small_groups(rollup.additive(daily_table, [code], {count: count}), count)
     best = ranking.top_n_strict(per_code, count, code, 10)
@@ -177,6 +197,7 @@ def views(t: Tables, as_of: str | None = None) -> dict[str, DataFrame]:
         ).select("statut_code", "pathologie_code", "pathologie_denomination", "nombre_pathologies"),
         "v_qualite_anomalies": quality.without_raw_row(t["qualite_anomalies"]),
         "v_rapport_actes": report_acts(t),
+        "v_synthese": summary(t, as_of),
         "v_top_centres_sante_nomme": _named(
             t["kpi_prestations_centre_jour"], "centre_sante_code",
             t["dim_centres_sante"].select("centre_sante_code", "centre_sante_denomination")),

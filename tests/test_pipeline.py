@@ -114,6 +114,8 @@ def test_views_over_streaming_tables(spark, done):
     assert "v_top10_assures" in names
     top = spark.sql("SELECT * FROM v_top10_assures ORDER BY rang, personne_uuid").collect()
     assert top[0]["rang"] == 1
+    figures = spark.sql("SELECT indicateur, sum(valeur) AS v FROM v_synthese WHERE indicateur LIKE '%prestations%' OR indicateur LIKE 'Prestations%' GROUP BY 1").collect()
+    assert len(figures) == 2 and len({r["v"] for r in figures}) == 1  # the total, and the acts that add up to it
     for domain in read_model.DETAIL_FIELDS:
         n = spark.sql(f"SELECT count(*) AS n FROM qualite_anomalies WHERE domaine = '{domain}'").first()["n"]
         assert spark.table(f"v_anomalies_{domain}").count() == n
