@@ -191,9 +191,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, stretch: int
     out = None
     for block in blocks(grams):
         part = grams.join(block, "item_id") if block is not None else grams
-        wanted = part.select("gram", "width").distinct().toPandas()  # at most BLOCK_GRAMS rows
+        wanted = part.select("gram", "width").distinct().toArrow().to_pandas()  # at most BLOCK_GRAMS rows
         counts = document_counts(rows, np.sort(wanted["gram"].unique()), sorted(set(wanted["width"].tolist())))
-        chosen = seeds(part, counts, stretch).toPandas()  # no more than the block's n-grams
+        chosen = seeds(part, counts, stretch).toArrow().to_pandas()  # no more than the block's n-grams
         pairs = proposals(rows, chosen, slack).join(items, "item_id")
         found = aligned(pairs).filter(F.col("score") >= min_score)
         out = found if out is None else out.unionByName(found)

@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from dayledger.llm import dom
 
 SAMPLE_PAGES, SAMPLE_BLOCKS = 2_000, 40
-#: Logits of the surroundings: by element, by name; and the bound of the learned part.
-BY_TAG, BY_NAME, LEARNED = 6.0, 2.0, 2.0
+#: Logits of the surroundings: by element, by name, outside of a marked article; the bound of the learned part.
+BY_TAG, BY_NAME, OUTSIDE, LEARNED = 6.0, 3.0, 2.5, 2.0
 #: Smoothness between neighbours: of one parent, and per step of distance in the DOM.
 SIBLINGS, NEIGHBOURS = 1.2, 0.8
 
@@ -61,7 +61,7 @@ def learn(pages: DataFrame, html: str, page_id: str) -> np.ndarray:
                     x = features(blocks)[marked]
                     yield pd.DataFrame({"x": list(x), "y": [float(blocks[k].prior > 0) for k in marked]})
 
-    rows = chosen.mapInPandas(run, "x array<double>, y double").toPandas()
+    rows = chosen.mapInPandas(run, "x array<double>, y double").toArrow().to_pandas()
     if rows["y"].nunique() < 2:
         return np.zeros(8)
     x, y = np.stack(rows["x"]), rows["y"].to_numpy()
@@ -77,9 +77,9 @@ def learn(pages: DataFrame, html: str, page_id: str) -> np.ndarray:
 
 def logits(blocks: list[dom.Block], weights: np.ndarray) -> np.ndarray:
     learned = np.clip(features(blocks) @ weights, -LEARNED, LEARNED)
-    around = np.array([{-2: -BY_TAG, -1: -BY_NAME, 0: 0.0, 1: BY_NAME, 2: BY_TAG}[b.prior] for b in blocks])
-    # Elements and names decide where they speak clearly; the learned part shifts the rest.
-    return learned + around
+    unknown = -OUTSIDE if any(b.prior == 2 for b in blocks) else 0.0
+    # Elements and names decide where they speak clearly; the learned part decides the rest.
+    return learned + np.array([{-2: -BY_TAG, -1: -BY_NAME, 0: unknown, 1: BY_NAME, 2: BY_TAG}[b.prior] for b in blocks])
 
 
 def smoothness(blocks: list[dom.Block]) -> list[tuple[int, int, float]]:

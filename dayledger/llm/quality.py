@@ -154,7 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, parts: int = 3, part: int = 1, sam
                 x, first = passages(texts[part])
                 yield pd.DataFrame({"x": [x[a:b].astype(np.float32).tobytes() for a, b in zip(first[:-1], first[1:])], "y": batch["y"].iloc[part]})
 
-    rows = sampled(docs, labels, "quality", ~held_out(F.col("doc_id"), parts, part), sample).mapInPandas(describe, "x binary, y double").toPandas()
+    rows = sampled(docs, labels, "quality", ~held_out(F.col("doc_id"), parts, part), sample).mapInPandas(describe, "x binary, y double").toArrow().to_pandas()
     if rows["y"].nunique() < 2:
         return float(rows["y"].mean()) if len(rows) else 0.5
     rows = rows.sort_values(["y", "x"], ignore_index=True)  # reruns agree

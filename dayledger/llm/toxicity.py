@@ -237,7 +237,7 @@ def train(docs: DataFrame, labels: DataFrame, parts: int, part: int, sample: int
             for piece in textbytes.portions(texts):
                 yield pd.DataFrame({"x": list(evidence(texts[piece], sent.value)), "y": batch["y"].iloc[piece]})
 
-    rows = sampled(docs, known.filter(fold), "toxic", F.lit(True), sample // CALIBRATION).mapInPandas(measure, "x array<double>, y double").toPandas()
+    rows = sampled(docs, known.filter(fold), "toxic", F.lit(True), sample // CALIBRATION).mapInPandas(measure, "x array<double>, y double").toArrow().to_pandas()
     if rows["y"].nunique() < 2:
         return model, np.r_[-2.0, 0.0, 1.0, np.zeros(8)]
     return model, calibrate(np.stack(rows["x"]), rows["y"].to_numpy())

@@ -81,6 +81,8 @@ TEXT = "Title é! First paragraph, with link inside it. Second. Line two. item o
     (PAGE, TEXT), (None, ""), ("", ""), ("   ", ""), ("<nav>only menu</nav>", ""), ("<article>a<p>b<p>c", "a b c"), ("<article><p>x</article", "x"),
     ("<article>1 < 2 &lt; 3 &bogus; <i>i</i>n</article>", "1 < 2 < 3 &bogus; in"), ("<ARTICLE><P>Up</P></ARTICLE><FOOTER>f</FOOTER>", "Up"),
     ("<article><script>var a='</p>';</script><p>kept</p><style>x</style></article>", "kept"), ("<main>" + "<p>w w w.</p>" * 500 + "</main>", " ".join(["w w w."] * 500)),
+    ('<div>Sign up now</div><div class="header">Site</div><article><p>body</p></article><div>Powered by us</div>', "body"),
+    ('<body><div class="top">a b</div><div id="content"><p>One sentence here.</p></div><div id="footer">f</div></body>', "One sentence here."),
     ('<div class="sidebar"><div class="content"><p>side</p></div></div><article><p>body</p></article>', "body"),
 ])
 def test_main_text(page, text):
