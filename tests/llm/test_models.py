@@ -8,7 +8,6 @@ from edge_cases import ODD, documents  # noqa: F401
 
 from dayledger.llm import quality, toxicity
 
-SF = "/root/testdata/sf0.01"
 
 
 def held_out_auc(scores, labels, column):

@@ -11,7 +11,6 @@ from edge_cases import documents  # noqa: F401
 from test_models import made_up
 from test_simhash import groups
 
-SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
