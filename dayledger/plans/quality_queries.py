@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.functions import scalars as S
-from dayledger.operators import audit, enrich, evaluate, quality, ranking, reconcile, reshape, rollup
+from dayledger.operators import audit, evaluate, quality, ranking, reconcile, reshape, rollup
 from dayledger.plans import claims, read_model, star
 from dayledger.plans.registry import ENRICHED, ORACLES, QUERIES, half_up, query, with_
 from dayledger.sources import cdc, sinks
