@@ -175,7 +175,8 @@ def test_clinical_views_on_controlled_data(spark):
         "dim_pathologies": spark.createDataFrame([("P1", "Palu")], "pathologie_code string, pathologie_denomination string"),
     }
     empties = {
-        "kpi_prestations_jour": "jour date, prestation_code string, type_facture_code string, regime_code string, centre_sante_type_libelle string, nombre_prestations bigint, montant_depense decimal(18,2)",
+        "kpi_prestations_jour": "jour date, prestation_code string, type_facture_code string, regime_code string, centre_sante_type_libelle string, nombre_prestations bigint, montant_depense decimal(18,2), montant_pris_en_charge decimal(18,2)",
+        "kpi_factures_jour": "jour date, type_facture_code string, regime_code string, centre_sante_type_libelle string, nombre_factures bigint",
         "kpi_prestations_centre_jour": "jour date, centre_sante_code string, nombre_prestations bigint, montant_depense decimal(18,2)",
         "kpi_prestations_praticien_jour": "jour date, professionnel_sante_code string, nombre_prestations bigint, montant_depense decimal(18,2)",
         "kpi_prestations_assure_jour": "jour date, personne_uuid string, centre_sante_code string, nombre_prestations bigint, montant_depense decimal(18,2)",
