@@ -4,14 +4,18 @@ The models run over the bytes of each word (lower case, with a mark at both ends
 time. Counts of the longest n-grams are kept for toxic and for ordinary documents; all shorter ones are
 shared: continuation counts over all documents, labelled or not. So an expression that only one class
 has seen stands out, and one that neither has seen often falls back to the same probability in both.
-Counts are gathered by tasks, summed by Spark, and turned into log ratios by joins on contexts.
+
+Documents are split into portions of text once; a portion keeps its distinct words and the number of each
+word in its order. Words are counted over all portions, n-grams over the distinct words, log ratios come from
+joins on contexts and are summed per distinct word, and each portion gets those of its own words by a join.
+No table of n-grams or words passes through the driver, and none is cut.
 
 A document's evidence is compared per length: the mean log ratio of its words, and the log ratios of its
 most toxic words and passages. A logistic regression, fitted on labelled documents whose counts the
 models did not see, maps it to a probability.
 
-Bounds: class counts come from about ``SAMPLE_DOCS`` labelled documents (by a hash of the id), the shared
-counts from all; ``MAX_GRAMS`` log ratios go to the tasks, the ones that change least are left out first.
+Bounds: class counts come from about ``SAMPLE_DOCS`` labelled documents, by a hash of the id; a fifth as many
+others calibrate the evidence.
 
 Defined cases: null and empty texts have no evidence and get the score of a document without any; null
 labels are left out, of contradicting labels of one id the larger counts; with labels of one kind only,
@@ -25,21 +29,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayledger.llm import textbytes
+from dayledger.llm import bloom, textbytes
 from dayledger.llm.common import stored
 from dayledger.llm.quality import held_out, sampled
 
-ORDER = 5
+ORDER = 7
 SAMPLE_DOCS = 100_000
-MAX_GRAMS = 1_000_000
 #: One of so many labelled documents calibrates instead of being counted.
 CALIBRATION = 5
 #: Words of a passage.
 PASSAGE = 8
-FLUSH = 1_000_000
+#: Characters of a portion; log ratios are multiples of 1 / ``EXACT``, so their sums do not depend on the order.
+PORTION = 1 << 20
+EXACT = float(1 << 20)
+CLASSES = ("toxic", "ordinary", "every")
 
 
 def word_grams(words: textbytes.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -66,29 +74,63 @@ def distinct_words(texts: list[str | None]) -> tuple[textbytes.Words, np.ndarray
     return words, first, number, few
 
 
-def gram_counts(docs: DataFrame) -> DataFrame:
-    """``gram, toxic, ordinary, every`` from ``text, y`` (y null: not labelled, or kept for calibration)."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept: list[pd.DataFrame] = []
+def portioned(docs: DataFrame) -> DataFrame:
+    """One row per portion of ``doc_id, text, y`` (y null: not labelled, or kept for calibration): its ids, the
+    words of each text, the number of every word in ``word``, and how often each of these occurs by class."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        portion = TaskContext.get().partitionId() << 32
         for batch in batches:
-            texts, y = list(batch["text"]), batch["y"].to_numpy(dtype=float)
-            for part in textbytes.portions(texts):
+            texts, y = batch.column("text").to_pylist(), batch.column("y").to_numpy(zero_copy_only=False).astype(float)
+            for part in textbytes.portions(texts, PORTION):
                 words, _, number, few = distinct_words(texts[part])
                 label, n = y[part][words.doc], len(few.hash)
-                gram, which = word_grams(few)
-                each = pd.DataFrame({"gram": gram})
-                for name, chosen in (("toxic", label == 1), ("ordinary", label == 0), ("every", slice(None))):
-                    each[name] = np.bincount(number[chosen], minlength=n)[which] if n else np.zeros(0, np.int64)
-                kept.append(each.groupby("gram", as_index=False).sum())
-                if sum(map(len, kept)) > FLUSH:
-                    kept = [pd.concat(kept).groupby("gram", as_index=False).sum()]
-                    if len(kept[0]) > FLUSH // 2:
-                        yield kept.pop()
-        if kept:
-            yield pd.concat(kept).groupby("gram", as_index=False).sum()
-
-    parts = docs.mapInPandas(run, "gram long, toxic long, ordinary long, every long")
-    return parts.groupBy("gram").agg(*[F.sum(c).alias(c) for c in ("toxic", "ordinary", "every")])
+                length = few.stop - few.start
+                edge = np.r_[0, np.cumsum(length)]
+                body = few.low[np.arange(edge[-1]) + np.repeat(few.start - edge[:-1], length)]
+                word = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(edge.astype(np.int32).tobytes()), pa.py_buffer(body.tobytes())])
+                counts = [np.bincount(number[chosen], minlength=n) for chosen in (label == 1, label == 0, slice(None))]
+                ids = batch.column("doc_id").slice(part.start, part.stop - part.start)
+                one = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (ids, word, *[pa.array(c, pa.int64()) for c in counts])]
+                packed = [pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (np.diff(words.first), number)]
+                yield pa.RecordBatch.from_arrays([pa.array([portion], pa.int64()), one[0], *packed, *one[1:]],
+                                                 ["portion", "ids", "lengths", "number", "word", *CLASSES])
+                portion += 1
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text", "y").mapInArrow(
+        run, f"portion long, ids array<{kind}>, lengths binary, number binary, word array<binary>, " + ", ".join(f"{c} array<long>" for c in CLASSES))
+
+
+def vocabulary(portions: DataFrame) -> DataFrame:
+    """``word, toxic, ordinary, every`` of every distinct word."""
+    rows = portions.select(F.explode(F.arrays_zip("word", *CLASSES)).alias("w")).select("w.*")
+    return rows.groupBy("word").agg(*[F.sum(c).alias(c) for c in CLASSES])
+
+
+def spelled(words: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """``word_grams`` of the bytes of ``words``."""
+    length = np.fromiter(map(len, words), np.int64, len(words))
+    stop = np.cumsum(length + 1) - 1
+    low = np.frombuffer(b" ".join([*map(bytes, words), b""]) or b" ", np.uint8)
+    none = np.zeros(0, np.int64)
+    return word_grams(textbytes.Words(low, low, stop - length, stop, none, none, none))
+
+
+def vocabulary_grams(words: DataFrame) -> DataFrame:
+    """``gram, toxic, ordinary, every`` of the n-grams of ``vocabulary``."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            gram, which = spelled(batch["word"])
+            each = pd.DataFrame({"gram": gram} | {c: batch[c].to_numpy(dtype=np.int64)[which] for c in CLASSES})
+            yield each.groupby("gram", as_index=False).sum()
+
+    parts = words.mapInPandas(run, "gram long, " + ", ".join(f"{c} long" for c in CLASSES))
+    return parts.groupBy("gram").agg(*[F.sum(c).alias(c) for c in CLASSES])
+
+
+def gram_counts(docs: DataFrame) -> DataFrame:
+    """``gram, toxic, ordinary, every`` from ``text, y``."""
+    return vocabulary_grams(vocabulary(portioned(docs.select(F.lit(0).alias("doc_id"), "text", "y"))))
 
 
 def discounts(counts: DataFrame, column: str) -> tuple[float, float, float]:
@@ -109,14 +151,16 @@ def discount(count, d: tuple[float, float, float]):
 def shared_backoff(counts: DataFrame) -> DataFrame:
     """``low, p``: probability of the last byte of every n-gram of ``ORDER - 1`` bytes that occurs, by
     interpolated Kneser-Ney over continuation counts, shortest first."""
-    below = None
+    below, seen = None, {ORDER: counts.select("gram")}
+    for order in range(ORDER - 1, 1, -1):
+        seen[order] = stored(seen[order + 1].select(F.col("gram").bitwiseAND((1 << 8 * order) - 1).alias("gram")).distinct())
+    of_context = Window.partitionBy("context")  # at most 256 rows
     for order in range(1, ORDER):
         mask = (1 << 8 * order) - 1
-        seen = counts.select(F.col("gram").bitwiseAND((1 << 8 * (order + 1)) - 1).alias("gram")).distinct() if order + 1 < ORDER else counts
-        kinds = seen.groupBy(F.col("gram").bitwiseAND(mask).alias("low")).agg(F.count(F.lit(1)).alias("n"))
-        kinds = stored(kinds.withColumn("context", F.shiftright("low", 8)))
-        totals = kinds.groupBy("context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
-        joined = kinds.join(totals, "context")
+        kinds = seen[order + 1].select(F.col("gram").bitwiseAND(mask).alias("low")).withColumn("context", F.shiftright("low", 8))
+        # Long n-grams are dealt once; there are few short ones, but many to a context.
+        kinds = (kinds if order < 3 else kinds.repartition("context")).groupBy("context", "low").agg(F.count(F.lit(1)).alias("n"))
+        joined = kinds.withColumns({"total": F.sum("n").over(of_context), "kinds": F.count(F.lit(1)).over(of_context)})
         back = F.lit(1 / 256)
         if below is not None:
             joined = joined.withColumn("shorter", F.col("low").bitwiseAND(mask >> 8)).join(
@@ -127,8 +171,8 @@ def shared_backoff(counts: DataFrame) -> DataFrame:
 
 
 def ratios(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``gram, ratio, gain``: log P(last byte | toxic) / P(.. | ordinary) of n-grams that either class has
-    seen, and how much it matters; ``context, ratio``: the same where only the context has been seen."""
+    """``gram, ratio``: log P(last byte | toxic) / P(.. | ordinary) of n-grams that either class has seen;
+    ``context, fallback``: the same where only the context has been seen."""
     known = counts.filter("toxic + ordinary > 0").withColumn("context", F.shiftright("gram", 8)) \
         .withColumn("low", F.col("gram").bitwiseAND((1 << 8 * (ORDER - 1)) - 1))
     given = {c: discounts(counts, c) for c in ("toxic", "ordinary")}
@@ -140,50 +184,41 @@ def ratios(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
          for c, d in given.items()}
     ratio = F.log(p["toxic"] / p["ordinary"])
     fallback = F.log(F.greatest(rest["toxic"], F.lit(1e-4)) / F.greatest(rest["ordinary"], F.lit(1e-4)))
-    grams = joined.select("gram", ratio.alias("ratio"), (F.abs(ratio - fallback) * (F.col("toxic") + F.col("ordinary"))).alias("gain"))
-    return grams, contexts.select("context", fallback.alias("ratio"), F.lit(0.0).alias("gain"))
-
-
-def bounded(table: DataFrame, key: str) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys and ratios, at most about MAX_GRAMS: those with the least gain are left to fall back."""
-    n = table.count()
-    if n > MAX_GRAMS:
-        least = table.agg(F.percentile_approx("gain", 1 - MAX_GRAMS / n, 10_000)).first()[0]
-        table = table.filter(F.col("gain") > least)
-    rows = table.select(key, F.col("ratio").cast("float")).toArrow()
-    order = np.argsort(rows[key].to_numpy(), kind="stable")
-    return rows[key].to_numpy()[order], rows["ratio"].to_numpy()[order]
-
-
-def found_in(values: np.ndarray, keys: np.ndarray, ratios_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(keys):
-        return np.zeros(len(values), bool), np.zeros(len(values))
-    at = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
-    hit = keys[at] == values
-    return hit, np.where(hit, ratios_[at], 0.0)
-
-
-def evidence(texts: list[str | None], model) -> np.ndarray:
-    """One row per text: mean log ratio of its words; largest and second largest of a word; largest mean
-    of a passage; share of words over 2; words."""
-    grams, contexts = model
-    words, _, number, few = distinct_words(texts)
-    out = np.zeros((len(texts), 6))
-    if not len(words.hash):
+    return joined.select("gram", ratio.alias("ratio")), contexts.select("context", fallback.alias("fallback"))
+
+
+def word_ratios(words: DataFrame, counts: DataFrame) -> DataFrame:
+    """``word, ratio``: summed log ratios of the n-grams of every word where they are not 0."""
+    grams, contexts = ratios(counts)
+    known = counts.select("gram", F.shiftright("gram", 8).alias("context")).join(contexts, "context").join(grams, "gram", "left")
+    known = stored(known.select("gram", (F.round(F.coalesce("ratio", "fallback") * EXACT) / EXACT).alias("ratio")).filter("ratio <> 0"))
+    filter_, bits = bloom.build(known.select("gram"), known.count(), repeated_only=False)
+    sent = words.sparkSession.sparkContext.broadcast(filter_)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            gram, which = spelled(batch["word"])
+            may = np.flatnonzero(bloom.holds(sent.value, bloom.positions(gram, bits)))
+            yield pd.DataFrame({"word": batch["word"].to_numpy()[which[may]], "gram": gram[may]})
+
+    spelt = words.select("word").mapInPandas(run, "word binary, gram long")
+    return spelt.join(known, "gram").groupBy("word").agg(F.sum("ratio").alias("ratio"))
+
+
+def evidence(llr: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """One row per text of ``count`` words, from the log ratio of each word: their mean; largest and second
+    largest of a word; largest mean of a passage; share of words over 2; words."""
+    out = np.zeros((len(count), 6))
+    if not len(llr):
         return out
-    gram, which = word_grams(few)
-    unique, back = np.unique(gram, return_inverse=True)
-    hit, ratio = found_in(unique, *grams)
-    _, fallback = found_in(unique >> 8, *contexts)
-    llr = np.bincount(which, weights=np.where(hit, ratio, fallback)[back], minlength=len(few.hash))[number]
-    count = np.diff(words.first)
+    edge = np.r_[0, np.cumsum(count)]
     have = np.flatnonzero(count)
-    first = words.first[:-1][have]
+    first = edge[:-1][have]
     out[have, 0] = np.add.reduceat(llr, first) / count[have]
     out[have, 1] = best = np.maximum.reduceat(llr, first)
     # The second largest: with one occurrence of the largest taken out.
-    doc = words.doc
-    top = np.full(len(texts), -1)
+    doc = np.repeat(np.arange(len(count)), count)
+    top = np.full(len(count), -1)
     at = np.flatnonzero(llr == out[doc, 1])
     top[doc[at[::-1]]] = at[::-1]
     rest = llr.copy()
@@ -191,13 +226,34 @@ def evidence(texts: list[str | None], model) -> np.ndarray:
     second = np.maximum.reduceat(rest, first)
     out[have, 2] = np.where(np.isfinite(second), second, np.minimum(best, 0))
     sums = np.r_[0, np.cumsum(llr)]
-    stop = np.minimum(np.arange(len(llr)) + PASSAGE, words.first[doc + 1])
+    stop = np.minimum(np.arange(len(llr)) + PASSAGE, edge[doc + 1])
     out[have, 3] = np.maximum.reduceat((sums[stop] - sums[:-1]) / PASSAGE, first)
     out[have, 4] = np.add.reduceat((llr > 2).astype(float), first) / count[have]
     out[have, 5] = np.log1p(count[have])
     return out
 
 
+def measured(portions: DataFrame, values: DataFrame) -> DataFrame:
+    """``doc_id, x``: evidence of every document of ``portions`` by the ``word, ratio`` of ``values``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                ids, count, number = (batch.column(c)[k] for c in ("ids", "lengths", "number"))
+                count, number = np.frombuffer(count.as_py(), np.int32).astype(np.int64), np.frombuffer(number.as_py(), np.int32)
+                llr = np.zeros(number.max() + 1 if len(number) else 0)
+                found = batch.column("known")[k]
+                if found.is_valid:
+                    llr[found.values.field("at").to_numpy()] = found.values.field("ratio").to_numpy()
+                x = evidence(llr[number], count)
+                edge = pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32())
+                yield pa.RecordBatch.from_arrays([ids.values, pa.ListArray.from_arrays(edge, pa.array(x.ravel()))], ["doc_id", "x"])
+
+    met = portions.select("portion", F.posexplode("word").alias("at", "word")).join(values, "word")
+    known = met.groupBy("portion").agg(F.collect_list(F.struct("at", "ratio")).alias("known"))
+    kind = portions.schema["ids"].dataType.elementType.simpleString()
+    return portions.select("portion", "ids", "lengths", "number").join(known, "portion", "left").mapInArrow(run, f"doc_id {kind}, x array<double>")
+
+
 def stretched(x: np.ndarray) -> np.ndarray:
     """Inputs of the calibration: evidence, bounded, and squares of the word evidence."""
     x = np.column_stack([np.clip(x[:, 0] * 10, -3, 3), np.clip(x[:, 1:4], -8, 8), np.minimum(x[:, 4] * 20, 3), x[:, 5]])
@@ -217,30 +273,32 @@ def calibrate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, parts: int, part: int, sample: int = SAMPLE_DOCS):
-    """((grams, contexts), weights), or a constant score where labels are of one kind or missing."""
+    """``doc_id, x`` of every document and the weights of the evidence x, or a constant score where labels are
+    of one kind or missing."""
     usable = ~held_out(F.col("doc_id"), parts, part)
     fold = F.pmod(F.xxhash64(F.lit(23), "doc_id"), F.lit(CALIBRATION)) == 0
     known = labels.filter(usable).select("doc_id", "toxic")
     kinds = known.groupBy("toxic").count().filter("toxic IS NOT NULL").collect()
     if len(kinds) < 2:
         return float(kinds[0]["toxic"]) if kinds else 0.0
-    chosen = labelled(known.filter(~fold), sample)
-    marked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left").select("text", "y")
-    counts = stored(gram_counts(marked))
-    grams, contexts = ratios(counts)
-    model = bounded(grams, "gram"), bounded(contexts, "context")
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    portions = stored(portioned(marked(docs.select("doc_id", "text"), stored(labelled(known.filter(~fold), sample)))))
+    words = stored(vocabulary(portions))
+    found = stored(measured(portions, stored(word_ratios(words, stored(vocabulary_grams(words))))))
+    rows = sampled(found.select("doc_id", F.col("x").alias("text")), known.filter(fold), "toxic", F.lit(True), sample // CALIBRATION).toArrow().to_pandas()
+    if rows["y"].nunique() < 2:
+        return found, np.r_[-2.0, 0.0, 1.0, np.zeros(8)]
+    x, y = np.stack(rows["text"]), rows["y"].to_numpy()
+    order = np.lexsort((*x.T, y))  # reruns agree
+    return found, calibrate(x[order], y[order])
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = list(batch["text"])
-            for piece in textbytes.portions(texts):
-                yield pd.DataFrame({"x": list(evidence(texts[piece], sent.value)), "y": batch["y"].iloc[piece]})
 
-    rows = sampled(docs, known.filter(fold), "toxic", F.lit(True), sample // CALIBRATION).mapInPandas(measure, "x array<double>, y double").toArrow().to_pandas()
-    if rows["y"].nunique() < 2:
-        return model, np.r_[-2.0, 0.0, 1.0, np.zeros(8)]
-    return model, calibrate(np.stack(rows["x"]), rows["y"].to_numpy())
+def marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` with the ``y`` of ``labels``, or null. Only texts whose id may have a label meet the labels."""
+    key = F.xxhash64("doc_id")
+    filter_ = bloom.build(labels.select(key.alias("key")), labels.count(), repeated_only=False)
+    rows = docs.withColumn("maybe", bloom.might_hold(docs, filter_, key))
+    met = rows.filter("maybe").join(labels, "doc_id", "left")
+    return met.drop("maybe").unionByName(rows.filter("NOT maybe").drop("maybe").withColumn("y", F.lit(None).cast("double")))
 
 
 def labelled(labels: DataFrame, size: int) -> DataFrame:
@@ -253,15 +311,14 @@ def labelled(labels: DataFrame, size: int) -> DataFrame:
 def score(docs: DataFrame, labels: DataFrame, parts: int = 4, part: int = 2) -> DataFrame:
     """``doc_id, held_out, score`` of every document."""
     trained = train(docs, labels, parts, part)
-    sent = docs.sparkSession.sparkContext.broadcast(trained)
+    apart = held_out(F.col("doc_id"), parts, part).alias("held_out")
+    if isinstance(trained, float):
+        return docs.select("doc_id", apart, F.lit(trained).alias("score"))
+    found, weights = trained
 
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            texts, trained = list(batch), sent.value
-            out = np.full(len(texts), trained if isinstance(trained, float) else 0.0)
-            for piece in textbytes.portions(texts) if not isinstance(trained, float) else ():
-                out[piece] = 1 / (1 + np.exp(-np.clip(stretched(evidence(texts[piece], trained[0])) @ trained[1], -30, 30)))
-            yield pd.Series(out)
+        for x in batches:
+            yield pd.Series(1 / (1 + np.exp(-np.clip((stretched(np.stack(x)) * weights).sum(axis=1), -30, 30))))
 
-    return docs.select("doc_id", held_out(F.col("doc_id"), parts, part).alias("held_out"), run(F.col("text")).alias("score"))
+    return found.select("doc_id", apart, run(F.col("x")).alias("score"))

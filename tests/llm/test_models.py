@@ -90,3 +90,16 @@ def test_backoff_is_a_distribution(spark, documents):
     counts = toxicity.gram_counts(documents(docs).select("text", F.lit(None).cast("double").alias("y"))).cache()
     shared = toxicity.shared_backoff(counts).withColumn("context", F.shiftright("low", 8)).groupBy("context").agg(F.sum("p").alias("p")).collect()
     assert all(0 < r.p < 1 + 1e-9 for r in shared)  # what is left belongs to bytes never seen there
+
+
+def test_rare_expressions_made_of_ordinary_pieces_are_told_apart(spark, documents):
+    """'abcxyz' is toxic; every 5 bytes of it, marks included, are those of ordinary words."""
+    docs, _ = made_up(400)
+    rng = random.Random(4)
+    docs, labels = [(i, t.lower().replace("!!", "") + " abcxyq qbcxyz", s) for i, t, s in docs], []
+    for i, (d, text, s) in enumerate(docs):
+        toxic = rng.random() < 0.3
+        docs[i] = (d, f"{text} abcxyz" if toxic else text, s)
+        labels.append((d, 1, int(toxic)))
+    got = toxicity.score(documents(docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert held_out_auc(got, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), "toxic") > 0.95
