@@ -14,8 +14,8 @@ A document's evidence is compared per length: the mean log ratio of its words, a
 most toxic words and passages. A logistic regression, fitted on labelled documents whose counts the
 models did not see, maps it to a probability.
 
-Bounds: class counts come from about ``SAMPLE_DOCS`` labelled documents, by a hash of the id; a fifth as many
-others calibrate the evidence.
+Bounds: class counts come from all usable labelled documents; about a fifth of ``SAMPLE_DOCS`` others, by a
+hash of the id, calibrate the evidence.
 
 Defined cases: null and empty texts have no evidence and get the score of a document without any; null
 labels are left out, of contradicting labels of one id the larger counts; with labels of one kind only,
@@ -39,6 +39,7 @@ from dayledger.llm.common import stored
 from dayledger.llm.quality import held_out, sampled
 
 ORDER = 7
+#: Labelled documents of which a fifth calibrates, at most.
 SAMPLE_DOCS = 100_000
 #: One of so many labelled documents calibrates instead of being counted.
 CALIBRATION = 5
@@ -281,7 +282,7 @@ def train(docs: DataFrame, labels: DataFrame, parts: int, part: int, sample: int
     kinds = known.groupBy("toxic").count().filter("toxic IS NOT NULL").collect()
     if len(kinds) < 2:
         return float(kinds[0]["toxic"]) if kinds else 0.0
-    portions = stored(portioned(marked(docs.select("doc_id", "text"), stored(labelled(known.filter(~fold), sample)))))
+    portions = stored(portioned(marked(docs.select("doc_id", "text"), stored(labelled(known.filter(~fold))))))
     words = stored(vocabulary(portions))
     found = stored(measured(portions, stored(word_ratios(words, stored(vocabulary_grams(words))))))
     rows = sampled(found.select("doc_id", F.col("x").alias("text")), known.filter(fold), "toxic", F.lit(True), sample // CALIBRATION).toArrow().to_pandas()
@@ -301,11 +302,10 @@ def marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return met.drop("maybe").unionByName(rows.filter("NOT maybe").drop("maybe").withColumn("y", F.lit(None).cast("double")))
 
 
-def labelled(labels: DataFrame, size: int) -> DataFrame:
-    """``doc_id, y`` of about ``size`` labels, chosen by a hash of the id."""
-    known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("double").alias("y"))
-    share = min(1.0, size / max(1, known.count()))
-    return known.filter(F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(1_000_003)) < share * 1_000_003)
+def labelled(labels: DataFrame) -> DataFrame:
+    """``doc_id, y`` of all labels."""
+    known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
+    return known.groupBy("doc_id").agg(F.max("toxic").cast("double").alias("y"))
 
 
 def score(docs: DataFrame, labels: DataFrame, parts: int = 4, part: int = 2) -> DataFrame:

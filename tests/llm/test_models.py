@@ -103,3 +103,20 @@ def test_rare_expressions_made_of_ordinary_pieces_are_told_apart(spark, document
         labels.append((d, 1, int(toxic)))
     got = toxicity.score(documents(docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
     assert held_out_auc(got, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), "toxic") > 0.95
+
+
+def test_all_usable_labels_are_counted_and_no_table_is_cut(spark, documents, monkeypatch):
+    from pyspark.sql import functions as F
+    docs, rows = made_up(200)
+    labels = spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(toxicity, "SAMPLE_DOCS", 20)
+    monkeypatch.setattr(toxicity, "MAX_GRAMS", 10, raising=False)
+    seen = {}
+    kept = toxicity.word_ratios
+    monkeypatch.setattr(toxicity, "word_ratios", lambda words, counts: seen.setdefault("v", kept(seen.setdefault("w", words), counts)))
+    toxicity.train(documents(docs), labels, 4, 2, 20)
+    usable = labels.filter(~quality.held_out(F.col("doc_id"), 4, 2) & (F.pmod(F.xxhash64(F.lit(23), "doc_id"), F.lit(toxicity.CALIBRATION)) != 0))
+    ids = {r.doc_id: r.toxic for r in usable.collect()}
+    words = lambda y: sum(len(t.replace("!!", "").split()) for d, t, _ in docs if ids.get(d) == y)
+    assert tuple(seen["w"].agg(F.sum("toxic"), F.sum("ordinary")).first()) == (words(1), words(0))
+    assert seen["v"].count() > 200
