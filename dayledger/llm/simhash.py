@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayledger.llm import bloom, textbytes
@@ -30,6 +30,10 @@ RADIUS = 4
 DENSE = 2048
 #: Rows of the shuffled key table a task sorts, about.
 KEYS_PER_TASK = 2_000_000
+#: Near copies share this part of their shingles of so many words.
+SHARED, SHINGLE = 0.8, 5
+#: Texts of a group that are settled at once, and others of the group that a task compares with them, about.
+HEADS, SLICE = 64, 512
 
 
 def signed(value: int) -> int:
@@ -227,13 +231,82 @@ def classes(texts: DataFrame, column: str, root: str, dense: int) -> DataFrame:
     return prints.join(roots, F.col("fp") == F.col("a"), "left").select(F.col("fp").alias(column), F.coalesce("root", "fp").alias(root))
 
 
+def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
+    """Sorted distinct hashes of the shingles of each text, lower case; fewer words are one shingle, none no shingle."""
+    words = textbytes.split(texts, ~textbytes.SPACE)
+    gram, at = textbytes.grams(words, SHINGLE)
+    edge = np.searchsorted(words.doc[at], np.arange(len(texts) + 1))
+    out = [np.unique(gram[a:b].view(np.int64)) for a, b in zip(edge[:-1], edge[1:])]
+    for k in np.flatnonzero((np.diff(words.first) > 0) & (np.diff(words.first) < SHINGLE)):
+        short = np.zeros(1, np.uint64)
+        for word in words.hash[words.first[k]:words.first[k + 1]]:
+            short = textbytes.mix(short + np.uint64(1)) + word
+        out[k] = short.view(np.int64)
+    return out
+
+
+def near(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets of shingles share enough; texts without words are copies of each other."""
+    if min(len(a), len(b)) < SHARED * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= SHARED * (len(a) + len(b) - both)
+
+
+def settled(rest: DataFrame) -> DataFrame:
+    """``text_key, keeper`` of ``text_key, group, first, grams``: in the order of ``first``, a text stays unless it
+    is near one of its group that stays; its keeper is the row of the first such text, or its own.
+
+    The first ``HEADS`` texts of every group are settled among themselves, then the others of the group
+    are compared with those of them that stay, in slices; what is near none goes to the next round.
+    """
+    def elect(rows: pd.DataFrame) -> pd.DataFrame:
+        rows, stay, keeper = rows.sort_values("place", ignore_index=True), [], []
+        for k, grams in enumerate(rows["grams"]):
+            found = next((h for h in stay if near(grams, rows["grams"][h])), k)
+            keeper.append(rows["row"][found])
+            if found == k:
+                stay.append(k)
+        return rows.assign(keeper=keeper)[["group", "text_key", "row", "place", "keeper", "grams"]]
+
+    def compare(heads: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        heads = heads.sort_values("place")
+        found = [next((row for row, grams in zip(heads["row"], heads["grams"]) if near(mine, grams)), None) for mine in others["grams"]]
+        return pd.DataFrame({"text_key": others["text_key"], "keeper": pd.array(found, dtype="Int64")})
+
+    done = []
+    while True:
+        place = F.row_number().over(Window.partitionBy("group").orderBy("first"))
+        ranked = rest.withColumn("place", place).filter(F.col("place") <= HEADS).select("group", "text_key", "first.row", "place", "grams")
+        heads = stored(ranked.groupBy("group").applyInPandas(
+            elect, "group string, text_key long, row long, place int, keeper long, grams array<long>"))
+        done.append(heads.select("text_key", "keeper"))
+        others = stored(rest.join(heads.select("text_key"), "text_key", "left_anti"))
+        if others.isEmpty():
+            break
+        slices = stored(others.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / SLICE).alias("slices")))
+        left = heads.filter("keeper = row").join(slices, "group").withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
+        right = others.join(slices, "group").withColumn("slice", F.pmod(F.xxhash64("text_key"), "slices"))
+        met = stored(left.select("group", "slice", "row", "place", "grams").groupBy("group", "slice").cogroup(
+            right.select("group", "slice", "text_key", "grams").groupBy("group", "slice")).applyInPandas(compare, "text_key long, keeper long"))
+        done.append(met.filter("keeper IS NOT NULL"))
+        rest = stored(others.join(met.filter("keeper IS NULL").select("text_key"), "text_key", "left_semi"))
+        if rest.isEmpty():
+            break
+    out = done[0]
+    for part in done[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", dense: int = DENSE) -> DataFrame:
-    """``docs`` with one document of each group of near copies, that of the smallest id (nulls last), all
-    columns kept. Of rows equal in all columns one stays.
+    """``docs`` without near copies, all columns kept: in the order of ids (nulls last) a document stays unless
+    it shares ``SHARED`` of its shingles with one that stays. Of rows equal in all columns one stays.
 
     For near copies as shingles see them: texts that share 0.8 or more of their 5-word shingles differ in
     about 2 % of their words, which turns few bits of a fingerprint of words, but ten of one of shingles.
-    A text has two such fingerprints; texts that are near by either are linked.
+    A text has two such fingerprints; texts that are near by either are linked. These groups are candidates
+    only: within them the shingles themselves decide.
     """
     @F.pandas_udf("struct<p: long, q: long>")
     def prints(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -253,9 +326,24 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", dense:
     merged = components(pairs.select(node[0].alias("a"), node[1].alias("b")))
     grouped_ = pairs.join(merged, node[0] == F.col("a"), "left").select("p", "q", F.coalesce("root", node[0]).alias("group"))
     placed = texts.join(stored(grouped_), ["p", "q"])
-    groups = placed.groupBy("group").agg(F.sum("rows").alias("n"), F.min("first").alias("first")).filter("n > 1")
-    members = stored(placed.join(groups.select("group", F.col("first.row").alias("__keeper")), "group").select(
-        F.col("text_key").alias("__text_key"), "__keeper"))
+    placed = stored(placed.select("text_key", "rows", "first", "group"))
+    several = placed.groupBy("group").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
+    asked = stored(placed.join(several, "group", "left").select("text_key", "rows", "first", "group", F.col("texts").isNotNull().alias("several")))
+    copies = asked.filter("NOT several AND rows > 1").select("text_key", F.col("first.row").alias("keeper"))
+
+    @F.pandas_udf("array<long>")
+    def shingled(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            body = list(batch)
+            yield pd.Series([x for part in textbytes.portions(body) for x in shingle_sets(body[part])], dtype=object)
+
+    # The text of a candidate is read from the one row that stands for it.
+    wanted = stored(asked.filter("several").select("text_key", "group", "first", F.col("first.row").alias("row_key")))
+    rows_asked = bloom.build(wanted.select("row_key"), wanted.count(), repeated_only=False)
+    bodies = docs.select(row.alias("row_key"), F.col(text).alias("body"))
+    bodies = bodies.filter(bloom.might_hold(docs, rows_asked, F.col("row_key"))).join(wanted.select("row_key"), "row_key", "left_semi").dropDuplicates(["row_key"])
+    candidates = stored(wanted.join(bodies.select("row_key", shingled("body").alias("grams")), "row_key").drop("row_key"))
+    members = stored(settled(candidates).unionByName(copies).select(F.col("text_key").alias("__text_key"), F.col("keeper").alias("__keeper")))
 
     # Only rows whose text may be in a group of several meet the members; the rest pass straight through.
     filter_ = bloom.build(members.select("__text_key"), members.count(), repeated_only=False)

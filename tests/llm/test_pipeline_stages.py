@@ -120,3 +120,30 @@ def test_word_prints():
     bits = [[1 if int(textbytes.mix(np.array([h]) + np.uint64(1))[0]) >> k & 1 else -1 for k in range(64)] for h in hashes]
     want = sum(1 << k for k in range(64) if 2 ** 0.5 * bits[0][k] + bits[1][k] > 0)
     assert got[0][1] == simhash.signed(want)
+
+
+def five_word_jaccard(a, b):
+    sets = [{tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.split(), b.split())]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+@pytest.mark.parametrize("heads", [64, 2])
+def test_only_texts_that_share_shingles_go(spark, documents, heads, monkeypatch):
+    """Shuffled texts have equal fingerprints of words; a chain of edits drifts away from its start."""
+    monkeypatch.setattr(simhash, "HEADS", heads)
+    monkeypatch.setattr(simhash, "SLICE", 3)
+    rng = random.Random(5)
+    base = ["".join(rng.choice("abcdefghijklm") for _ in range(6)) for _ in range(200)]
+    texts = [" ".join(rng.sample(base, len(base))) for _ in range(6)]
+    words = list(base)
+    for k in range(8):
+        words[20 * k], words[20 * k + 1] = words[20 * k + 1], words[20 * k]
+        texts.append(" ".join(words))
+        texts.append(" ".join(words).upper())
+    stay = []
+    for k, text in enumerate(texts):
+        if not any(five_word_jaccard(text.lower(), texts[j].lower()) >= 0.8 for j in stay):
+            stay.append(k)
+    assert 7 < len(stay) < len(texts) - 8
+    got = simhash.keep_one(documents([(k, t) for k, t in enumerate(texts)])).collect()
+    assert sorted(r.doc_id for r in got) == stay
