@@ -49,17 +49,19 @@ SOUNDS = {
 }
 CAPITAL, LETTER = r"[A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΩЀ-Я]", r"[A-Za-zÀ-ÖØ-öø-ÿΆ-ώЀ-ӿ'’-]"
 NAME = CAPITAL + LETTER + "+"
+#: Names a secret is assigned to, also as a part of a name joined by _ or -.
+SECRET = r"(?<![^\W_])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)(?![^\W_])"
 PATTERN = re.compile(
     r"(?P<email>(?<![\w.+-])[\w.+-]*\w@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}\b)"
-    r"|(?P<secret>(?i:\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\b\s*[=:]\s*[\"']?)(?P<value>[A-Za-z0-9+/_-]{16,}=*))"
+    rf"|(?P<secret>(?i:{SECRET}(?:[_-][^\W_]+)*+\s*[=:]\s*[\"']?)(?P<value>[A-Za-z0-9+/_-]{{16,}}=*))"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)(?!\w))"
     r"|(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\w)|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])\d{3}(?P<sep>[.-])\d{3}(?P=sep)\d{4}(?![\w-]))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<card>(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-]))"
     rf"|(?P<person>\b(?P<title>(?i:{'|'.join(sorted(TITLES, key=len, reverse=True))}))\.?[ \u00a0]+(?P<names>{NAME}(?:[ \u00a0]{NAME}){{0,2}}))")
-#: What any entity needs: a digit, an at sign, or a title.
-TRIGGER = re.compile(rf"[0-9@]|\b(?i:{'|'.join(sorted(TITLES, key=len, reverse=True))}|token|secret|password)\b")
+#: What any entity needs: a digit, an at sign, a title, or the name of a secret.
+TRIGGER = re.compile(rf"[0-9@]|\b(?i:{'|'.join(sorted(TITLES, key=len, reverse=True))})\b|(?i:{SECRET})")
 
 
 def luhn(digits: str) -> bool:

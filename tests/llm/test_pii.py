@@ -77,3 +77,9 @@ def test_impossible_format_is_reported(spark, documents, monkeypatch):
     monkeypatch.setattr(pii, "MOST_DRAWS", 3)
     with pytest.raises(ValueError, match="still clash"):
         pii.pseudonymise(documents([(1, "a@b.com"), (2, "c@d.com")]), KEY)
+
+
+@pytest.mark.parametrize("name", ["token", "passwd", "api_key", "api-key", "access_key", "access_token", "MY-API_KEY", "secret_key", "db_password_old"])
+def test_secrets_of_letters_only(name):
+    value = "AbCdEfGhIjKlMnOpQrSt"
+    assert [e[2] for e in pii.entities(f"x {name} = '{value}' y")] == ["secret"] and pii.entities(f"x {name}s{value} y") == []
