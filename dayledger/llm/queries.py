@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.llm import decontaminate, exact_dedup, html_extract, mixing, pii, quality, sharding, simhash, toxicity, url_filter
-from dayledger.llm.common import table
+from dayledger.llm import decontaminate, exact_dedup, fim, html_extract, mixing, packing, pii, quality, runs, sharding, simhash, toxicity, url_filter
+from dayledger.llm.common import stored, table
+from dayledger.llm.tokens import Vocabulary
 
 #: Key of the registered query; users bring their own.
 PII_KEY = b"surrogates"
@@ -122,3 +123,75 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
     return found.select("doc_id", F.size("spans").cast("long").alias("n_entities"),
                         F.array_join(F.array_sort(F.array_distinct(F.col("spans.kind"))), ",").alias("kinds"), "text")
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; where crc32 of the id ends in 0, words from one place on repeat those from there
+    with a period, both drawn from the crc32. Other texts stay as they are."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    drawn = docs.where(h % 10 == 0).select("doc_id", words.alias("w"), F.floor(h / 10).alias("g"))
+    n = F.coalesce(F.size("w"), F.lit(0))
+    drawn = drawn.where(n > 0).withColumn("a", F.col("g") % n).withColumn(
+        "p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)))
+    at = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")))
+    planted = drawn.withColumn("at", at).select("doc_id", F.array_join(F.transform("at", lambda i: F.get("w", i.cast("int"))), " ").alias("text"))
+    empty = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    return docs.where((h % 10 != 0) | empty).select("doc_id", "text").unionByName(planted)
+
+
+@query
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, and the text with each cut to its first period."""
+    found = runs.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = runs.strongest(F.col("runs"))
+    found = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+                         F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+                         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+    return found.select("doc_id", "n_runs", "best.*", F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+                        "runs_sha256", "collapsed_sha256")
+
+
+def byte_bpe() -> Vocabulary:
+    """The public byte-level vocabulary of 50,257 ids that is installed with the Python of the executors."""
+    import public_tokenizers
+
+    return Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, {"<|endoftext|>": 50256})
+
+
+@query
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as tokens in sequences of at most 1024."""
+    rows = packing.pieces(table(spark, sf_dir, "documents"), byte_bpe(), end=2, capacity=1024)
+    rows = rows.select("doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(rows, 1024)
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in the order it has for learning to fill in the middle, as digests."""
+    made = fim.transform(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(fim.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"))
+
+
+ORACLES["op13_fill_in_middle"] = """
+WITH d AS (
+  SELECT doc_id, COALESCE(text, '') AS t, length(COALESCE(text, '')) AS n, sha256('1:' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+r AS (
+  SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS c1, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS c2,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+              WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+c AS (SELECT *, least(c1, c2) AS a, greatest(c1, c2) AS b FROM r),
+p AS (SELECT *, substring(t, 1, a) AS pre, substring(t, a + 1, b - a) AS mid, substring(t, b + 1) AS suf FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p"""
