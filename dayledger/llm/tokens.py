@@ -14,6 +14,9 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Texts whose ids a task holds at once.
+AT_ONCE = 512
+
 
 @dataclass(frozen=True)
 class Vocabulary:
@@ -48,10 +51,11 @@ def pieces(text: Column, vocabulary: Vocabulary, end: int, capacity: int) -> Col
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoding, last = vocabulary.encoding(), end.to_bytes(4, "little")
         for texts in batches:
-            rows = []
-            for text in texts:
-                ids = encoding.encode_to_numpy(text.as_py() or "", allowed_special="all").astype("<u4").tobytes() + last
-                rows.append([{"start": a, "length": b - a, "ids": ids[4 * a:4 * b]} for a, b in spans(len(ids) // 4, capacity)])
-            yield pa.array(rows, kind)
+            for k in range(0, max(1, len(texts)), AT_ONCE):  # ids take more room than their texts
+                rows = []
+                for text in texts[k:k + AT_ONCE]:
+                    ids = encoding.encode_to_numpy(text.as_py() or "", allowed_special="all").astype("<u4").tobytes() + last
+                    rows.append([{"start": a, "length": b - a, "ids": ids[4 * a:4 * b]} for a, b in spans(len(ids) // 4, capacity)])
+                yield pa.array(rows, kind)
 
     return run(text)
