@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from threading import Thread
+
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 
 def _fs(spark: SparkSession, path: str):
@@ -86,3 +91,31 @@ def release(spark: SparkSession, root: str, owner: str) -> None:
     """Give a claim back; one that another run holds stays."""
     if _holder(spark, root) == owner:
         remove(spark, f"{root}/writer.lock")
+
+
+#: Owner and query of the last run per target folder in this process.
+_last_runs: dict[str, tuple[str, StreamingQuery]] = {}
+
+
+def claimed(spark: SparkSession, root: str, owner: str, start: Callable[[], StreamingQuery]) -> StreamingQuery:
+    """Start a query that holds the claim on a target folder until it ends."""
+    last = _last_runs.get(root)
+    if last and not last[1].isActive:  # ended in this process; its claim may not be given back yet
+        release(spark, root, last[0])
+    acquire(spark, root, owner)
+    try:
+        query = start()
+    except BaseException:
+        release(spark, root, owner)
+        raise
+    _last_runs[root] = owner, query
+
+    def give_back() -> None:
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            pass  # the caller sees it in query.exception()
+        release(spark, root, owner)
+
+    Thread(target=give_back, daemon=True).start()
+    return query

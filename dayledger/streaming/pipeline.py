@@ -14,10 +14,8 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import partial
-from threading import Thread
 
 from pyspark import StorageLevel
-from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +27,7 @@ from dayledger.sources import cdc
 from dayledger.sources.sinks import overwrite_days
 from dayledger.sources.specs import SPECS
 from dayledger.streaming import files
-from dayledger.streaming.tables import KeyedTable, SumTable, upsert_by_key
+from dayledger.streaming.tables import FAN, KeyedTable, SumTable, upsert_by_key
 
 INVOICE_FAMILY = ("services", "invoices")
 REQUEST_FAMILY = ("requests", "answers", "acts")
@@ -58,7 +56,7 @@ class Ledger:
     buckets: int = 16
     history: bool = True
     as_of: str | None = None
-    compact_every: int | None = 64
+    merge: bool = True
     parallel_jobs: int = 8
     _cached: list[DataFrame] = field(default_factory=list)
 
@@ -166,8 +164,8 @@ class Ledger:
             for name in files.children(self.spark, f"{self.root}/done"):  # the newest marks say it all
                 if name.startswith("batch=") and int(name[6:]) < batch - KEPT_MARKS:
                     files.remove(self.spark, f"{self.root}/done/{name}")
-            if self.compact_every and (batch + 1) % self.compact_every == 0:
-                self.compact(batch + 1)
+            if self.merge:
+                self._merge_due(batch)
         finally:
             while self._cached:
                 self._cached.pop().unpersist()
@@ -238,10 +236,14 @@ class Ledger:
         return [*(self.state(n) for n in SPECS), self.quarantine(), *(t for t, _ in self.sum_tables().values())]
 
     def compact(self, upto: int) -> None:
-        """Fold all batches below ``upto`` in every table that has any."""
-        grown = [t for t in self._all() if any(b >= t.base_upto() for b in t.batches(upto))]
+        """Every table as one run of the batches below ``upto``."""
         with ThreadPoolExecutor(self.parallel_jobs) as pool:
-            list(pool.map(lambda t: t.compact(upto), grown))
+            list(pool.map(lambda t: t.compact(upto), self._all()))
+
+    def _merge_due(self, batch: int) -> None:
+        if (batch + 1) % FAN == 0:
+            with ThreadPoolExecutor(self.parallel_jobs) as pool:
+                list(pool.map(lambda t: t.merge_due(batch), self._all()))
 
     def vacuum(self) -> None:
         for table in self._all():
@@ -264,10 +266,6 @@ class Ledger:
         return first
 
 
-#: Owner and query of the last run per target folder in this process.
-_last_runs: dict[str, tuple[str, StreamingQuery]] = {}
-
-
 def run_pipeline(raw: DataFrame, ledger: Ledger, checkpoint: str, name: str = "dayledger",
                  trigger: dict[str, object] | None = None) -> StreamingQuery:
     """Start the continuous job on a raw change stream (see ``cdc.read_kafka``, ``cdc.read_files``).
@@ -275,32 +273,14 @@ def run_pipeline(raw: DataFrame, ledger: Ledger, checkpoint: str, name: str = "d
     The target folder is claimed for this checkpoint until the query ends: a second job is refused, a
     restart from the same checkpoint goes on. The checkpoint replaces a replay from the earliest offset.
     """
-    owner = f"checkpoint {checkpoint}"
-    last = _last_runs.get(ledger.root)
-    if last and not last[1].isActive:  # ended in this process; its claim may not be given back yet
-        files.release(ledger.spark, ledger.root, last[0])
-    files.acquire(ledger.spark, ledger.root, owner)
-    try:
+    def start() -> StreamingQuery:
         first = ledger.first_batch(checkpoint)
         captured = cdc.allow_tables(raw, [s.table for s in SPECS.values()])
         writer = captured.writeStream.foreachBatch(lambda df, batch: ledger.process(df, first + batch))
         writer = writer.option("checkpointLocation", checkpoint).queryName(name)
-        query = writer.trigger(**(trigger or {"availableNow": True})).start()
-    except BaseException:
-        files.release(ledger.spark, ledger.root, owner)
-        raise
-
-    _last_runs[ledger.root] = owner, query
-
-    def give_back() -> None:
-        try:
-            query.awaitTermination()
-        except StreamingQueryException:
-            pass  # the caller sees it in query.exception()
-        files.release(ledger.spark, ledger.root, owner)
+        return writer.trigger(**(trigger or {"availableNow": True})).start()
 
-    Thread(target=give_back, daemon=True).start()
-    return query
+    return files.claimed(ledger.spark, ledger.root, f"checkpoint {checkpoint}", start)
 
 
 def publish_days(ledger: Ledger, name: str, path: str, period: tuple[str, str] | None = None) -> None:

@@ -1,8 +1,9 @@
 """Two kinds of target table, both plain Parquet folders appended to once per micro-batch.
 
-``delta/batch=N`` holds what batch N adds; ``base/upto=N`` folds all batches below N. A retried
-batch overwrites its own folder, so nothing is applied twice, and no table is read and rewritten
-within a batch: work per batch grows with the batch, not with the table.
+``runs/span=A-B`` holds what the batches A to B add. A batch writes a run of its own, and whenever FAN runs of
+one size stand side by side they are merged into one of the next size, up to any size. So a row is rewritten
+once for each size, a merge reads and writes no more than the batches it covers, and a read meets fewer
+than FAN runs of each size. A retried batch overwrites its own run, so nothing is applied twice.
 """
 
 from __future__ import annotations
@@ -14,10 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dayledger.sources.cdc import OP, ORDER
-from dayledger.streaming.files import children, numbered, remove
+from dayledger.streaming.files import children, has, remove
 
 BUCKET = "_bucket"
 
+#: Runs of one size that make one of the next.
+FAN = 8
+
+Span = tuple[int, int]
+
 
 @dataclass(frozen=True)
 class _BatchTable:
@@ -25,49 +31,69 @@ class _BatchTable:
     path: str
     schema: T.StructType
 
-    def _write_delta(self, df: DataFrame, batch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/delta/batch={batch}")
+    def _folder(self, span: Span) -> str:
+        return f"{self.path}/runs/span={span[0]}-{span[1]}"
 
-    def delta(self, batch: int) -> DataFrame:
-        """What one finished batch added."""
-        return self._read_paths([f"{self.path}/delta/batch={batch}"], self.schema)
+    def finished(self) -> list[Span]:
+        """Every run whose write ended, whether a longer one holds it or not."""
+        names = [n for n in children(self.spark, f"{self.path}/runs") if n.startswith("span=")]
+        spans = [tuple(map(int, n.removeprefix("span=").split("-"))) for n in names]
+        return sorted(s for s in spans if has(self.spark, f"{self._folder(s)}/_SUCCESS"))
 
-    def batches(self, before: int | None = None) -> list[int]:
-        done = numbered(self.spark, f"{self.path}/delta", "batch")
-        return done if before is None else [b for b in done if b < before]
+    def runs(self, before: int | None = None) -> list[Span]:
+        """The longest finished runs that together hold every batch below ``before`` once."""
+        chosen: list[Span] = []
+        for first, last in sorted(self.finished(), key=lambda s: (s[0], -s[1])):
+            if (before is None or last < before) and (not chosen or first > chosen[-1][1]):
+                chosen.append((first, last))
+        return chosen
 
-    def base_upto(self, before: int | None = None) -> int:
-        done = numbered(self.spark, f"{self.path}/base", "upto")
-        return max([u for u in done if before is None or u <= before], default=0)
+    def delta(self, batch: int) -> DataFrame:
+        """What one finished batch added."""
+        return self._read([(batch, batch)], self.schema)
 
     def discard_from(self, batch: int) -> None:
         """Drop what an abandoned run left behind: batches from ``batch`` on, finished or not."""
-        for kind, label, first in (("delta", "batch", batch), ("base", "upto", batch + 1)):
-            for name in children(self.spark, f"{self.path}/{kind}"):
-                if name.startswith(f"{label}=") and int(name.split("=", 1)[1]) >= first:
-                    remove(self.spark, f"{self.path}/{kind}/{name}")
-
-    def vacuum(self) -> None:
-        """Drop folders that only reads older than the last but one base would need."""
-        bases = numbered(self.spark, f"{self.path}/base", "upto")
-        if len(bases) < 2:
-            return
-        for upto in bases[:-2]:
-            remove(self.spark, f"{self.path}/base/upto={upto}")
-        for batch in self.batches(bases[-2]):
-            remove(self.spark, f"{self.path}/delta/batch={batch}")
-
-    def _read_paths(self, paths: list[str], schema: T.StructType) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
-
-    def _base(self, upto: int, schema: T.StructType) -> DataFrame:
-        return self._read_paths([f"{self.path}/base/upto={upto}"] if upto else [], schema)
+        for name in children(self.spark, f"{self.path}/runs"):
+            if name.startswith("span=") and int(name.rpartition("-")[2]) >= batch:
+                remove(self.spark, f"{self.path}/runs/{name}")
+
+    def vacuum(self, before: int | None = None) -> None:
+        """Drop runs that a longer finished one below ``before`` holds; plans made on them must have ended."""
+        held = [s for s in self.runs(before) if s[0] < s[1]]
+        for first, last in self.finished():
+            if any(a <= first and last <= b and (first, last) != (a, b) for a, b in held):
+                remove(self.spark, self._folder((first, last)))
+
+    def merge_due(self, batch: int) -> None:
+        """Merges that follow from ``batch`` being finished. What a merge replaces goes when the next of its
+        size is made, so readers that began before still find their files."""
+        size = FAN
+        while (batch + 1) % size == 0:
+            first = batch + 1 - size
+            inside = [s for s in self.runs(batch + 1) if s[1] >= first]
+            if len(inside) > 1 and inside[0][0] >= first:
+                self._merge(inside, (first, batch))
+                self.vacuum(first)
+            size *= FAN
 
-    def _deltas(self, since: int, before: int | None, schema: T.StructType) -> DataFrame:
-        wanted = [b for b in self.batches(before) if b >= since]
-        return self._read_paths([f"{self.path}/delta/batch={b}" for b in wanted], schema)
+    def compact(self, upto: int) -> None:
+        """One run of all batches below ``upto``, which must not cut a longer run."""
+        if any(first < upto <= last for first, last in self.finished()):
+            raise ValueError(f"a run goes beyond batch {upto - 1}")
+        parts = self.runs(upto)
+        if len(parts) > 1:
+            self._merge(parts, (0, upto - 1))
+
+    def _merge(self, parts: list[Span], into: Span) -> None:
+        raise NotImplementedError
+
+    def _read(self, spans: list[Span], schema: T.StructType) -> DataFrame:
+        if not spans:
+            return self.spark.createDataFrame([], schema)
+        # The folder name is a column for Spark, so all runs are one table to it, whatever lies below them.
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/runs")
+        return reader.parquet(*[self._folder(s) for s in spans]).select(*schema.fieldNames())
 
 
 @dataclass(frozen=True)
@@ -75,9 +101,10 @@ class KeyedTable(_BatchTable):
     """Latest row per key. Rows carry an order and an operation; deleted keys keep a tombstone, so
     that a late re-delivery of an older image cannot bring them back.
 
-    ``bucket_key`` is the column other tables look rows up by. The base is split by its hash, so a
-    lookup of a batch's keys opens the buckets of those keys alone. Columns in ``first`` keep
-    their smallest value over all versions of a row (first detection).
+    ``bucket_key`` is the column other tables look rows up by. Every run is split by its hash, so a lookup
+    of a batch's keys opens the buckets of those keys alone, and there a Bloom filter per file and row group
+    says which can hold them. Columns in ``first`` keep their smallest value over all versions of a row
+    (first detection).
     """
 
     keys: tuple[str, ...] = ()
@@ -92,9 +119,13 @@ class KeyedTable(_BatchTable):
     def _bucketed(self, df: DataFrame) -> DataFrame:
         return df.withColumn(BUCKET, F.pmod(F.xxhash64(self.bucket_key), F.lit(self.buckets)).cast("int"))
 
+    def _write(self, df: DataFrame, span: Span) -> None:
+        # Rebalanced by bucket: few files for a small batch, several tasks for a bucket with a hot key.
+        rows = df.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, *self.keys)
+        rows.write.mode("overwrite").partitionBy(BUCKET).option(f"parquet.bloom.filter.enabled#{self.bucket_key}", "true").parquet(self._folder(span))
+
     def append(self, df: DataFrame, batch: int) -> None:
-        columns = [f.name for f in self.schema.fields]
-        self._write_delta(self._bucketed(df.select(*columns)), batch)
+        self._write(self._bucketed(df.select(*self.schema.fieldNames())), (batch, batch))
 
     def _fold(self, df: DataFrame) -> DataFrame:
         rest = [c for c in df.columns if c not in self.keys and c != ORDER and c not in self.first]
@@ -104,30 +135,21 @@ class KeyedTable(_BatchTable):
         return df.groupBy(*self.keys).agg(*aggs).select(*self.keys, "_row.*", ORDER, *self.first)
 
     def versions(self, before: int | None = None, touched: DataFrame | None = None) -> DataFrame:
-        """Base and later deltas, restricted to the ``bucket_key`` values in ``touched`` if given."""
-        upto = self.base_upto(before)
-        base, deltas = self._base(upto, self._full), self._deltas(upto, before, self._full)
+        """All runs, restricted to the ``bucket_key`` values in ``touched`` if given."""
+        rows = self._read(self.runs(before), self._full)
         if touched is None:
-            return base.unionByName(deltas)
-        if upto:
-            # At most one row per bucket comes back; it prunes the folders the base scan opens.
-            hit = [r[0] for r in self._bucketed(touched).select(BUCKET).distinct().collect()]
-            base = base.where(F.col(BUCKET).isin(hit))
-        return base.unionByName(deltas).join(touched.select(self.bucket_key), self.bucket_key, "left_semi")
+            return rows
+        # At most one row per bucket comes back; it prunes the folders the scan opens.
+        hit = [r[0] for r in self._bucketed(touched).select(BUCKET).distinct().collect()]
+        return rows.where(F.col(BUCKET).isin(hit)).join(touched.select(self.bucket_key), self.bucket_key, "left_semi")
 
     def read(self, before: int | None = None, touched: DataFrame | None = None) -> DataFrame:
         """Current rows as of the batches below ``before``."""
         live = self._fold(self.versions(before, touched)).where(F.col(OP) != "d")
         return live.select(*[f.name for f in self.schema.fields if f.name not in (OP, ORDER)])
 
-    def compact(self, upto: int) -> None:
-        """Fold all batches below ``upto`` into one base, split by bucket and sorted by key.
-
-        Range partitioning spreads a bucket that holds a hot key over several tasks.
-        """
-        folded = self._fold(self.versions(upto)).select(*[f.name for f in self._full.fields])
-        (folded.repartitionByRange(BUCKET, *self.keys).sortWithinPartitions(BUCKET, *self.keys)
-         .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/base/upto={upto}"))
+    def _merge(self, parts: list[Span], into: Span) -> None:
+        self._write(self._fold(self._read(parts, self._full)).select(*self._full.fieldNames()), into)
 
 
 @dataclass(frozen=True)
@@ -145,25 +167,27 @@ class SumTable(_BatchTable):
         sums = [F.sum(m).cast(self.schema[m].dataType).alias(m) for m in (self.count, *self.measures)]
         return df.groupBy(*self.keys).agg(*sums, F.max(self.stamp).alias(self.stamp))
 
+    def _moved(self, df: DataFrame) -> DataFrame:
+        """Without groups to which nothing is added in the end."""
+        moved = F.col(self.count) != 0
+        for m in self.measures:
+            moved = moved | (F.coalesce(F.col(m), F.lit(0)) != 0)
+        return df.where(moved).select(*self.schema.fieldNames())
+
     def append_signed(self, rows: DataFrame, inputs: dict[str, str], batch: int, sign: str = "_sign") -> None:
         """``rows`` carry +1 / -1 in ``sign``; ``inputs`` is {measure: column}."""
         signed = [F.sum(F.col(c) * F.col(sign)).cast(self.schema[m].dataType).alias(m) for m, c in inputs.items()]
         delta = rows.groupBy(*self.keys).agg(
             F.sum(sign).cast("bigint").alias(self.count), *signed).withColumn(self.stamp, F.current_timestamp())
-        moved = F.col(self.count) != 0
-        for m in self.measures:
-            moved = moved | (F.coalesce(F.col(m), F.lit(0)) != 0)
-        self._write_delta(delta.where(moved).select(*[f.name for f in self.schema.fields]), batch)
+        self._moved(delta).write.mode("overwrite").parquet(self._folder((batch, batch)))
 
     def read(self, before: int | None = None) -> DataFrame:
-        upto = self.base_upto(before)
-        parts = self._base(upto, self.schema).unionByName(self._deltas(upto, before, self.schema))
-        return self._sum(parts).where(F.col(self.count) > 0)
+        return self._sum(self._read(self.runs(before), self.schema)).where(F.col(self.count) > 0)
 
-    def compact(self, upto: int) -> None:
-        """Fold all batches below ``upto``; ordered by key, so a day range reads few row groups."""
-        self.read(upto).repartitionByRange(*self.keys).sortWithinPartitions(*self.keys).write.mode(
-            "overwrite").parquet(f"{self.path}/base/upto={upto}")
+    def _merge(self, parts: list[Span], into: Span) -> None:
+        """Ordered by key, so a day range reads few row groups."""
+        summed = self._moved(self._sum(self._read(parts, self.schema)))
+        summed.repartitionByRange(*self.keys).sortWithinPartitions(*self.keys).write.mode("overwrite").parquet(self._folder(into))
 
 
 def upsert_by_key(table: KeyedTable, df: DataFrame, batch: int) -> None:

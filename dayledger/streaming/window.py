@@ -16,6 +16,7 @@ from dayledger.operators.quality import Rule, first_match
 from dayledger.sources import cdc
 from dayledger.sources.sinks import to_keyed_messages
 from dayledger.sources.specs import SERVICES_BY_STATUS
+from dayledger.streaming.files import claimed
 from dayledger.streaming.tables import KeyedTable, SumTable
 
 WATERMARK = "30 seconds"
@@ -107,6 +108,11 @@ class WeeklyLedger:
                                       "montant_total decimal(18,2), maj_le timestamp")
         return SumTable(self.spark, f"{self.root}/weeks", schema, WEEK_KEYS, "nombre_prestations", ("montant_total",))
 
+    def merge_due(self, batch: int) -> None:
+        """Merges of both tables that follow from ``batch`` being finished."""
+        self.lines().merge_due(batch)
+        self.sums().merge_due(batch)
+
     def read(self, before: int | None = None) -> DataFrame:
         """Current sums per week and status."""
         return self.sums().read(before).drop("maj_le").withColumn("montant_total", F.col("montant_total").cast("double"))
@@ -153,13 +159,15 @@ def window_messages(raw: DataFrame, watermark: str | None = WATERMARK) -> DataFr
 def run_weekly(raw: DataFrame, checkpoint: str, windows: dict[str, str], rejects: dict[str, str],
                sink: str = "kafka", trigger: dict[str, object] | None = None) -> StreamingQuery:
     """The weekly job: one read of the source feeds both outputs. ``windows`` / ``rejects`` are the
-    options of each sink. Its tables live beside the checkpoint and start anew with it. A batch that is
+    options of each sink. Its tables live beside the checkpoint, start anew with it and are claimed for one
+    query at a time. A batch that is
     retried may send its messages again; they are upserts, so readers see the same."""
     ledger = WeeklyLedger(raw.sparkSession, f"{checkpoint}/tables")
 
     def apply(batch: DataFrame, number: int) -> None:
         for messages, options in zip(ledger.process(batch, number), (windows, rejects)):
             messages.write.format(sink).mode("append").options(**options).save()
+        ledger.merge_due(number)
 
     writer = raw.writeStream.foreachBatch(apply).option("checkpointLocation", f"{checkpoint}/source")
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+    return claimed(raw.sparkSession, ledger.root, f"checkpoint {checkpoint}", lambda: writer.trigger(**(trigger or {"availableNow": True})).start())
