@@ -39,6 +39,12 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def mark(spark: SparkSession, path: str) -> None:
+    """A finished, empty ``label=N`` folder, without a Spark job."""
+    fs, jpath = _fs(spark, f"{path}/_SUCCESS")
+    fs.create(jpath, True).close()
+
+
 def has(spark: SparkSession, path: str) -> bool:
     fs, jpath = _fs(spark, path)
     return bool(fs.exists(jpath))

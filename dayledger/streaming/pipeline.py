@@ -104,7 +104,10 @@ class Ledger:
     def tables(self, before: int | None = None) -> dict[str, DataFrame]:
         """Every target table as of the last finished batch."""
         before = self.committed() if before is None else before
-        out = {n: t.read(before) for n, (t, _) in self.sum_tables().items()}
+        return self._with_rest({n: t.read(before) for n, (t, _) in self.sum_tables().items()}, before)
+
+    def _with_rest(self, out: dict[str, DataFrame], before: int) -> dict[str, DataFrame]:
+        """The daily tables as readers see them, with catalogues, facts and the quarantine."""
         ep = out["kpi_ententes_prealables_jour"]
         out["kpi_ententes_prealables_jour"] = ep.select(
             *claims.REQUEST_KEYS, "nombre_ententes",
@@ -211,15 +214,19 @@ class Ledger:
         rows = self._before_after(changes, INVOICE_FAMILY, INVOICE_KEY, batch)
         if rows is None:
             return None
-        services = self._hold(self._signed(claims.enriched_services, *rows))
-        writes = self._sum_writes(services, claims.SERVICE_TABLES, batch)
-        writes += self._sum_writes(self._signed(claims.valid_invoices, *rows), claims.INVOICE_TABLES, batch)
         rules = (
             lambda s: claims.service_quarantine(claims.raw_services(s)),
             lambda s: claims.undated_invoices(s["invoices"]),
             lambda s: claims.invoice_quarantine(s["invoices"]),
         )
-        return _Part(writes, [tuple(rule(side) for side in rows) for rule in rules])
+        builds = [(lambda: self._signed(claims.enriched_services, *rows)), (lambda: self._signed(claims.valid_invoices, *rows))]
+        builds += [partial(rule, side) for rule in rules for side in rows]
+        # Plans of many columns take the driver longer to state than a small batch takes to run.
+        with ThreadPoolExecutor(self.parallel_jobs) as pool:
+            services, invoices, *flagged = pool.map(lambda build: build(), builds)
+        writes = self._sum_writes(self._hold(services), claims.SERVICE_TABLES, batch)
+        writes += self._sum_writes(invoices, claims.INVOICE_TABLES, batch)
+        return _Part(writes, list(zip(flagged[::2], flagged[1::2])))
 
     def _requests(self, changes: dict[str, DataFrame], batch: int) -> _Part | None:
         rows = self._before_after(changes, REQUEST_FAMILY, REQUEST_KEY, batch)

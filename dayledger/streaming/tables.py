@@ -102,8 +102,8 @@ class KeyedTable(_BatchTable):
     that a late re-delivery of an older image cannot bring them back.
 
     ``bucket_key`` is the column other tables look rows up by. Every run is split by its hash, so a lookup
-    of a batch's keys opens the buckets of those keys alone, and there a Bloom filter per file and row group
-    says which can hold them. Columns in ``first`` keep their smallest value over all versions of a row
+    of a batch's keys opens the buckets of those keys alone; in merged runs a Bloom filter per row group says
+    which can hold a key. Columns in ``first`` keep their smallest value over all versions of a row
     (first detection).
     """
 
@@ -122,7 +122,10 @@ class KeyedTable(_BatchTable):
     def _write(self, df: DataFrame, span: Span) -> None:
         # Rebalanced by bucket: few files for a small batch, several tasks for a bucket with a hot key.
         rows = df.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, *self.keys)
-        rows.write.mode("overwrite").partitionBy(BUCKET).option(f"parquet.bloom.filter.enabled#{self.bucket_key}", "true").parquet(self._folder(span))
+        writer = rows.write.mode("overwrite").partitionBy(BUCKET)
+        if span[0] < span[1]:  # the files of one batch are too small to be worth a filter
+            writer = writer.option(f"parquet.bloom.filter.enabled#{self.bucket_key}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+        writer.parquet(self._folder(span))
 
     def append(self, df: DataFrame, batch: int) -> None:
         self._write(self._bucketed(df.select(*self.schema.fieldNames())), (batch, batch))
