@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from dayledger.functions import scalars as S
 from dayledger.operators import audit, evaluate, quality, ranking, reconcile, reshape, rollup
 from dayledger.plans import claims, read_model, star
-from dayledger.plans.registry import ENRICHED, ORACLES, QUERIES, half_up, query, with_
+from dayledger.plans.registry import ANSWERS, ENRICHED, ORACLES, QUERIES, half_up, query, with_
 from dayledger.sources import cdc, sinks
 from dayledger.sources.specs import SPECS, SourceSpec
 from dayledger.sources.tables import TABLES, table
@@ -140,6 +140,10 @@ _PERSON_ROWS = """per AS (
     WHEN birth > DATE '2001-07-15' OR birth < DATE '2001-07-15' - INTERVAL 100 YEAR THEN ['DATE_NAISSANCE_ABERRANTE', 'IDENTITE']
   END AS m FROM per) WHERE m IS NOT NULL""")
 def quarantine_persons(spark: SparkSession, d: str) -> DataFrame:
+    return quality.without_raw_row(_person_quarantine(spark, d))
+
+
+def _person_quarantine(spark: SparkSession, d: str) -> DataFrame:
     key = F.col("c_custkey")
     name = (F.when(key % 40 == 0, "").when(key % 41 == 0, F.concat("c_name", F.lit("?"))).when(key % 43 == 0, "{{7*7}}")
             .when(key % 47 == 0, F.concat(F.lit("Ã"), "c_name")).otherwise(F.col("c_name")))
@@ -149,7 +153,7 @@ def quarantine_persons(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.when(F.col("c_acctbal") < 0, "384").otherwise("394"), digits, F.lit("1")).alias("NUMERO_SECU"),
         name.alias("ASSURE_NOM"), F.lit(None).cast("string").alias("ASSURE_PRENOMS"),
         F.date_add(F.lit("1895-01-01").cast("date"), (key % 43000).cast("int") * 30).alias("date_naissance"))
-    return quality.without_raw_row(claims.person_quarantine(rows, star.AS_OF))
+    return claims.person_quarantine(rows, star.AS_OF)
 
 
 @query("""SELECT 'agent' AS domaine, 'EMAIL_INVALIDE' AS motif_anomalie, 'FORMAT' AS famille,
@@ -169,6 +173,10 @@ def quarantine_agents(spark: SparkSession, d: str) -> DataFrame:
   FROM orders LEFT JOIN (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2)) - 50000) AS amount FROM lineitem GROUP BY 1) m
     ON m.l_orderkey = o_orderkey WHERE o_orderstatus = 'P' OR m.amount < 0""")
 def quarantine_requests(spark: SparkSession, d: str) -> DataFrame:
+    return quality.without_raw_row(_request_quarantine(spark, d))
+
+
+def _request_quarantine(spark: SparkSession, d: str) -> DataFrame:
     key = "ENTENTE_PREALABLE_ID"
     asked = table(spark, d, "orders").select(
         F.col("o_orderkey").alias(key), F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("TYPE_DEMANDE_CODE"),
@@ -177,7 +185,7 @@ def quarantine_requests(spark: SparkSession, d: str) -> DataFrame:
                                              F.col("agent_code").alias("AGENT_CODE"))
     acts = table(spark, d, "lineitem").select(F.col("l_orderkey").alias(key),
                                               (S.money("l_extendedprice") - 50000).alias("ACTE_MEDICAL_MONTANT_CMU"))
-    return quality.without_raw_row(claims.request_quarantine(asked, answered, claims.request_amounts({"acts": acts})))
+    return claims.request_quarantine(asked, answered, claims.request_amounts({"acts": acts}))
 
 
 @query("""SELECT CAST(l_orderkey AS VARCHAR) AS facture_numero, l_returnflag AS prestation_code,
@@ -242,6 +250,112 @@ def quarantine_undated_invoices(spark: SparkSession, d: str) -> DataFrame:
     """Invoices without a day of care, raw row included."""
     return claims.undated_invoices(_declared_invoices(spark, d))
 
+# -- all five domains with their raw rows ----------------------------------------------------------
+
+# Every flagged row with the columns of its raw row, one relation per domain.
+_FLAGGED_INVOICES = f"""inv_q AS (
+  SELECT {_case(_INVOICE_RULES, 1)} AS famille, {_case(_INVOICE_RULES, 0)} AS motif_anomalie, CAST(o_orderkey AS VARCHAR) AS cle_metier,
+    NULL::VARCHAR AS type_facture_code, NULL::VARCHAR AS regime_code, kind AS centre_sante_type_code, jour_soins,
+    CAST(strftime(made, '%Y-%m-%d %H:%M:%S.%g') AS TIMESTAMP) AS date_creation_facture, NULL::VARCHAR AS personne_uuid
+  FROM inv WHERE jour_soins IS NOT NULL AND made IS NOT NULL AND {_case(_INVOICE_RULES, 0)} IS NOT NULL
+  UNION ALL SELECT 'DATES', 'date_soins_manquante', CAST(o_orderkey AS VARCHAR), o_orderstatus, o_orderpriority, NULL, NULL, NULL, CAST(o_custkey AS VARCHAR)
+  FROM orders WHERE o_orderpriority = '5-LOW' OR o_orderdate IS NULL)"""
+_FLAGGED_PERSONS = """per_q AS (
+  SELECT m[2] AS famille, m[1] AS motif_anomalie, id AS cle_metier, nom, secu, birth FROM (
+    SELECT *, CASE WHEN nom = '' THEN ['CHAMP_OBLIGATOIRE_VIDE', 'IDENTITE']
+      WHEN nom LIKE '%?%' OR nom LIKE '%Ã%' OR nom LIKE '%Â%' THEN ['ENCODAGE_CASSE', 'FORMAT']
+      WHEN nom IN ('{{7*7}}') THEN ['TENTATIVE_INJECTION', 'FORMAT']
+      WHEN length(secu) <> 13 OR secu NOT LIKE '394%' THEN ['NUMERO_SECU_INVALIDE', 'IDENTITE']
+      WHEN birth > DATE '2001-07-15' OR birth < DATE '2001-07-15' - INTERVAL 100 YEAR THEN ['DATE_NAISSANCE_ABERRANTE', 'IDENTITE']
+    END AS m FROM per) WHERE m IS NOT NULL)"""
+_FLAGGED_AGENTS = """age_q AS (
+  SELECT 'FORMAT' AS famille, 'EMAIL_INVALIDE' AS motif_anomalie, CAST(s_suppkey AS VARCHAR) AS cle_metier, s_name, m
+  FROM (SELECT *, s_name || CASE WHEN s_acctbal < 3000 THEN '.ci' ELSE '@x.ci' END AS m FROM supplier) WHERE m NOT LIKE '%@%.%')"""
+_FLAGGED_REQUESTS = ANSWERS + """, req_q AS (
+  SELECT CASE WHEN o_orderstatus = 'P' THEN 'FORMAT' ELSE 'MONTANTS' END AS famille,
+    CASE WHEN o_orderstatus = 'P' THEN 'type_demande_manquant' ELSE 'montant_engage_negatif' END AS motif_anomalie,
+    CAST(o_orderkey AS VARCHAR) AS cle_metier, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS kind, o_orderdate AS asked,
+    a.status_code, a.agent_code, CAST(m.amount AS DECIMAL(18,2)) AS amount
+  FROM orders LEFT JOIN ans a ON a.request = o_orderkey
+  LEFT JOIN (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2)) - 50000) AS amount FROM lineitem GROUP BY 1) m ON m.l_orderkey = o_orderkey
+  WHERE o_orderstatus = 'P' OR m.amount < 0)"""
+
+
+def _all_raw(spark: SparkSession, d: str) -> DataFrame:
+    """The quarantine table: flagged rows of all domains, raw rows included."""
+    return reshape.stack([_service_quarantine(spark, d), _invoice_quarantine(spark, d), claims.undated_invoices(_declared_invoices(spark, d)),
+                          _person_quarantine(spark, d), quarantine_agents(spark, d), _request_quarantine(spark, d)])
+
+
+@query(with_(_PERSON_ROWS, _FLAGGED_PERSONS) + """SELECT 'assure' AS domaine, motif_anomalie, famille, cle_metier,
+  '{"personne_uuid":"' || cle_metier || '","assure_numero_identifiant":null,"numero_secu":"' || secu || '","assure_nom":"' || nom ||
+  '","assure_prenoms":null,"assure_date_naissance":"' || birth || '"}' AS donnee_brute FROM per_q""")
+def quarantine_persons_raw(spark: SparkSession, d: str) -> DataFrame:
+    """Flagged persons as they came."""
+    return _person_quarantine(spark, d)
+
+
+@query(with_(_FLAGGED_REQUESTS) + """SELECT 'entente_prealable' AS domaine, motif_anomalie, famille, cle_metier,
+  '{"entente_prealable_id":"' || cle_metier || '","type_demande_code":' || COALESCE('"' || kind || '"', 'null') || ',"date_debut":"' || asked ||
+  '","statut_code":' || COALESCE('"' || status_code || '"', 'null') || ',"agent_code":' || COALESCE('"' || agent_code || '"', 'null') ||
+  ',"montant_engage_cmu":' || COALESCE(CAST(amount AS VARCHAR), 'null') || '}' AS donnee_brute FROM req_q""")
+def quarantine_requests_raw(spark: SparkSession, d: str) -> DataFrame:
+    """Flagged requests as they came, with their answer and amount."""
+    return _request_quarantine(spark, d)
+
+
+@query(with_(_INVOICE_ROWS, _FLAGGED_INVOICES) + """SELECT famille, motif_anomalie, cle_metier, cle_metier AS facture_numero, type_facture_code, regime_code,
+  NULL::VARCHAR AS centre_sante_code, centre_sante_type_code, NULL::VARCHAR AS centre_sante_type_libelle, jour_soins, date_creation_facture,
+  NULL::VARCHAR AS facture_date_soins_brute, personne_uuid FROM inv_q""")
+def quarantine_detail_invoices(spark: SparkSession, d: str) -> DataFrame:
+    return read_model.anomaly_detail({"qualite_anomalies": _all_raw(spark, d)}, "facture")
+
+
+@query(with_(_PERSON_ROWS, _FLAGGED_PERSONS) + """SELECT famille, motif_anomalie, cle_metier, cle_metier AS personne_uuid,
+  NULL::VARCHAR AS assure_numero_identifiant, secu AS numero_secu, nom AS assure_nom, NULL::VARCHAR AS assure_prenoms, birth AS assure_date_naissance FROM per_q""")
+def quarantine_detail_persons(spark: SparkSession, d: str) -> DataFrame:
+    return read_model.anomaly_detail({"qualite_anomalies": _all_raw(spark, d)}, "assure")
+
+
+@query(with_(_FLAGGED_AGENTS) + """SELECT famille, motif_anomalie, cle_metier, cle_metier AS agent_code, s_name AS agent_nom, NULL::VARCHAR AS agent_prenoms,
+  m AS agent_email, 'accueil' AS agent_type_code FROM age_q""")
+def quarantine_detail_agents(spark: SparkSession, d: str) -> DataFrame:
+    return read_model.anomaly_detail({"qualite_anomalies": _all_raw(spark, d)}, "agent")
+
+
+@query(with_(_FLAGGED_REQUESTS) + """SELECT famille, motif_anomalie, cle_metier, cle_metier AS entente_prealable_id, kind AS type_demande_code,
+  asked AS date_debut, status_code AS statut_code, agent_code, amount AS montant_engage_cmu FROM req_q""")
+def quarantine_detail_requests(spark: SparkSession, d: str) -> DataFrame:
+    return read_model.anomaly_detail({"qualite_anomalies": _all_raw(spark, d)}, "entente_prealable")
+
+
+_DATED_DOMAINS = with_(_SERVICE_Q, _INVOICE_ROWS, _FLAGGED_INVOICES, _PERSON_ROWS, _FLAGGED_PERSONS, _FLAGGED_AGENTS, _FLAGGED_REQUESTS, """dated AS (
+  SELECT 'prestation' AS domaine, famille, motif_anomalie, cle_metier, jour FROM q WHERE motif_anomalie IS NOT NULL
+  UNION ALL SELECT 'facture', famille, motif_anomalie, cle_metier, jour_soins FROM inv_q
+  UNION ALL SELECT 'assure', famille, motif_anomalie, cle_metier, NULL FROM per_q
+  UNION ALL SELECT 'agent', famille, motif_anomalie, cle_metier, NULL FROM age_q
+  UNION ALL SELECT 'entente_prealable', famille, motif_anomalie, cle_metier, CAST(asked AS DATE) FROM req_q)""")
+
+
+def _dated_domains(spark: SparkSession, d: str) -> DataFrame:
+    """The quarantine with the day of each row, as its raw row has it: care, else request; none for persons and agents."""
+    day = F.coalesce(S.json_text("donnee_brute", "jour_soins"), F.substring(S.json_text("donnee_brute", "date_debut"), 1, 10))
+    return _all_raw(spark, d).withColumn("jour", day.cast("date"))
+
+
+@query(_DATED_DOMAINS + "SELECT domaine, jour, famille, motif_anomalie, count(*) AS nombre_lignes FROM dated GROUP BY ALL")
+def quarantine_board_by_day(spark: SparkSession, d: str) -> DataFrame:
+    """Counts of the quality board per domain, day, family and reason."""
+    return quality.anomaly_counts(_dated_domains(spark, d), ["domaine", "jour", "famille", "motif_anomalie"])
+
+
+@query(_DATED_DOMAINS + "SELECT jour, domaine, famille, motif_anomalie, cle_metier FROM dated WHERE jour IS NOT NULL "
+       "ORDER BY jour DESC, domaine, cle_metier, motif_anomalie LIMIT 200")
+def quarantine_board_newest(spark: SparkSession, d: str) -> DataFrame:
+    """The board's 200 newest rows of all domains."""
+    rows = _dated_domains(spark, d).where(F.col("jour").isNotNull()).select("jour", "domaine", "famille", "motif_anomalie", "cle_metier")
+    return ranking.newest(rows, "jour", ["domaine", "cle_metier", "motif_anomalie"], 200)
+
 
 @query(with_(_SERVICE_Q) + "SELECT motif_anomalie, cle_metier FROM q WHERE famille IN ('QUANTITES', 'REFERENTIEL')")
 def quarantine_filtered(spark: SparkSession, d: str) -> DataFrame:
@@ -488,17 +602,16 @@ def stage_latency(spark: SparkSession, d: str) -> DataFrame:
 @query("""WITH a AS (SELECT event_id, ts, row_number() OVER (ORDER BY ts, event_id) AS k FROM events WHERE event_type = 'signup'),
   s AS (SELECT ts + INTERVAL 1 SECOND * (30 + event_id % 977) AS seen, sum(CAST(event_type = 'signup' AS INT)) OVER (ORDER BY ts, event_id) + 100 AS c FROM events)
   SELECT a.event_id, a.ts, a.k, min(s.seen) AS seen_at, epoch_us(min(s.seen)) - epoch_us(a.ts) AS delay_us
-  FROM a JOIN (SELECT c, min(seen) AS seen FROM s WHERE epoch_us(seen) % 2 = 0 GROUP BY 1) s ON s.c >= a.k + 100 GROUP BY a.event_id, a.ts, a.k""")
+  FROM a JOIN (SELECT c, min(seen) AS seen FROM s GROUP BY 1) s ON s.c >= a.k + 100 GROUP BY a.event_id, a.ts, a.k""")
 def kth_arrival(spark: SparkSession, d: str) -> DataFrame:
-    """Arrivals = signups; samples = the running counter, read after some of all events, each time with
-    another delay, so that a later sample can be the first to show a count."""
+    """Arrivals = signups; samples = the running counter, read after every event, each time with another
+    delay, so that a later sample can be the first to show a count."""
     events = table(spark, d, "events").select("event_id", "ts", "event_type")
     day, order = F.col("ts").cast("date"), ["ts", "event_id"]
     arrivals = ranking.row_numbers(events.where("event_type = 'signup'").select("event_id", "ts"), [], day, order)
     counted = ranking.running_total(events, [], day, order, S.flag_of_state("event_type", "signup"), "n")
     seen = F.col("ts") + F.make_dt_interval(secs=(30 + F.col("event_id") % 977).cast("decimal(18,6)"))
-    samples = counted.select(seen.alias("at"), (F.col("n") + 100).alias("counter")).where(
-        F.pmod(S.micros_between(F.lit("1970-01-01").cast("timestamp_ntz"), "at"), F.lit(2)) == 0)
+    samples = counted.select(seen.alias("at"), (F.col("n") + 100).alias("counter"))
     return evaluate.kth_arrival(arrivals, samples, 100, "ts", "counter", "at")
 
 
