@@ -12,7 +12,7 @@ target 0 and takes nothing; empty input gives no rows. A document at the cut is
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayledger.llm.common import running_sum, stored, words
@@ -86,11 +86,16 @@ def mix(rows: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: fl
         .select("doc_id", "source", "size", "n_rows", "source_size", "target", "copy", "finish", "stream_start", "words")
 
 
+def ticket(seed: int) -> Column:
+    """Where a document of ``doc_id`` and ``size`` stands in its source's queue: a uniform number of 52 bits."""
+    drawn = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string")))
+    return F.conv(F.substring(drawn, 1, 13), 16, 10).cast("long")
+
+
 def queued(entries: DataFrame, goal: DataFrame, seed: int, slice_words: float) -> DataFrame:
     """Every entry with its source's target and ``end``: words of its queue up to its own last word."""
     joined = same(entries, goal, ["source"], "inner")
-    ticket = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string")))
-    key = F.conv(F.substring(ticket, 1, 13), 16, 10).cast("long")
+    key = ticket(seed)
     # A uniform key cut into equal stretches: about ``slice_words`` each.
     stretches = F.greatest(F.lit(1), F.ceil(F.col("source_size") / slice_words))
     keyed = joined.withColumn("load", F.col("size") * F.col("n_rows")).withColumn("key", key) \
@@ -119,12 +124,22 @@ def taken(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share:
         F.coalesce(F.floor("__words"), F.lit(0)).cast("long").alias("taken"))
 
 
-def apply_mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.5, repeats: int = 2) -> DataFrame:
+def apply_mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.5, repeats: int = 2, seed: int = 17) -> DataFrame:
     """``docs`` as the mix takes them, all columns kept: a document comes once for every ``size`` words
-    taken of it, the cut one if at least half of it is taken. Documents without words stay as they are."""
-    times = taken(docs, weights, share, repeats).filter("size > 0 AND 2 * taken >= size").groupBy("source", "doc_id", "size").agg(
-        F.max(F.floor((F.col("taken") + F.col("size") / 2) / F.col("size"))).cast("int").alias("__times"))
-    keyed = docs.select(F.struct(*docs.columns).alias("__row"), "source", "doc_id", words(F.col("text")).alias("size"))
-    found = same(keyed, times, ["source", "doc_id", "size"], "left") \
-        .withColumn("__times", F.when(F.col("size") == 0, 1).otherwise(F.coalesce("__times", F.lit(0))))
-    return found.filter("__times > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select("__row.*")
+    taken of it, the cut one if at least half of it is taken. Documents without words stay as they are.
+
+    A queue is taken from its head, so the last place that a pass over it takes says all about a source:
+    every document up to there is taken in that pass. These places, a row for each source and pass, are all
+    that meets the documents; no text is moved.
+    """
+    place = F.struct("key", "doc_id", "size")
+    stream = mix(measured(docs), weights, share, repeats, seed).filter(2 * F.floor(F.col("words") / F.col("n_rows")) >= F.col("size"))
+    last = stored(stream.withColumn("key", ticket(seed)).groupBy("source", "copy").agg(F.max(place).alias("place"))
+                  .groupBy("source").agg(F.collect_list("place").alias("__last")))
+    keyed = docs.select(F.struct(*docs.columns).alias("__row"), "source", "doc_id", words(F.col("text")).alias("size")) \
+        .withColumn("key", ticket(seed)).select("__row", "source", "size", place.alias("__place"))
+    found = same(keyed, last, ["source"], "left")
+    passes = F.size(F.filter(F.coalesce("__last", F.array()), lambda end: F.col("__place") <= end))
+    times = F.when(F.col("size") == 0, 1).otherwise(passes)
+    return found.withColumn("__times", times).filter("__times > 0").withColumn(
+        "__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select("__row.*")

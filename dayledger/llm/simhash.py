@@ -312,8 +312,8 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", dense:
     def prints(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             body = list(batch)
-            parts = [word_prints(body[part]) for part in textbytes.portions(body)]
-            yield pd.DataFrame(np.concatenate(parts or [np.zeros((0, 2), np.int64)]), columns=["p", "q"])
+            for part in list(textbytes.portions(body)) or [slice(0)]:
+                yield pd.DataFrame(word_prints(body[part]), columns=["p", "q"])
 
     row, key = F.xxhash64(*docs.columns), F.xxhash64(text)
     rows = docs.select(F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), row.alias("row")).alias("first"),
@@ -335,7 +335,8 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", dense:
     def shingled(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             body = list(batch)
-            yield pd.Series([x for part in textbytes.portions(body) for x in shingle_sets(body[part])], dtype=object)
+            for part in list(textbytes.portions(body)) or [slice(0)]:  # shingles take more room than their texts
+                yield pd.Series(shingle_sets(body[part]), dtype=object)
 
     # The text of a candidate is read from the one row that stands for it.
     wanted = stored(asked.filter("several").select("text_key", "group", "first", F.col("first.row").alias("row_key")))

@@ -73,6 +73,21 @@ def test_mix_keeps_columns_and_empty(spark, documents):
     assert mixing.taken(documents([])).collect() == [] and mixing.apply_mix(documents([])).collect() == []
 
 
+@pytest.mark.parametrize("share", [0.3, 1.0, 1.5, 1.97])
+def test_mix_repeats_what_is_taken_and_moves_no_text(spark, documents, share):
+    rows = [(i, "w " * (i % 17 + 1), f"s{i % 7}" if i % 11 else None) for i in range(300)] + [(5, "w " * 6, "s5")] * 3 + ODD
+    docs = documents(rows)
+    times = {}
+    for r in mixing.taken(docs, share=share).collect():
+        n = 1 if r.size == 0 else (2 * r.taken + r.size) // (2 * r.size)
+        assert times.setdefault((r.doc_id, r.source, r.size), n) == n
+    out = mixing.apply_mix(docs, share=share)
+    want = collections.Counter({k: times[k] * n for k, n in collections.Counter((d, s, n_words(t)) for d, t, s in [(r + (None,) * 3)[:3] for r in rows]).items()})
+    assert collections.Counter((r.doc_id, r.source, n_words(r.text)) for r in out.collect()) == +want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
 def test_shards_are_even_and_gapless(documents):
     rows = [(i, f"text {i} " * (i % 40 + 1)) for i in range(1500)] + [(9000 + i, "the same long text " * 20) for i in range(700)] + ODD
     got = sharding.shard(documents(rows)).collect()
