@@ -6,9 +6,13 @@ shared: continuation counts over all documents, labelled or not. So an expressio
 has seen stands out, and one that neither has seen often falls back to the same probability in both.
 
 Documents are split into portions of text once; a portion keeps its distinct words and the number of each
-word in its order. Words are counted over all portions, n-grams over the distinct words, log ratios come from
-joins on contexts and are summed per distinct word, and each portion gets those of its own words by a join.
-No table of n-grams or words passes through the driver, and none is cut.
+word in its order. Words are counted over all portions. The distinct words are read in chunks: a chunk sends
+its distinct n-grams, packed, to buckets chosen by the two bytes before the last. All n-grams of 3 bytes and
+more with one context, and all shorter n-grams they fall back to, are then in one bucket, so that counts,
+continuation counts of every order and log ratios need no further shuffle; those of 1 and 2 bytes are a
+table of at most 65,536 rows. A bucket answers every chunk with the log ratios of the n-grams it sent, in their
+order; a chunk sums them per word, and each portion gets those of its own words by a join. No table of
+n-grams or words passes through the driver, and none is cut.
 
 A document's evidence is compared per length: the mean log ratio of its words, and the log ratios of its
 most toxic words and passages. A logistic regression, fitted on labelled documents whose counts the
@@ -25,13 +29,14 @@ Id, language, source and label never reach a score; other columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.llm import bloom, textbytes
@@ -48,7 +53,9 @@ PASSAGE = 8
 #: Characters of a portion; log ratios are multiples of 1 / ``EXACT``, so their sums do not depend on the order.
 PORTION = 1 << 20
 EXACT = float(1 << 20)
-CLASSES = ("toxic", "ordinary", "every")
+CLASSES = ("toxic", "ordinary")
+#: N-grams that a chunk of the distinct words sends, repeats included, and that a bucket gets on average, at most.
+CHUNK = 1 << 20
 
 
 def word_grams(words: textbytes.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -89,7 +96,7 @@ def portioned(docs: DataFrame) -> DataFrame:
                 edge = np.r_[0, np.cumsum(length)]
                 body = few.low[np.arange(edge[-1]) + np.repeat(few.start - edge[:-1], length)]
                 word = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(edge.astype(np.int32).tobytes()), pa.py_buffer(body.tobytes())])
-                counts = [np.bincount(number[chosen], minlength=n) for chosen in (label == 1, label == 0, slice(None))]
+                counts = [np.bincount(number[chosen], minlength=n) for chosen in (label == 1, label == 0)]
                 ids = batch.column("doc_id").slice(part.start, part.stop - part.start)
                 one = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (ids, word, *[pa.array(c, pa.int64()) for c in counts])]
                 packed = [pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (np.diff(words.first), number)]
@@ -103,7 +110,7 @@ def portioned(docs: DataFrame) -> DataFrame:
 
 
 def vocabulary(portions: DataFrame) -> DataFrame:
-    """``word, toxic, ordinary, every`` of every distinct word."""
+    """``word, toxic, ordinary`` of every distinct word."""
     rows = portions.select(F.explode(F.arrays_zip("word", *CLASSES)).alias("w")).select("w.*")
     return rows.groupBy("word").agg(*[F.sum(c).alias(c) for c in CLASSES])
 
@@ -117,27 +124,129 @@ def spelled(words: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     return word_grams(textbytes.Words(low, low, stop - length, stop, none, none, none))
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Integers with their bytes of one rank together, compressed."""
+    return zlib.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes(), 1)
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def bucket_of(gram: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of n-grams by the two bytes before the last."""
+    mixed = textbytes.mix(((gram >> 8) & 0xFFFF).astype(np.uint64))
+    return (mixed % np.uint64(buckets)).astype(np.int32)
+
+
+def dealt(words: pd.Series, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct n-grams of ``words`` by (bucket, n-gram), where each bucket starts, and of every
+    n-gram that occurs its place among them and its word."""
+    gram, which = spelled(words)
+    few, place = np.unique(gram, return_inverse=True)
+    bucket = bucket_of(few, buckets)
+    order = np.argsort(bucket, kind="stable")
+    rank = np.empty(len(few), np.int64)
+    rank[order] = np.arange(len(few))
+    return few[order], np.searchsorted(bucket[order], np.arange(buckets + 1)), rank[place], which
+
+
 def vocabulary_grams(words: DataFrame) -> DataFrame:
-    """``gram, toxic, ordinary, every`` of the n-grams of ``vocabulary``."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            gram, which = spelled(batch["word"])
-            each = pd.DataFrame({"gram": gram} | {c: batch[c].to_numpy(dtype=np.int64)[which] for c in CLASSES})
-            yield each.groupby("gram", as_index=False).sum()
+    """``chunk, bucket, buckets, gram, toxic, ordinary, word``: per chunk of ``vocabulary`` and bucket the distinct
+    n-grams and their counts, packed. The words of the chunk stand in a row of their own, of bucket -1."""
+    total = words.agg(F.sum(F.length("word") + 1)).first()[0] or 0
+    buckets = int(min(1 << 16, max(8, total // CHUNK)))
+    names = ["chunk", "bucket", "buckets", "gram", *CLASSES, "word"]
 
-    parts = words.mapInPandas(run, "gram long, " + ", ".join(f"{c} long" for c in CLASSES))
-    return parts.groupBy("gram").agg(*[F.sum(c).alias(c) for c in CLASSES])
+    def row(chunk: int, bucket: int, gram, counts, word) -> pd.DataFrame:
+        return pd.DataFrame([[chunk, bucket, buckets, gram, *counts, word]], columns=names)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        chunk = TaskContext.get().partitionId() << 32
+        for part in chunks(batches):
+            gram, edge, place, which = dealt(part["word"], buckets)
+            counts = [np.bincount(place, part[c].to_numpy(dtype=np.float64)[which], len(gram)).astype(np.int64) for c in CLASSES]
+            yield row(chunk, -1, None, [None] * len(CLASSES), part["word"].tolist())
+            for k in np.flatnonzero(np.diff(edge)):
+                own = slice(edge[k], edge[k + 1])
+                yield row(chunk, int(k), packed(gram[own]), [packed(c[own]) for c in counts], None)
+            chunk += 1
+
+    return words.select("word", *CLASSES).mapInPandas(
+        run, "chunk long, bucket int, buckets int, gram binary, toxic binary, ordinary binary, word array<binary>")
+
+
+def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of ``batches`` together until their words have ``CHUNK`` n-grams; a longer word is a chunk of its own."""
+    held, size = [], 0
+    for batch in batches:
+        length = np.fromiter(map(len, batch["word"]), np.int64, len(batch)) + 1
+        start = 0
+        for k, n in enumerate(length.tolist()):
+            if size and size + n > CHUNK:
+                yield pd.concat([*held, batch[start:k]], ignore_index=True)
+                held, size, start = [], 0, k
+            size += n
+        held.append(batch[start:])
+    if size:
+        yield pd.concat(held, ignore_index=True)
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """``gram, toxic, ordinary, every`` from ``text, y``."""
+    """``vocabulary_grams`` of the words of ``text, y``."""
     return vocabulary_grams(vocabulary(portioned(docs.select(F.lit(0).alias("doc_id"), "text", "y"))))
 
 
-def discounts(counts: DataFrame, column: str) -> tuple[float, float, float]:
+def met(rows: pa.Table) -> tuple[list[np.ndarray], np.ndarray, list[np.ndarray]]:
+    """What each row of a bucket asks for, the distinct n-grams of the bucket in order, and their counts."""
+    asked = [unpacked(x, np.int64) for x in rows.column("gram").to_pylist()]
+    gram, place = np.unique(np.concatenate(asked), return_inverse=True)
+    counts = []
+    for c in CLASSES:
+        each = np.concatenate([unpacked(x, np.int64) for x in rows.column(c).to_pylist()])
+        counts.append(np.bincount(place, each, len(gram)).astype(np.int64))
+    return asked, gram, counts
+
+
+def low_bytes(gram: np.ndarray, order: int) -> np.ndarray:
+    return gram & ((1 << 8 * order) - 1)
+
+
+def interpolated(low: np.ndarray, n: np.ndarray, back: np.ndarray) -> np.ndarray:
+    """Kneser-Ney probability of the last byte of ``low`` (in order) from continuation counts and that of the next shorter."""
+    context = low >> 8
+    first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]]) if len(low) else np.zeros(0, np.int64)
+    kinds = np.diff(np.r_[first, len(low)])
+    total = np.repeat(np.add.reduceat(n, first) if len(low) else n, kinds)
+    return (n - 0.75) / total + 0.75 * np.repeat(kinds, kinds) / total * back
+
+
+def statistics(counts: DataFrame) -> tuple[dict[str, tuple[float, float, float]], np.ndarray]:
+    """Discounts by class, and the probability of every two bytes (at most 65,536 rows)."""
+    def run(rows: pa.Table) -> pa.Table:
+        _, gram, each = met(rows)
+        few = [[int((c == k).sum()) for k in (1, 2, 3, 4)] for c in each]
+        low, n = np.unique(low_bytes(np.unique(low_bytes(gram, 3)), 2), return_counts=True)
+        return pa.table({"toxic": [few[0]], "ordinary": [few[1]], "low": [low], "n": [n]},
+                        pa.schema([(k, pa.list_(pa.int64())) for k in ("toxic", "ordinary", "low", "n")]))
+
+    found = stored(counts.filter("bucket >= 0").groupBy("bucket").applyInArrow(
+        run, "toxic array<long>, ordinary array<long>, low array<long>, n array<long>"))
+    seen = found.agg(*[F.sum(F.col(c)[k]) for c in CLASSES for k in range(4)]).first()
+    pairs = found.select(F.explode(F.arrays_zip("low", "n")).alias("x")).groupBy("x.low").agg(F.sum("x.n").alias("n")).collect()
+    low, n = np.array(sorted((r["low"], r["n"]) for r in pairs), np.int64).reshape(-1, 2).T
+    last, kinds = np.unique(low_bytes(low, 1), return_counts=True)
+    one = np.zeros(1 << 8)
+    one[last] = interpolated(last, kinds, np.full(len(last), 1 / 256))
+    two = np.zeros(1 << 16)
+    two[low] = interpolated(low, n, one[low_bytes(low, 1)])
+    return {c: discounts([seen[4 * i + k] or 0 for k in range(4)]) for i, c in enumerate(CLASSES)}, two
+
+
+def discounts(n: list[int]) -> tuple[float, float, float]:
     """Modified Kneser-Ney discounts of counts 1, 2 and more, from how often 1 to 4 occur."""
-    n = counts.agg(*[F.sum((F.col(column) == k).cast("long")) for k in (1, 2, 3, 4)]).first()
-    n1, n2, n3, n4 = (x or 0 for x in n)
+    n1, n2, n3, n4 = n
     if not n1 or not n2:
         return 0.5, 0.5, 0.5
     y = n1 / (n1 + 2 * n2)
@@ -145,65 +254,82 @@ def discounts(counts: DataFrame, column: str) -> tuple[float, float, float]:
     return (bound(1 - 2 * y * n2 / n1, 1), bound(2 - 3 * y * n3 / n2, 2), bound(3 - 4 * y * n4 / max(1, n3), 3))
 
 
-def discount(count, d: tuple[float, float, float]):
-    return F.when(count <= 0, 0.0).when(count == 1, d[0]).when(count == 2, d[1]).otherwise(d[2])
+def backed_off(gram: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of ``ORDER - 1`` bytes in which the ``gram`` of a bucket end, in order, and the probability of
+    their last byte by interpolated Kneser-Ney over continuation counts, shortest first."""
+    seen = {ORDER: gram}
+    for order in range(ORDER - 1, 2, -1):
+        seen[order] = np.unique(low_bytes(seen[order + 1], order))
+    p = None
+    for order in range(3, ORDER):
+        low = seen[order]
+        n = np.bincount(np.searchsorted(low, low_bytes(seen[order + 1], order)), minlength=len(low))
+        back = two[low_bytes(low, 2)] if p is None else p[np.searchsorted(seen[order - 1], low_bytes(low, order - 1))]
+        p = interpolated(low, n, back)
+    return seen[ORDER - 1], p
 
 
 def shared_backoff(counts: DataFrame) -> DataFrame:
-    """``low, p``: probability of the last byte of every n-gram of ``ORDER - 1`` bytes that occurs, by
-    interpolated Kneser-Ney over continuation counts, shortest first."""
-    below, seen = None, {ORDER: counts.select("gram")}
-    for order in range(ORDER - 1, 1, -1):
-        seen[order] = stored(seen[order + 1].select(F.col("gram").bitwiseAND((1 << 8 * order) - 1).alias("gram")).distinct())
-    of_context = Window.partitionBy("context")  # at most 256 rows
-    for order in range(1, ORDER):
-        mask = (1 << 8 * order) - 1
-        kinds = seen[order + 1].select(F.col("gram").bitwiseAND(mask).alias("low")).withColumn("context", F.shiftright("low", 8))
-        # Long n-grams are dealt once; there are few short ones, but many to a context.
-        kinds = (kinds if order < 3 else kinds.repartition("context")).groupBy("context", "low").agg(F.count(F.lit(1)).alias("n"))
-        joined = kinds.withColumns({"total": F.sum("n").over(of_context), "kinds": F.count(F.lit(1)).over(of_context)})
-        back = F.lit(1 / 256)
-        if below is not None:
-            joined = joined.withColumn("shorter", F.col("low").bitwiseAND(mask >> 8)).join(
-                below.select(F.col("low").alias("shorter"), F.col("p").alias("back")), "shorter")
-            back = F.col("back")
-        below = joined.select("low", ((F.col("n") - 0.75) / F.col("total") + 0.75 * F.col("kinds") / F.col("total") * back).alias("p"))
-    return below
-
-
-def ratios(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``gram, ratio``: log P(last byte | toxic) / P(.. | ordinary) of n-grams that either class has seen;
-    ``context, fallback``: the same where only the context has been seen."""
-    known = counts.filter("toxic + ordinary > 0").withColumn("context", F.shiftright("gram", 8)) \
-        .withColumn("low", F.col("gram").bitwiseAND((1 << 8 * (ORDER - 1)) - 1))
-    given = {c: discounts(counts, c) for c in ("toxic", "ordinary")}
-    contexts = stored(known.groupBy("context").agg(
-        *[F.sum(c).alias(f"{c}_total") for c in given], *[F.sum(discount(F.col(c), d)).alias(f"{c}_spare") for c, d in given.items()]))
-    rest = {c: F.when(F.col(f"{c}_total") > 0, F.col(f"{c}_spare") / F.col(f"{c}_total")).otherwise(1.0) for c in given}
-    joined = known.join(shared_backoff(counts), "low").join(contexts, "context")
-    p = {c: F.when(F.col(f"{c}_total") > 0, (F.col(c) - discount(F.col(c), d)) / F.col(f"{c}_total")).otherwise(0.0) + rest[c] * F.col("p")
-         for c, d in given.items()}
-    ratio = F.log(p["toxic"] / p["ordinary"])
-    fallback = F.log(F.greatest(rest["toxic"], F.lit(1e-4)) / F.greatest(rest["ordinary"], F.lit(1e-4)))
-    return joined.select("gram", ratio.alias("ratio")), contexts.select("context", fallback.alias("fallback"))
+    """``low, p``: probability of the last byte of every n-gram of ``ORDER - 1`` bytes that occurs."""
+    _, two = statistics(counts)
+
+    def run(rows: pa.Table) -> pa.Table:
+        low, p = backed_off(met(rows)[1], two)
+        return pa.table({"low": low, "p": p})
+
+    return counts.filter("bucket >= 0").groupBy("bucket").applyInArrow(run, "low long, p double")
+
+
+def gram_ratios(gram: np.ndarray, counts: list[np.ndarray], given: dict[str, tuple[float, float, float]], two: np.ndarray) -> np.ndarray:
+    """log P(last byte | toxic) / P(.. | ordinary) of the ``gram`` of a bucket, as whole multiples of 1 / ``EXACT``:
+    of those that either class has seen; that of the spare mass where only the context has been seen; else 0."""
+    context = gram >> 8
+    first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
+    kinds = np.diff(np.r_[first, len(gram)])
+    low, shorter = backed_off(gram, two)
+    back = shorter[np.searchsorted(low, low_bytes(gram, ORDER - 1))]
+    p, rest, total = [], [], []
+    for count, d in zip(counts, given.values()):
+        off = np.where(count <= 0, 0.0, np.where(count == 1, d[0], np.where(count == 2, d[1], d[2])))
+        sum_ = np.repeat(np.add.reduceat(count, first), kinds)
+        spare = np.repeat(np.add.reduceat(off, first), kinds)
+        some = np.maximum(sum_, 1)
+        rest.append(np.where(sum_ > 0, spare / some, 1.0))
+        p.append(np.where(sum_ > 0, (count - off) / some, 0.0) + rest[-1] * back)
+        total.append(sum_)
+    fallback = np.log(np.maximum(rest[0], 1e-4) / np.maximum(rest[1], 1e-4))
+    ratio = np.where(counts[0] + counts[1] > 0, np.log(p[0] / p[1]), np.where(total[0] + total[1] > 0, fallback, 0.0))
+    return np.rint(ratio * EXACT).astype(np.int32)
 
 
 def word_ratios(words: DataFrame, counts: DataFrame) -> DataFrame:
-    """``word, ratio``: summed log ratios of the n-grams of every word where they are not 0."""
-    grams, contexts = ratios(counts)
-    known = counts.select("gram", F.shiftright("gram", 8).alias("context")).join(contexts, "context").join(grams, "gram", "left")
-    known = stored(known.select("gram", (F.round(F.coalesce("ratio", "fallback") * EXACT) / EXACT).alias("ratio")).filter("ratio <> 0"))
-    filter_, bits = bloom.build(known.select("gram"), known.count(), repeated_only=False)
-    sent = words.sparkSession.sparkContext.broadcast(filter_)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            gram, which = spelled(batch["word"])
-            may = np.flatnonzero(bloom.holds(sent.value, bloom.positions(gram, bits)))
-            yield pd.DataFrame({"word": batch["word"].to_numpy()[which[may]], "gram": gram[may]})
-
-    spelt = words.select("word").mapInPandas(run, "word binary, gram long")
-    return spelt.join(known, "gram").groupBy("word").agg(F.sum("ratio").alias("ratio"))
+    """``word, ratio``: summed log ratios of the n-grams of every word of ``vocabulary`` where they are not all 0."""
+    given, two = statistics(counts)
+
+    def answer(rows: pa.Table) -> pa.Table:
+        asked, gram, each = met(rows)
+        ratio = gram_ratios(gram, each, given, two)
+        told = [packed(ratio[np.searchsorted(gram, own)]) for own in asked]
+        return pa.table({"chunk": rows.column("chunk"), "bucket": rows.column("bucket"), "buckets": rows.column("buckets"),
+                         "ratio": pa.array(told, pa.binary())})
+
+    def add_up(rows: pa.Table) -> pa.Table:
+        bucket = rows.column("bucket").to_numpy()
+        words = pd.Series(rows.column("word")[int(np.argmin(bucket))].as_py())
+        gram, edge, place, which = dealt(words, rows.column("buckets")[0].as_py())
+        ratio = np.zeros(len(gram), np.int32)
+        for k, told in zip(bucket.tolist(), rows.column("ratio").to_pylist()):
+            if k >= 0:
+                ratio[edge[k]:edge[k + 1]] = unpacked(told, np.int32)
+        told = ratio[place]
+        some = np.flatnonzero(np.bincount(which, told != 0, len(words)))
+        sums = np.bincount(which, told, len(words))[some] / EXACT
+        return pa.table({"word": pa.array(words.to_numpy()[some], pa.binary()), "ratio": sums})
+
+    answers = counts.filter("bucket >= 0").groupBy("bucket").applyInArrow(answer, "chunk long, bucket int, buckets int, ratio binary")
+    own = counts.filter("bucket < 0").select("chunk", "bucket", "buckets", F.lit(None).cast("binary").alias("ratio"), "word")
+    both = own.unionByName(answers.withColumn("word", F.lit(None).cast("array<binary>")))
+    return both.groupBy("chunk").applyInArrow(add_up, "word binary, ratio double")
 
 
 def evidence(llr: np.ndarray, count: np.ndarray) -> np.ndarray:

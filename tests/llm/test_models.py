@@ -120,3 +120,64 @@ def test_all_usable_labels_are_counted_and_no_table_is_cut(spark, documents, mon
     words = lambda y: sum(len(t.replace("!!", "").split()) for d, t, _ in docs if ids.get(d) == y)
     assert tuple(seen["w"].agg(F.sum("toxic"), F.sum("ordinary")).first()) == (words(1), words(0))
     assert seen["v"].count() > 200
+
+
+def naive_ratios(words):
+    """{word: summed log ratio} by Kneser-Ney over dictionaries, from {word: (toxic, ordinary)}."""
+    from collections import Counter, defaultdict
+    from math import log
+    order = toxicity.ORDER
+
+    def grams(word):
+        padded = [0] * order + [1] + list(word) + [1]
+        return [tuple(padded[i - order + 1:i + 1]) for i in range(order + 1, len(padded))]
+
+    counts = {c: Counter() for c in (0, 1)}
+    for word, n in words.items():
+        for g in grams(word):
+            for c in (0, 1):
+                counts[c][g] += n[c]
+    seen = {order: set(counts[0])}
+    for o in range(order - 1, 0, -1):
+        seen[o] = {g[1:] for g in seen[o + 1]}
+    kinds = {o: Counter(g[1:] for g in seen[o + 1]) for o in range(1, order)}
+
+    def below(g):
+        if not g:
+            return 1 / 256
+        rest = [n for other, n in kinds[len(g)].items() if other[:-1] == g[:-1]]
+        return (kinds[len(g)][g] - 0.75) / sum(rest) + 0.75 * len(rest) / sum(rest) * below(g[1:])
+
+    off, total, spare = {}, [defaultdict(int), defaultdict(int)], [defaultdict(float), defaultdict(float)]
+    for c in (0, 1):
+        d = toxicity.discounts([sum(n == k for n in counts[c].values()) for k in (1, 2, 3, 4)])
+        off[c] = lambda n, d=d: 0.0 if n <= 0 else d[min(n, 3) - 1]
+        for g, n in counts[c].items():
+            total[c][g[:-1]] += n
+            spare[c][g[:-1]] += off[c](n)
+
+    def ratio(g):
+        sums = [total[c][g[:-1]] for c in (0, 1)]
+        if not any(sums):
+            return 0.0
+        rest = [spare[c][g[:-1]] / sums[c] if sums[c] else 1.0 for c in (0, 1)]
+        if not counts[0][g] + counts[1][g]:
+            return log(max(rest[0], 1e-4) / max(rest[1], 1e-4))
+        p = [((counts[c][g] - off[c](counts[c][g])) / sums[c] if sums[c] else 0.0) + rest[c] * below(g[1:]) for c in (0, 1)]
+        return log(p[0] / p[1])
+
+    return {w: sum(ratio(g) for g in grams(w)) for w in words}
+
+
+@pytest.mark.parametrize("chunk", [1 << 20, 300])
+def test_log_ratios_are_those_of_a_naive_model(spark, monkeypatch, chunk):
+    rng = random.Random(8)
+    words = {"".join(rng.choice("abcé") for _ in range(rng.randint(1, 9))).encode(): (rng.choice([0, 0, 1, 4]), rng.choice([0, 0, 1, 2, 3])) for _ in range(250)}
+    words |= {b"a" * 700: (1, 0), b"": (0, 2)}
+    monkeypatch.setattr(toxicity, "CHUNK", chunk)
+    rows = spark.createDataFrame([(bytearray(w), *n) for w, n in words.items()], "word binary, toxic long, ordinary long").repartition(3)
+    counts = toxicity.stored(toxicity.vocabulary_grams(rows))
+    got = {bytes(r.word): r.ratio for r in toxicity.word_ratios(rows, counts).collect()}
+    want = naive_ratios(words)
+    assert len(got) > 200 and set(got) >= {w for w, r in want.items() if abs(r) > 1e-3}
+    assert all(got.get(w, 0.0) == pytest.approx(r, abs=1e-3) for w, r in want.items())
