@@ -11,8 +11,8 @@ its distinct n-grams, packed, to buckets chosen by the two bytes before the last
 more with one context, and all shorter n-grams they fall back to, are then in one bucket, so that counts,
 continuation counts of every order and log ratios need no further shuffle; those of 1 and 2 bytes are a
 table of at most 65,536 rows. A bucket answers every chunk with the log ratios of the n-grams it sent, in their
-order; a chunk sums them per word, and each portion gets those of its own words by a join. No table of
-n-grams or words passes through the driver, and none is cut.
+order; a chunk sums them per word. Portions ask for the sums of their words in the same way, by ranges of the
+words' hash. No table of n-grams or words passes through the driver, and none is cut.
 
 A document's evidence is compared per length: the mean log ratio of its words, and the log ratios of its
 most toxic words and passages. A logistic regression, fitted on labelled documents whose counts the
@@ -99,8 +99,8 @@ def portioned(docs: DataFrame) -> DataFrame:
                 counts = [np.bincount(number[chosen], minlength=n) for chosen in (label == 1, label == 0)]
                 ids = batch.column("doc_id").slice(part.start, part.stop - part.start)
                 one = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (ids, word, *[pa.array(c, pa.int64()) for c in counts])]
-                packed = [pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (np.diff(words.first), number)]
-                yield pa.RecordBatch.from_arrays([pa.array([portion], pa.int64()), one[0], *packed, *one[1:]],
+                order = [pa.array([packed(x.astype(np.int32))], pa.binary()) for x in (np.diff(words.first), number)]
+                yield pa.RecordBatch.from_arrays([pa.array([portion], pa.int64()), one[0], *order, *one[1:]],
                                                  ["portion", "ids", "lengths", "number", "word", *CLASSES])
                 portion += 1
 
@@ -360,25 +360,73 @@ def evidence(llr: np.ndarray, count: np.ndarray) -> np.ndarray:
     return out
 
 
+def hashed(words: pa.Array) -> np.ndarray:
+    """The hashes by which a portion tells its words apart."""
+    words = words.cast(pa.large_binary())
+    edge = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    body = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    return textbytes.hashes(body, edge[:-1], edge[1:])
+
+
+def by_range(hash_: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
+    """The ranges of hashes, in order, that have the same upper ``bits``."""
+    bucket = (hash_ >> np.uint64(64 - bits)).astype(np.int64)
+    edge = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(hash_) else np.zeros(1, np.int64)
+    for k, stop in zip(edge[:-1].tolist(), edge[1:].tolist()):
+        yield int(bucket[k]), slice(k, stop)
+
+
 def measured(portions: DataFrame, values: DataFrame) -> DataFrame:
     """``doc_id, x``: evidence of every document of ``portions`` by the ``word, ratio`` of ``values``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits = max(3, int((portions.agg(F.sum(F.size("word"))).first()[0] or 0) // CHUNK).bit_length())
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                ids, count, number = (batch.column(c)[k] for c in ("ids", "lengths", "number"))
-                count, number = np.frombuffer(count.as_py(), np.int32).astype(np.int64), np.frombuffer(number.as_py(), np.int32)
-                llr = np.zeros(number.max() + 1 if len(number) else 0)
-                found = batch.column("known")[k]
-                if found.is_valid:
-                    llr[found.values.field("at").to_numpy()] = found.values.field("ratio").to_numpy()
-                x = evidence(llr[number], count)
-                edge = pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32())
-                yield pa.RecordBatch.from_arrays([ids.values, pa.ListArray.from_arrays(edge, pa.array(x.ravel()))], ["doc_id", "x"])
-
-    met = portions.select("portion", F.posexplode("word").alias("at", "word")).join(values, "word")
-    known = met.groupBy("portion").agg(F.collect_list(F.struct("at", "ratio")).alias("known"))
+                hash_ = hashed(batch.column("word")[k].values)
+                rows = [(bucket, packed(hash_[own])) for bucket, own in by_range(hash_, bits)]
+                yield pa.RecordBatch.from_pydict({"portion": [batch.column("portion")[k].as_py()] * len(rows), "bucket": [r[0] for r in rows],
+                                                  "hash": [r[1] for r in rows]}, pa.schema([("portion", pa.int64()), ("bucket", pa.int64()), ("hash", pa.binary())]))
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hash_ = hashed(batch.column("word"))
+            order = np.argsort(hash_)
+            hash_, ratio = hash_[order], np.rint(batch.column("ratio").to_numpy()[order] * EXACT).astype(np.int64)
+            rows = [(bucket, packed(hash_[own]), packed(ratio[own])) for bucket, own in by_range(hash_, bits)]
+            yield pa.RecordBatch.from_pydict(dict(zip(("bucket", "hash", "ratio"), zip(*rows))) if rows else {"bucket": [], "hash": [], "ratio": []},
+                                             pa.schema([("bucket", pa.int64()), ("hash", pa.binary()), ("ratio", pa.binary())]))
+
+    def answer(told: pa.Table, asked: pa.Table) -> pa.Table:
+        known = np.concatenate([np.zeros(0, np.uint64), *[unpacked(x, np.uint64) for x in told.column("hash").to_pylist()]])
+        ratio = np.concatenate([np.zeros(0, np.int64), *[unpacked(x, np.int64) for x in told.column("ratio").to_pylist()]])
+        order = np.argsort(known)
+        known, ratio = np.r_[known[order], np.uint64(0)], np.r_[ratio[order], 0]
+        found = []
+        for x in asked.column("hash").to_pylist():
+            hash_ = unpacked(x, np.uint64)
+            at = np.searchsorted(known[:-1], hash_)
+            found.append(packed(np.where((known[at] == hash_) & (at < len(known) - 1), ratio[at], 0)))
+        return pa.table({"portion": asked.column("portion"), "bucket": asked.column("bucket"), "ratio": pa.array(found, pa.binary())})
+
+    def weigh(rows: pa.Table) -> pa.Table:
+        bucket = rows.column("bucket").to_numpy()
+        order = np.argsort(bucket)
+        own = int(order[0])  # bucket -1: the portion itself
+        count, number = (unpacked(rows.column(c)[own].as_py(), np.int32) for c in ("lengths", "number"))
+        llr = np.concatenate([np.zeros(0), *[unpacked(rows.column("ratio")[int(k)].as_py(), np.int64) / EXACT for k in order[1:]]])
+        x = evidence(llr[number], count.astype(np.int64))
+        edge = pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32())
+        return pa.table({"doc_id": rows.column("ids")[own].values, "x": pa.ListArray.from_arrays(edge, pa.array(x.ravel()))})
+
+    asks = portions.select("portion", "word").mapInArrow(ask, "portion long, bucket long, hash binary")
+    tells = values.select("word", "ratio").mapInArrow(tell, "bucket long, hash binary, ratio binary")
+    answers = tells.groupBy("bucket").cogroup(asks.groupBy("bucket")).applyInArrow(answer, "portion long, bucket long, ratio binary")
+    own = portions.select("portion", F.lit(-1).cast("long").alias("bucket"), "ids", "lengths", "number")
     kind = portions.schema["ids"].dataType.elementType.simpleString()
-    return portions.select("portion", "ids", "lengths", "number").join(known, "portion", "left").mapInArrow(run, f"doc_id {kind}, x array<double>")
+    return own.unionByName(answers, allowMissingColumns=True).groupBy("portion").applyInArrow(weigh, f"doc_id {kind}, x array<double>")
 
 
 def stretched(x: np.ndarray) -> np.ndarray:
