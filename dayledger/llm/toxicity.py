@@ -51,7 +51,7 @@ CALIBRATION = 5
 #: Words of a passage.
 PASSAGE = 8
 #: Characters of a portion; log ratios are multiples of 1 / ``EXACT``, so their sums do not depend on the order.
-PORTION = 1 << 20
+PORTION = 1 << 21
 EXACT = float(1 << 20)
 CLASSES = ("toxic", "ordinary")
 #: N-grams that a chunk of the distinct words sends, repeats included, and that a bucket gets on average, at most.
@@ -232,7 +232,7 @@ def statistics(counts: DataFrame) -> tuple[dict[str, tuple[float, float, float]]
                         pa.schema([(k, pa.list_(pa.int64())) for k in ("toxic", "ordinary", "low", "n")]))
 
     found = stored(counts.filter("bucket >= 0").groupBy("bucket").applyInArrow(
-        run, "toxic array<long>, ordinary array<long>, low array<long>, n array<long>"))
+        run, "toxic array<long>, ordinary array<long>, low array<long>, n array<long>"), tidy=True)
     seen = found.agg(*[F.sum(F.col(c)[k]) for c in CLASSES for k in range(4)]).first()
     pairs = found.select(F.explode(F.arrays_zip("low", "n")).alias("x")).groupBy("x.low").agg(F.sum("x.n").alias("n")).collect()
     low, n = np.array(sorted((r["low"], r["n"]) for r in pairs), np.int64).reshape(-1, 2).T
@@ -456,9 +456,10 @@ def train(docs: DataFrame, labels: DataFrame, parts: int, part: int, sample: int
     kinds = known.groupBy("toxic").count().filter("toxic IS NOT NULL").collect()
     if len(kinds) < 2:
         return float(kinds[0]["toxic"]) if kinds else 0.0
-    portions = stored(portioned(marked(docs.select("doc_id", "text"), stored(labelled(known.filter(~fold))))))
-    words = stored(vocabulary(portions))
-    found = stored(measured(portions, stored(word_ratios(words, stored(vocabulary_grams(words))))))
+    portions = stored(portioned(marked(docs.select("doc_id", "text"), stored(labelled(known.filter(~fold)), tidy=True))), tidy=True)
+    words = stored(vocabulary(portions), tidy=True)
+    values = stored(word_ratios(words, stored(vocabulary_grams(words))), tidy=True)
+    found = stored(measured(portions, values), tidy=True)
     rows = sampled(found.select("doc_id", F.col("x").alias("text")), known.filter(fold), "toxic", F.lit(True), sample // CALIBRATION).toArrow().to_pandas()
     if rows["y"].nunique() < 2:
         return found, np.r_[-2.0, 0.0, 1.0, np.zeros(8)]
