@@ -423,7 +423,7 @@ def measured(portions: DataFrame, values: DataFrame) -> DataFrame:
 
     asks = portions.select("portion", "word").mapInArrow(ask, "portion long, bucket long, hash binary")
     tells = values.select("word", "ratio").mapInArrow(tell, "bucket long, hash binary, ratio binary")
-    answers = tells.groupBy("bucket").cogroup(asks.groupBy("bucket")).applyInArrow(answer, "portion long, bucket long, ratio binary")
+    answers = stored(tells.groupBy("bucket").cogroup(asks.groupBy("bucket")).applyInArrow(answer, "portion long, bucket long, ratio binary"), tidy=True)
     own = portions.select("portion", F.lit(-1).cast("long").alias("bucket"), "ids", "lengths", "number")
     kind = portions.schema["ids"].dataType.elementType.simpleString()
     return own.unionByName(answers, allowMissingColumns=True).groupBy("portion").applyInArrow(weigh, f"doc_id {kind}, x array<double>")
@@ -458,7 +458,7 @@ def train(docs: DataFrame, labels: DataFrame, parts: int, part: int, sample: int
         return float(kinds[0]["toxic"]) if kinds else 0.0
     portions = stored(portioned(marked(docs.select("doc_id", "text"), stored(labelled(known.filter(~fold)), tidy=True))), tidy=True)
     words = stored(vocabulary(portions), tidy=True)
-    values = stored(word_ratios(words, stored(vocabulary_grams(words))), tidy=True)
+    values = stored(word_ratios(words, stored(vocabulary_grams(words), tidy=True)), tidy=True)
     found = stored(measured(portions, values), tidy=True)
     rows = sampled(found.select("doc_id", F.col("x").alias("text")), known.filter(fold), "toxic", F.lit(True), sample // CALIBRATION).toArrow().to_pandas()
     if rows["y"].nunique() < 2:
