@@ -52,6 +52,24 @@ def test_distrust_flows_back_and_trust_forward(spark, tmp_path):
     assert want == {i: r.verdict for i, r in got.items()}
 
 
+def test_a_hub_elsewhere_changes_no_verdict_and_chains_have_no_end(spark, tmp_path):
+    rows = [(1, "http://bad.net/x", None), (2, "http://one.com/", '<a href="//bad.net/y">t</a>')]
+    rows += [(10 + i, f"http://far{i}.com/", link(f"far{i - 1}.com" if i else "one.com")) for i in range(12)]
+    hub = [(50, "http://hub.com/", link(*[f"worse{i}.net" for i in range(80)]))] + [(100 + i, f"http://worse{i}.net/", None) for i in range(80)]
+    seen = []
+    for n, some in enumerate((rows, rows + hub)):
+        df = pages(spark, some, extra=False)
+        got = {r.page_id: r for r in url_filter.judge(df).collect()}
+        seen.append({i: got[i].verdict for i in (1, 2, *range(10, 22))})
+        assert got[21].distrust == pytest.approx(0.85 ** 13, abs=url_filter.LEFT)
+        import duckdb
+        df.coalesce(1).write.parquet(str(tmp_path / f"p{n}"))
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/p{n}/*.parquet'")
+        assert {r[0]: r[4] for r in con.sql(url_filter.sql()).fetchall()} == {i: r.verdict for i, r in got.items()}
+    assert seen[0] == seen[1] == {i: "block" for i in seen[0]}
+
+
 def test_propagation_is_the_power_iteration(spark):
     rng = np.random.default_rng(2)
     m = (rng.random((8, 8)) < 0.3) * rng.random((8, 8))
