@@ -28,8 +28,10 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     shuffled = marked.filter("maybe").select("doc_id", "n", "text_sha256")
     # Counted on both sides of the shuffle: a text that many rows share arrives as one row per task.
-    groups = shuffled.groupBy("text_sha256").agg(
-        F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "n")).alias("best"))
+    # Written, so that the join below has a plain scan on either side: adaptive execution splits a hot text's
+    # rows there, which it may not do beside the aggregate.
+    groups = stored(shuffled.groupBy("text_sha256").agg(
+        F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "n")).alias("best")))
     met = shuffled.join(groups, "text_sha256").select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("n") == F.col("best.n")).alias("kept"), "text_sha256")
     return alone.unionByName(met)

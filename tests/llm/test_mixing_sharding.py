@@ -133,3 +133,49 @@ def test_full_filter_only_lets_more_through(documents, monkeypatch):
     rows = [(i, f"{i % 900}") for i in range(1000)]
     got = exact_dedup.exact_groups(documents(rows)).collect()
     assert sum(r.kept for r in got) == 900 and sorted(r.group_size for r in got) == [1] * 800 + [2] * 200
+
+
+def skewed(spark):
+    """Settings under which adaptive execution splits partitions of a few kilobytes and broadcasts nothing by itself."""
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "24"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    return lambda: [spark.conf.unset(k) if v is None else spark.conf.set(k, v) for k, v in before.items()]
+
+
+def test_a_text_of_half_of_all_rows_is_split_in_the_join(spark):
+    from pyspark.sql import functions as F
+    docs = spark.range(20_000).repartition(8).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "one text").otherwise(F.concat(F.lit("t"), F.floor(F.col("id") / 4))).alias("text"))
+    undo = skewed(spark)
+    try:
+        out = exact_dedup.exact_groups(docs)
+        got = out.groupBy("keep_id").count().collect()
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        undo()
+    assert len(rows) == 20_000 and max(r["count"] for r in got) == 10_000
+    assert sum(r.kept for r in rows) == 1 + 5_000
+    assert "skew=true" in plan
+
+
+def test_a_range_of_one_text_or_one_row_is_split_before_any_shuffle(documents):
+    text = "the same long text " * 20
+    rows = [(i, f"text {i} " * (i % 40 + 1)) for i in range(1500)] + [(9000 + i, text) for i in range(700)] + [(5, text)] * 1400
+    out = sharding.shard(documents(rows))
+    got = out.collect()
+    parts = collections.Counter((r.range, r.sub, r.copy) for r in got if r.text_crc32 == zlib.crc32(text.encode()))
+    whole = sum(r.size for r in got)
+    limit = 2 * whole / (24 * sharding.RANGES_PER_SHARD)
+    # Twice as many parts as would do: none holds more than twice the limit, chance included.
+    assert max(parts.values()) * (len(text) + 8) <= 2 * limit + 8 * len(text)
+    size = collections.Counter()
+    for r in got:
+        size[r.shard] += r.size
+    assert all(abs(v - whole / 24) < 0.1 * whole / 24 for v in size.values())
+    same = [r for r in got if r.doc_id == 5 and r.size > 300]
+    assert len(same) >= 1400 and len({(r.shard, r.slot) for r in same}) == len(same)
