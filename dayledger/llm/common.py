@@ -49,6 +49,16 @@ def stored(df: DataFrame, partitions: int | None = None, tidy: bool = False) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes the folders of ``stored`` tables that no later step reads: what was made of them is stored itself."""
+    for df in tables:
+        spark, folders = df.sparkSession, {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+        for folder in folders:
+            if folder.rsplit("/", 1)[-1].startswith("llm-"):
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def lower_ascii(text: Column) -> Column:
     """``text`` with A-Z lowered and nothing else changed. Pure ASCII takes the fast built-in."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.llm import bloom, textbytes
-from dayledger.llm.common import stored
+from dayledger.llm.common import discard, stored
 from dayledger.llm.quality import held_out, sampled
 
 ORDER = 7
@@ -302,8 +302,8 @@ def gram_ratios(gram: np.ndarray, counts: list[np.ndarray], given: dict[str, tup
     return np.rint(ratio * EXACT).astype(np.int32)
 
 
-def word_ratios(words: DataFrame, counts: DataFrame) -> DataFrame:
-    """``word, ratio``: summed log ratios of the n-grams of every word of ``vocabulary`` where they are not all 0."""
+def word_ratios(counts: DataFrame) -> DataFrame:
+    """``word, ratio``: summed log ratios of the n-grams of every word of ``vocabulary_grams`` where they are not all 0."""
     given, two = statistics(counts)
 
     def answer(rows: pa.Table) -> pa.Table:
@@ -458,8 +458,12 @@ def train(docs: DataFrame, labels: DataFrame, parts: int, part: int, sample: int
         return float(kinds[0]["toxic"]) if kinds else 0.0
     portions = stored(portioned(marked(docs.select("doc_id", "text"), stored(labelled(known.filter(~fold)), tidy=True))), tidy=True)
     words = stored(vocabulary(portions), tidy=True)
-    values = stored(word_ratios(words, stored(vocabulary_grams(words), tidy=True)), tidy=True)
+    grams = stored(vocabulary_grams(words), tidy=True)
+    discard(words)
+    values = stored(word_ratios(grams), tidy=True)
+    discard(grams)
     found = stored(measured(portions, values), tidy=True)
+    discard(portions, values)
     rows = sampled(found.select("doc_id", F.col("x").alias("text")), known.filter(fold), "toxic", F.lit(True), sample // CALIBRATION).toArrow().to_pandas()
     if rows["y"].nunique() < 2:
         return found, np.r_[-2.0, 0.0, 1.0, np.zeros(8)]
