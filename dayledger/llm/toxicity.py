@@ -29,7 +29,6 @@ Id, language, source and label never reach a score; other columns are not read.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -84,7 +83,7 @@ def distinct_words(texts: list[str | None]) -> tuple[textbytes.Words, np.ndarray
 
 def portioned(docs: DataFrame) -> DataFrame:
     """One row per portion of ``doc_id, text, y`` (y null: not labelled, or kept for calibration): its ids, the
-    words of each text, the number of every word in ``word``, and how often each of these occurs by class."""
+    words of each text, the number of every word, and of each in ``word`` how often it occurs, also by class."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         portion = TaskContext.get().partitionId() << 32
         for batch in batches:
@@ -99,14 +98,18 @@ def portioned(docs: DataFrame) -> DataFrame:
                 counts = [np.bincount(number[chosen], minlength=n) for chosen in (label == 1, label == 0)]
                 ids = batch.column("doc_id").slice(part.start, part.stop - part.start)
                 one = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (ids, word, *[pa.array(c, pa.int64()) for c in counts])]
-                order = [pa.array([packed(x.astype(np.int32))], pa.binary()) for x in (np.diff(words.first), number)]
+                often = np.bincount(number, minlength=n)
+                # Frequent words get small numbers, which pack well; ``often`` tells which word a number means.
+                rank = np.empty(n, np.int64)
+                rank[np.argsort(-often, kind="stable")] = np.arange(n)
+                order = [pa.array([packed(x.astype(np.int32))], pa.binary()) for x in (np.diff(words.first), rank[number], often)]
                 yield pa.RecordBatch.from_arrays([pa.array([portion], pa.int64()), one[0], *order, *one[1:]],
-                                                 ["portion", "ids", "lengths", "number", "word", *CLASSES])
+                                                 ["portion", "ids", "lengths", "number", "often", "word", *CLASSES])
                 portion += 1
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text", "y").mapInArrow(
-        run, f"portion long, ids array<{kind}>, lengths binary, number binary, word array<binary>, " + ", ".join(f"{c} array<long>" for c in CLASSES))
+        run, f"portion long, ids array<{kind}>, lengths binary, number binary, often binary, word array<binary>, " + ", ".join(f"{c} array<long>" for c in CLASSES))
 
 
 def vocabulary(portions: DataFrame) -> DataFrame:
@@ -126,14 +129,27 @@ def spelled(words: pd.Series) -> tuple[np.ndarray, np.ndarray]:
 
 def packed(x: np.ndarray) -> bytes:
     """Integers with their bytes of one rank together, compressed."""
-    return zlib.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes(), 1)
+    planes = np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes()
+    return len(planes).to_bytes(8, "little") + pa.Codec("zstd", 9).compress(planes, asbytes=True)
 
 
 def unpacked(data: bytes, kind: type) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    size = int.from_bytes(data[:8], "little")
+    if not size:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data[8:], size), np.uint8).reshape(np.dtype(kind).itemsize, -1)
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
+def folded(x: np.ndarray) -> np.ndarray:
+    """Whole numbers with the sign as lowest bit, so that small ones have no high bytes."""
+    return (x << 1) ^ (x >> 63)
+
+
+def unfolded(x: np.ndarray) -> np.ndarray:
+    return (x >> 1) ^ -(x & 1)
+
+
 def bucket_of(gram: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket of n-grams by the two bytes before the last."""
     mixed = textbytes.mix(((gram >> 8) & 0xFFFF).astype(np.uint64))
@@ -379,7 +395,8 @@ def by_range(hash_: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
 
 
 def measured(portions: DataFrame, values: DataFrame) -> DataFrame:
-    """``doc_id, x``: evidence of every document of ``portions`` by the ``word, ratio`` of ``values``."""
+    """``doc_id, x``, stored: evidence of every document of ``portions`` by the ``word, ratio`` of ``values``. Where
+    these two are stored tables themselves, they are discarded once they are used up."""
     bits = max(3, int((portions.agg(F.sum(F.size("word"))).first()[0] or 0) // CHUNK).bit_length())
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -408,15 +425,16 @@ def measured(portions: DataFrame, values: DataFrame) -> DataFrame:
         for x in asked.column("hash").to_pylist():
             hash_ = unpacked(x, np.uint64)
             at = np.searchsorted(known[:-1], hash_)
-            found.append(packed(np.where((known[at] == hash_) & (at < len(known) - 1), ratio[at], 0)))
+            found.append(packed(folded(np.where((known[at] == hash_) & (at < len(known) - 1), ratio[at], 0))))
         return pa.table({"portion": asked.column("portion"), "bucket": asked.column("bucket"), "ratio": pa.array(found, pa.binary())})
 
     def weigh(rows: pa.Table) -> pa.Table:
         bucket = rows.column("bucket").to_numpy()
         order = np.argsort(bucket)
         own = int(order[0])  # bucket -1: the portion itself
-        count, number = (unpacked(rows.column(c)[own].as_py(), np.int32) for c in ("lengths", "number"))
-        llr = np.concatenate([np.zeros(0), *[unpacked(rows.column("ratio")[int(k)].as_py(), np.int64) / EXACT for k in order[1:]]])
+        count, number, often = (unpacked(rows.column(c)[own].as_py(), np.int32) for c in ("lengths", "number", "often"))
+        llr = np.concatenate([np.zeros(0), *[unfolded(unpacked(rows.column("ratio")[int(k)].as_py(), np.int64)) / EXACT for k in order[1:]]])
+        llr = llr[np.argsort(-often, kind="stable")]
         x = evidence(llr[number], count.astype(np.int64))
         edge = pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32())
         return pa.table({"doc_id": rows.column("ids")[own].values, "x": pa.ListArray.from_arrays(edge, pa.array(x.ravel()))})
@@ -424,9 +442,14 @@ def measured(portions: DataFrame, values: DataFrame) -> DataFrame:
     asks = portions.select("portion", "word").mapInArrow(ask, "portion long, bucket long, hash binary")
     tells = values.select("word", "ratio").mapInArrow(tell, "bucket long, hash binary, ratio binary")
     answers = stored(tells.groupBy("bucket").cogroup(asks.groupBy("bucket")).applyInArrow(answer, "portion long, bucket long, ratio binary"), tidy=True)
-    own = portions.select("portion", F.lit(-1).cast("long").alias("bucket"), "ids", "lengths", "number")
     kind = portions.schema["ids"].dataType.elementType.simpleString()
-    return own.unionByName(answers, allowMissingColumns=True).groupBy("portion").applyInArrow(weigh, f"doc_id {kind}, x array<double>")
+    # The answers are stored, so the words of the portions have done their work: only their order is kept.
+    own = stored(portions.select("portion", F.lit(-1).cast("long").alias("bucket"), "ids", "lengths", "number", "often"), tidy=True)
+    discard(portions, values)
+    found = own.unionByName(answers, allowMissingColumns=True).groupBy("portion").applyInArrow(weigh, f"doc_id {kind}, x array<double>")
+    out = stored(found, tidy=True)
+    discard(own, answers)
+    return out
 
 
 def stretched(x: np.ndarray) -> np.ndarray:
@@ -462,8 +485,7 @@ def train(docs: DataFrame, labels: DataFrame, parts: int, part: int, sample: int
     discard(words)
     values = stored(word_ratios(grams), tidy=True)
     discard(grams)
-    found = stored(measured(portions, values), tidy=True)
-    discard(portions, values)
+    found = measured(portions, values)
     rows = sampled(found.select("doc_id", F.col("x").alias("text")), known.filter(fold), "toxic", F.lit(True), sample // CALIBRATION).toArrow().to_pandas()
     if rows["y"].nunique() < 2:
         return found, np.r_[-2.0, 0.0, 1.0, np.zeros(8)]
