@@ -29,8 +29,10 @@ from pyspark.sql import functions as F
 from dayledger.llm import dom
 
 SAMPLE_PAGES, SAMPLE_BLOCKS = 2_000, 40
-#: Logits of the surroundings: by element, by name, outside of a marked article; the bound of the learned part.
-BY_TAG, BY_NAME, OUTSIDE, LEARNED = 6.0, 3.0, 2.5, 2.0
+#: Logits of the surroundings: per unit of ``dom.Block.prior``, outside of a marked article; the bound of the learned part.
+SURROUNDINGS, OUTSIDE, LEARNED = 3.0, 2.5, 2.0
+#: Share of the text from which a marked article speaks in full against what is outside; a teaser says little.
+MOST = 0.5
 #: Smoothness between neighbours: of one parent, and per step of distance in the DOM.
 SIBLINGS, NEIGHBOURS = 1.2, 0.8
 
@@ -77,9 +79,11 @@ def learn(pages: DataFrame, html: str, page_id: str) -> np.ndarray:
 
 def logits(blocks: list[dom.Block], weights: np.ndarray) -> np.ndarray:
     learned = np.clip(features(blocks) @ weights, -LEARNED, LEARNED)
-    unknown = -OUTSIDE if any(b.prior == 2 for b in blocks) else 0.0
+    open_ = sum(len(b.text) for b in blocks if b.prior > -2)
+    inside = sum(len(b.text) for b in blocks if b.prior == 2) / max(1, open_)
     # Elements and names decide where they speak clearly; the learned part decides the rest.
-    return learned + np.array([{-2: -BY_TAG, -1: -BY_NAME, 0: unknown, 1: BY_NAME, 2: BY_TAG}[b.prior] for b in blocks])
+    unknown = -OUTSIDE * min(1.0, inside / MOST)
+    return learned + np.array([SURROUNDINGS * b.prior if b.prior else unknown for b in blocks])
 
 
 def smoothness(blocks: list[dom.Block]) -> list[tuple[int, int, float]]:

@@ -129,3 +129,27 @@ def test_deep_nesting_and_long_pages():
     deep = "<div>" * 3000 + "<article><p>deep</p></article>" + "</div>" * 3000
     assert [b.text for b in dom.blocks(deep)] == ["deep"]
     assert dom.blocks("<p " + 'a="' * 50_000) is not None
+
+
+PROSE = "The river rose in the night, and by morning the lower fields, as always, were under water. "
+TALE = [PROSE + f"Part {k} of the account was written later, by people who had seen it." for k in range(6)]
+PAGE_TEXT = " ".join(TALE)
+
+
+def test_names_are_evidence_not_verdicts():
+    import numpy as np
+    from dayledger.llm import html_extract
+    weights = np.array([-2.0, 0.9, -3.0, 1.0, 1.0, -0.5, 0.0, -0.2])  # long, unlinked, finished sentences
+    tale = "".join(f"<p>{t}</p>" for t in TALE)
+    nav, foot = '<nav><a href="/">Home</a></nav>', "<footer>Contact</footer>"
+    text = lambda page: html_extract.main_text(nav + page + foot, weights)
+    assert text(f'<div class="has-sidebar"><div class="post-content">{tale}</div></div>') == PAGE_TEXT
+    assert text(f'<div class="page-sidebar"><div class="post-content">{tale}</div></div>') == PAGE_TEXT
+    assert text(f'<form id="aspnetForm"><article>{tale}</article></form>') == PAGE_TEXT
+    assert text(f'<article><p>Teaser of it.</p></article><div>{tale}</div>').endswith(PAGE_TEXT)
+    assert text(f'<article>{tale}<h2 id="related-work">Related work</h2>{tale}</article>') == f"{PAGE_TEXT} Related work {PAGE_TEXT}"
+    # What the names are for still goes.
+    remarks = "".join(f'<article class="entry"><p>I do not believe that, {t}</p></article>' for t in TALE * 3)
+    assert text(f'<article>{tale}</article><div id="comments">{remarks}</div>') == PAGE_TEXT
+    assert text(f'<article>{tale}<div class="ad">Buy now.</div></article><div class="sidebar"><p>{PROSE}</p></div>') == PAGE_TEXT
+    assert text(f'<article>{tale}</article><form><p>Your mail address, please.</p></form>') == PAGE_TEXT
