@@ -2,7 +2,8 @@
 
 Kinds: email, phone, card (Luhn and issuer digits hold), ip, iban (check digits hold), ssn, secret (long
 hexadecimal or base-64 values assigned to a name like token or password) and, after a title, the given and
-family names of a person, then every other mention of these names in the document.
+family names of a person, then every other mention of these names in the document. A given name under titles of
+two genders takes the first, under a neutral and a gendered title the gendered one.
 
 A surrogate is drawn by HMAC-SHA256 from the key, the kind and the entity's canonical form, so every
 mention of an entity, in any document and any spelling, gets the same one. It keeps length, separators,
@@ -10,7 +11,8 @@ case, script and kind of every character, the country code of a phone, the issue
 and octet lengths of an address, the top-level domain, and the gender a title tells; check digits hold
 again. Mail hosts are entities of their own, so addresses of one host stay on one host.
 
-Distinctness is checked over the corpus: the distinct entities and their surrogates are compared by Spark;
+Distinctness is checked over the corpus: the distinct entities and their surrogates are compared by Spark, names
+of all kinds with each other;
 of entities with one surrogate all but the first, and those whose surrogate is itself an entity, draw
 again until none is left. Only the entities that had to draw again are joined back to their documents.
 
@@ -114,6 +116,10 @@ def entities(text: str | None) -> list[tuple[int, int, str, str]]:
                 which = "family" if k == len(parts) - 1 else "given-" + gender
                 names[part[0]] = which
                 found.append((at + part.start(), at + part.end(), which, part[0].lower()))
+    # One given name is one entity in a text: where some title tells its gender, that holds for all its mentions.
+    told = {c: kind for _, _, kind, c in reversed(found) if kind in ("given-m", "given-f")}
+    found = [(a, b, told.get(c, kind) if kind.startswith("given") else kind, c) for a, b, kind, c in found]
+    names = {n: told.get(n.lower(), kind) if kind.startswith("given") else kind for n, kind in names.items()}
     if names:
         for m in re.finditer(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(names, key=len, reverse=True)))})(?!\w)", text):
             if not any(s < m.end() and m.start() < e for s, e, _, _ in found):
@@ -221,18 +227,22 @@ def drawn(entities_: DataFrame, key: bytes) -> DataFrame:
     def draw_again(kind: pd.Series, canonical: pd.Series, draw: pd.Series) -> pd.Series:
         return pd.Series([surrogate(key, k, c, d) for k, c, d in zip(kind, canonical, draw)], dtype=object)
 
+    # Names of all kinds share one space: no family name may look like another person's given name.
+    space = F.when(F.col("kind").startswith("given") | (F.col("kind") == "family"), F.lit("name")).otherwise(F.col("kind")).alias("space")
+    entities_ = entities_.withColumn("space", space)
+    real = entities_.select("space", F.col("canonical").alias("new"), F.lit(True).alias("real")).distinct()
     now = stored(entities_.withColumn("draw", F.lit(0)).withColumn("new", draw_again("kind", "canonical", F.lit(0))))
     for _ in range(MOST_DRAWS):
-        first = now.groupBy("kind", "new").agg(F.min(F.struct("draw", "canonical")).alias("first"), F.count(F.lit(1)).alias("n"))
-        clash = first.join(entities_.select("kind", F.col("canonical").alias("new"), F.lit(True).alias("real")), ["kind", "new"], "left") \
+        first = now.groupBy("space", "new").agg(F.min(F.struct("draw", "canonical")).alias("first"), F.count(F.lit(1)).alias("n"))
+        clash = first.join(real, ["space", "new"], "left") \
             .filter("n > 1 OR real")
-        clash = stored(clash.select("kind", "new", F.when(F.col("real"), None).otherwise(F.col("first.canonical")).alias("keeper"), F.lit(True).alias("clashes")))
+        clash = stored(clash.select("space", "new", F.when(F.col("real"), None).otherwise(F.col("first.canonical")).alias("keeper"), F.lit(True).alias("clashes")))
         if clash.isEmpty():
             return now.filter("draw > 0").select("kind", "canonical", "draw")
-        told = now.join(clash, ["kind", "new"], "left")
+        told = now.join(clash, ["space", "new"], "left")
         again = F.coalesce("clashes", F.lit(False)) & ~F.coalesce(F.col("keeper") == F.col("canonical"), F.lit(False))
-        moved = told.filter(again).select("kind", "canonical", (F.col("draw") + 1).alias("draw")).withColumn("new", draw_again("kind", "canonical", "draw"))
-        now = stored(told.filter(~again).select("kind", "canonical", "draw", "new").unionByName(moved))
+        moved = told.filter(again).select("kind", "canonical", "space", (F.col("draw") + 1).alias("draw")).withColumn("new", draw_again("kind", "canonical", "draw"))
+        now = stored(told.filter(~again).select("kind", "canonical", "space", "draw", "new").unionByName(moved))
     raise ValueError(f"surrogates still clash after {MOST_DRAWS} draws: too many entities for their format")
 
 

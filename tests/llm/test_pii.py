@@ -83,3 +83,14 @@ def test_impossible_format_is_reported(spark, documents, monkeypatch):
 def test_secrets_of_letters_only(name):
     value = "AbCdEfGhIjKlMnOpQrSt"
     assert [e[2] for e in pii.entities(f"x {name} = '{value}' y")] == ["secret"] and pii.entities(f"x {name}s{value} y") == []
+
+
+def test_one_name_is_one_entity_and_names_of_all_kinds_stay_apart(spark):
+    text = "Dr. John Smith met Mr. John Smith, and John left."
+    assert {(kind, c) for *_, kind, c in pii.entities(text)} == {("given-m", "john"), ("family", "smith")}
+    names = [f"{a}{b}{c}o" for a in "bcdfghjklm" for b in "aeiou" for c in "nprst"] + [f"w{a}{b}x" for a in "bcdfghjklm" for b in "aeiou"]
+    rows = [(kind, f"{n}{kind[-1]}") for n in names for kind in ("given-m", "given-f", "given-n", "family")]
+    again = {(r.kind, r.canonical): r.draw for r in pii.drawn(spark.createDataFrame(rows, "kind string, canonical string"), b"k").collect()}
+    stand_ins = [pii.surrogate(b"k", kind, c, again.get((kind, c), 0)) for kind, c in rows]
+    assert len(set(stand_ins)) == len(rows) and not set(stand_ins) & {c for _, c in rows}
+    assert len({pii.surrogate(b"k", *row, 0) for row in rows}) < len(rows)  # first draws do meet
