@@ -127,7 +127,7 @@ def latency_summary(df: DataFrame, delay_us: str, by: Sequence[str] = ()) -> Dat
     figures = exact_quantiles(df, by, delay_us, {"median_s": (0.5, "linear"), "p95_s": (0.95, "linear")})
     us = F.lit(1e6)
     return figures.select(
-        *by, "n", (F.col("sum") / F.col("n") / us).alias("mean_s"), (F.col("min") / us).alias("min_s"),
+        *by, "n", (F.col("sum").cast("double") / F.col("n") / us).alias("mean_s"), (F.col("min") / us).alias("min_s"),
         (F.col("max") / us).alias("max_s"), (F.col("median_s") / us).alias("median_s"), (F.col("p95_s") / us).alias("p95_s"))
 
 

@@ -68,6 +68,9 @@ def row_numbers(df: DataFrame, by: Sequence[str], slice_: Column, order: Sequenc
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, quantiles: dict[str, tuple[float, str]]) -> DataFrame:
     """Exact quantiles of a BIGINT column per group: {output: (q, method)}, with n, min, max and sum.
 
+    The sum is a DECIMAL(38,0): that of a few million delays in microseconds is beyond a BIGINT, and so
+    is what adds up on the way to it when negative values come first.
+
     ``linear`` interpolates between the two neighbours; ``lower`` takes the element at
     floor(q * (n - 1)). Rows shrink to counts per value first. The position of a value is then the
     sum of three running counts: over value >> 32 in the group, over value >> 16 in that, over the
@@ -84,7 +87,7 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, quantiles: dic
 
     near = counts.groupBy(*by, "_far", "_near").agg(
         F.sum("_c").alias("_c"), F.min("_v").alias("min"), F.max("_v").alias("max"),
-        F.sum(F.col("_v") * F.col("_c")).alias("sum"))
+        F.sum(F.col("_v").cast("decimal(19,0)") * F.col("_c")).alias("sum"))
     far = near.groupBy(*by, "_far").agg(
         F.sum("_c").alias("_c"), F.min("min").alias("min"), F.max("max").alias("max"), F.sum("sum").alias("sum"))
     group = Window.partitionBy(*(by or [F.lit(0)]))
