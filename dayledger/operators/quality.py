@@ -43,11 +43,12 @@ def all_matches(rules: Sequence[Rule]) -> Column:
 
 
 def quarantine(df: DataFrame, domain: str, key: Column, rules: Sequence[Rule], raw: Mapping[str, str | Column],
-               mode: str = "first") -> DataFrame:
+               mode: str = "first", keep: Mapping[str, Column] | None = None) -> DataFrame:
     """Flagged rows as (domain, reason, family, key, raw row as JSON).
 
     ``first``: one reason per row, the first in priority order. ``all``: one row per reason.
-    Reason, family and filter come from the one rule list; the scan needs no shuffle.
+    Reason, family and filter come from the one rule list; the scan needs no shuffle. ``keep`` puts
+    typed columns beside the raw row, so that who needs these alone has no JSON written and parsed.
     """
     if mode == "first":
         flagged = df.withColumn("_hit", first_match(rules)).where(F.col("_hit").isNotNull())
@@ -55,7 +56,8 @@ def quarantine(df: DataFrame, domain: str, key: Column, rules: Sequence[Rule], r
         flagged = df.withColumn("_hit", F.explode(all_matches(rules)))
     return flagged.select(
         F.lit(domain).alias("domaine"), F.col("_hit.reason").alias("motif_anomalie"),
-        F.col("_hit.family").alias("famille"), key.alias("cle_metier"), S.raw_json(raw).alias("donnee_brute"))
+        F.col("_hit.family").alias("famille"), key.alias("cle_metier"), S.raw_json(raw).alias("donnee_brute"),
+        *[c.alias(name) for name, c in (keep or {}).items()])
 
 
 def family_of(reason: Column | str, families: Mapping[str, Sequence[str]], default: Column | str) -> Column:

@@ -214,6 +214,11 @@ def dimension_tables(src: Sources) -> dict[str, DataFrame]:
 # -- quarantine ------------------------------------------------------------------------------------
 
 
+def _day(name: str | None, value: Column | None = None) -> dict[str, Column]:
+    """The day of a quarantine row beside its raw row, if asked for by name; NULL in a domain without days."""
+    return {} if name is None else {name: F.lit(None).cast("date") if value is None else value}
+
+
 def raw_services(src: Sources) -> DataFrame:
     """Service lines with their invoice, before any default: a NULL is what the rules look for."""
     joined = enrich.join_lines(src["services"], src["invoices"], "FACTURE_NUMERO")
@@ -241,20 +246,20 @@ def service_rules(max_amount: float = MAX_AMOUNT, acts: Sequence[str] = VALID_AC
     ]
 
 
-def service_quarantine(rows: DataFrame, rules: Sequence[Rule] | None = None, mode: str = "first") -> DataFrame:
+def service_quarantine(rows: DataFrame, rules: Sequence[Rule] | None = None, mode: str = "first", day: str | None = None) -> DataFrame:
     raw = {c: c for c in rows.columns if c != "jour"}
     raw["jour_soins"] = F.col("jour").cast("string")
     return quarantine(rows, "prestation", S.business_key("facture_numero", "prestation_code"),
-                      rules or service_rules(), raw, mode)
+                      rules or service_rules(), raw, mode, _day(day, F.col("jour")))
 
 
-def undated_invoices(invoices: DataFrame) -> DataFrame:
+def undated_invoices(invoices: DataFrame, day: str | None = None) -> DataFrame:
     raw = {
         "facture_numero": "FACTURE_NUMERO", "type_facture_code": "TYPE_FACTURE_CODE", "regime_code": "REGIME_CODE",
         "centre_sante_code": "CENTRE_SANTE_CODE", "centre_sante_type_libelle": "CENTRE_SANTE_TYPE_LIBELLE",
         "personne_uuid": "PERSONNE_UUID", "facture_date_soins_brute": F.col("FACTURE_DATE_SOINS").cast("string")}
     rules = [Rule("date_soins_manquante", "DATES", F.col("jour_soins").isNull())]
-    return quarantine(invoices, "facture", F.col("FACTURE_NUMERO"), rules, raw)
+    return quarantine(invoices, "facture", F.col("FACTURE_NUMERO"), rules, raw, keep=_day(day))
 
 
 def invoice_rules(centre_types: Sequence[str] = VALID_CENTRE_TYPES, backdated: int = BACKDATED_DAYS) -> list[Rule]:
@@ -267,24 +272,24 @@ def invoice_rules(centre_types: Sequence[str] = VALID_CENTRE_TYPES, backdated: i
     ]
 
 
-def invoice_quarantine(invoices: DataFrame, rules: Sequence[Rule] | None = None, mode: str = "first") -> DataFrame:
+def invoice_quarantine(invoices: DataFrame, rules: Sequence[Rule] | None = None, mode: str = "first", day: str | None = None) -> DataFrame:
     raw = {
         "facture_numero": "FACTURE_NUMERO", "centre_sante_code": "CENTRE_SANTE_CODE",
         "centre_sante_type_code": "CENTRE_SANTE_TYPE_CODE", "jour_soins": F.col("jour_soins").cast("string"),
         "date_creation_facture": F.date_format("date_creation_facture", "yyyy-MM-dd HH:mm:ss.SSS")}
     dated = invoices.where(F.col("jour_soins").isNotNull() & F.col("date_creation_facture").isNotNull())
-    return quarantine(dated, "facture", F.col("FACTURE_NUMERO"), rules or invoice_rules(), raw, mode)
+    return quarantine(dated, "facture", F.col("FACTURE_NUMERO"), rules or invoice_rules(), raw, mode, _day(day, F.col("jour_soins")))
 
 
-def agent_quarantine(agents: DataFrame) -> DataFrame:
+def agent_quarantine(agents: DataFrame, day: str | None = None) -> DataFrame:
     raw = {
         "agent_code": "AGENT_CODE", "agent_nom": "AGENT_NOM", "agent_prenoms": "AGENT_PRENOMS",
         "agent_email": "AGENT_EMAIL", "agent_type_code": "AGENT_TYPE_CODE"}
     rules = [Rule("EMAIL_INVALIDE", "FORMAT", ~F.col("AGENT_EMAIL").like("%@%.%"))]
-    return quarantine(agents, "agent", F.col("AGENT_CODE"), rules, raw)
+    return quarantine(agents, "agent", F.col("AGENT_CODE"), rules, raw, keep=_day(day))
 
 
-def request_quarantine(requests: DataFrame, answers: DataFrame, amounts: DataFrame, mode: str = "first") -> DataFrame:
+def request_quarantine(requests: DataFrame, answers: DataFrame, amounts: DataFrame, mode: str = "first", day: str | None = None) -> DataFrame:
     """``amounts`` is one row per request (see ``request_amounts``)."""
     key = "ENTENTE_PREALABLE_ID"
     rows = (requests.join(answers.select(key, "STATUT_CODE", "AGENT_CODE"), key, "left")
@@ -297,7 +302,8 @@ def request_quarantine(requests: DataFrame, answers: DataFrame, amounts: DataFra
         Rule("type_demande_manquant", "FORMAT", F.col("TYPE_DEMANDE_CODE").isNull()),
         Rule("montant_engage_negatif", "MONTANTS", F.col("amount") < 0),
     ]
-    return quarantine(rows, "entente_prealable", F.col(key).cast("string"), rules, raw, mode)
+    asked = F.substring("ENTENTE_PREALABLE_DATE_DEBUT", 1, 10).cast("date")
+    return quarantine(rows, "entente_prealable", F.col(key).cast("string"), rules, raw, mode, _day(day, asked))
 
 
 def person_rules(as_of: str | None = None) -> list[Rule]:
@@ -316,12 +322,12 @@ def person_rules(as_of: str | None = None) -> list[Rule]:
     ]
 
 
-def person_quarantine(persons: DataFrame, as_of: str | None = None, mode: str = "first") -> DataFrame:
+def person_quarantine(persons: DataFrame, as_of: str | None = None, mode: str = "first", day: str | None = None) -> DataFrame:
     raw = {
         "personne_uuid": "PERSONNE_UUID", "assure_numero_identifiant": "ASSURE_NUMERO_IDENTIFIANT",
         "numero_secu": "NUMERO_SECU", "assure_nom": "ASSURE_NOM", "assure_prenoms": "ASSURE_PRENOMS",
         "assure_date_naissance": F.col("date_naissance").cast("string")}
-    return quarantine(persons, "assure", F.col("PERSONNE_UUID"), person_rules(as_of), raw, mode)
+    return quarantine(persons, "assure", F.col("PERSONNE_UUID"), person_rules(as_of), raw, mode, _day(day))
 
 
 def quarantine_table(src: Sources, as_of: str | None = None, mode: str = "first") -> DataFrame:

@@ -36,8 +36,8 @@ def _service_rows(spark: SparkSession, d: str) -> DataFrame:
     return claims.raw_services({"services": services, "invoices": invoices})
 
 
-def _service_quarantine(spark: SparkSession, d: str, mode: str = "first") -> DataFrame:
-    return claims.service_quarantine(_service_rows(spark, d), claims.service_rules(90_000, ["A", "N"]), mode)
+def _service_quarantine(spark: SparkSession, d: str, mode: str = "first", day: str | None = None) -> DataFrame:
+    return claims.service_quarantine(_service_rows(spark, d), claims.service_rules(90_000, ["A", "N"]), mode, day)
 
 
 _SERVICE_ROWS = """src AS (
@@ -105,7 +105,7 @@ _INVOICE_RULES = (
 )
 
 
-def _invoice_quarantine(spark: SparkSession, d: str) -> DataFrame:
+def _invoice_quarantine(spark: SparkSession, d: str, day: str | None = None) -> DataFrame:
     """Creation date = first shipment of the order, taken before the join."""
     made = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.min("l_shipdate").alias("date_creation_facture"))
@@ -113,7 +113,7 @@ def _invoice_quarantine(spark: SparkSession, d: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("FACTURE_NUMERO"), F.col("o_orderdate").cast("date").alias("jour_soins"),
         "date_creation_facture", F.col("o_orderpriority").alias("CENTRE_SANTE_TYPE_CODE"),
         F.lit(None).cast("string").alias("CENTRE_SANTE_CODE"))
-    return claims.invoice_quarantine(rows, claims.invoice_rules(["1-URGENT", "2-HIGH"]))
+    return claims.invoice_quarantine(rows, claims.invoice_rules(["1-URGENT", "2-HIGH"]), day=day)
 
 
 @query(with_(_INVOICE_ROWS) + f"""SELECT 'facture' AS domaine, {_case(_INVOICE_RULES, 0)} AS motif_anomalie,
@@ -143,7 +143,7 @@ def quarantine_persons(spark: SparkSession, d: str) -> DataFrame:
     return quality.without_raw_row(_person_quarantine(spark, d))
 
 
-def _person_quarantine(spark: SparkSession, d: str) -> DataFrame:
+def _person_quarantine(spark: SparkSession, d: str, day: str | None = None) -> DataFrame:
     key = F.col("c_custkey")
     name = (F.when(key % 40 == 0, "").when(key % 41 == 0, F.concat("c_name", F.lit("?"))).when(key % 43 == 0, "{{7*7}}")
             .when(key % 47 == 0, F.concat(F.lit("Ã"), "c_name")).otherwise(F.col("c_name")))
@@ -153,7 +153,7 @@ def _person_quarantine(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.when(F.col("c_acctbal") < 0, "384").otherwise("394"), digits, F.lit("1")).alias("NUMERO_SECU"),
         name.alias("ASSURE_NOM"), F.lit(None).cast("string").alias("ASSURE_PRENOMS"),
         F.date_add(F.lit("1895-01-01").cast("date"), (key % 43000).cast("int") * 30).alias("date_naissance"))
-    return claims.person_quarantine(rows, star.AS_OF)
+    return claims.person_quarantine(rows, star.AS_OF, day=day)
 
 
 @query("""SELECT 'agent' AS domaine, 'EMAIL_INVALIDE' AS motif_anomalie, 'FORMAT' AS famille,
@@ -161,11 +161,15 @@ def _person_quarantine(spark: SparkSession, d: str) -> DataFrame:
   '","agent_prenoms":null,"agent_email":"' || m || '","agent_type_code":"accueil"}' AS donnee_brute
   FROM (SELECT *, s_name || CASE WHEN s_acctbal < 3000 THEN '.ci' ELSE '@x.ci' END AS m FROM supplier) WHERE m NOT LIKE '%@%.%'""")
 def quarantine_agents(spark: SparkSession, d: str) -> DataFrame:
+    return _agent_quarantine(spark, d)
+
+
+def _agent_quarantine(spark: SparkSession, d: str, day: str | None = None) -> DataFrame:
     rows = table(spark, d, "supplier").select(
         F.col("s_suppkey").cast("string").alias("AGENT_CODE"), F.col("s_name").alias("AGENT_NOM"),
         F.lit(None).cast("string").alias("AGENT_PRENOMS"), F.lit("accueil").alias("AGENT_TYPE_CODE"),
         F.concat("s_name", F.when(F.col("s_acctbal") < 3000, ".ci").otherwise("@x.ci")).alias("AGENT_EMAIL"))
-    return claims.agent_quarantine(rows)
+    return claims.agent_quarantine(rows, day)
 
 
 @query("""SELECT 'entente_prealable' AS domaine, CASE WHEN o_orderstatus = 'P' THEN 'type_demande_manquant' ELSE 'montant_engage_negatif' END AS motif_anomalie,
@@ -176,7 +180,7 @@ def quarantine_requests(spark: SparkSession, d: str) -> DataFrame:
     return quality.without_raw_row(_request_quarantine(spark, d))
 
 
-def _request_quarantine(spark: SparkSession, d: str) -> DataFrame:
+def _request_quarantine(spark: SparkSession, d: str, day: str | None = None) -> DataFrame:
     key = "ENTENTE_PREALABLE_ID"
     asked = table(spark, d, "orders").select(
         F.col("o_orderkey").alias(key), F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("TYPE_DEMANDE_CODE"),
@@ -185,7 +189,7 @@ def _request_quarantine(spark: SparkSession, d: str) -> DataFrame:
                                              F.col("agent_code").alias("AGENT_CODE"))
     acts = table(spark, d, "lineitem").select(F.col("l_orderkey").alias(key),
                                               (S.money("l_extendedprice") - 50000).alias("ACTE_MEDICAL_MONTANT_CMU"))
-    return claims.request_quarantine(asked, answered, claims.request_amounts({"acts": acts}))
+    return claims.request_quarantine(asked, answered, claims.request_amounts({"acts": acts}), day=day)
 
 
 @query("""SELECT CAST(l_orderkey AS VARCHAR) AS facture_numero, l_returnflag AS prestation_code,
@@ -281,10 +285,10 @@ _FLAGGED_REQUESTS = ANSWERS + """, req_q AS (
   WHERE o_orderstatus = 'P' OR m.amount < 0)"""
 
 
-def _all_raw(spark: SparkSession, d: str) -> DataFrame:
+def _all_raw(spark: SparkSession, d: str, day: str | None = None) -> DataFrame:
     """The quarantine table: flagged rows of all domains, raw rows included."""
-    return reshape.stack([_service_quarantine(spark, d), _invoice_quarantine(spark, d), claims.undated_invoices(_declared_invoices(spark, d)),
-                          _person_quarantine(spark, d), quarantine_agents(spark, d), _request_quarantine(spark, d)])
+    return reshape.stack([_service_quarantine(spark, d, day=day), _invoice_quarantine(spark, d, day), claims.undated_invoices(_declared_invoices(spark, d), day),
+                          _person_quarantine(spark, d, day), _agent_quarantine(spark, d, day), _request_quarantine(spark, d, day)])
 
 
 @query(with_(_PERSON_ROWS, _FLAGGED_PERSONS) + """SELECT 'assure' AS domaine, motif_anomalie, famille, cle_metier,
@@ -338,9 +342,9 @@ _DATED_DOMAINS = with_(_SERVICE_Q, _INVOICE_ROWS, _FLAGGED_INVOICES, _PERSON_ROW
 
 
 def _dated_domains(spark: SparkSession, d: str) -> DataFrame:
-    """The quarantine with the day of each row, as its raw row has it: care, else request; none for persons and agents."""
-    day = F.coalesce(S.json_text("donnee_brute", "jour_soins"), F.substring(S.json_text("donnee_brute", "date_debut"), 1, 10))
-    return _all_raw(spark, d).withColumn("jour", day.cast("date"))
+    """The quarantine with the day of each row, as its raw row has it: care, else request; none for persons and agents.
+    The day is kept beside the raw row, as taking it out of the JSON has every line written and parsed twice."""
+    return _all_raw(spark, d, "jour")
 
 
 @query(_DATED_DOMAINS + "SELECT domaine, jour, famille, motif_anomalie, count(*) AS nombre_lignes FROM dated GROUP BY ALL")
