@@ -7,6 +7,7 @@ import struct
 import zlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from edge_cases import ODD, documents  # noqa: F401
 from hypothesis import given, settings
@@ -20,6 +21,9 @@ LIBRARY = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 ENCODING = queries.byte_bpe().encoding()
 
 
+RUNS = ["a b\nc\u3000d ", "a  b", "a\u1680\u205fb", "a\u202f\x85b", " \n\n x  1\t\t٣ ", "  ", "\u2028 \u3000é", "a \x1c b \x1f\x1fc", "x  <|endoftext|>  y", "\x85\x85'll", "don't  's", None, ""]
+
+
 def library_ids(text):
     return LIBRARY.encode(text or "", add_special_tokens=False).ids
 
@@ -52,6 +56,25 @@ def check(rows, capacity):
     return len(by_sequence)
 
 
+def packed_ids(texts):
+    return [list(struct.unpack(f"<{len(ids) // 4}I", ids)) for ids in queries.byte_bpe().ids(pa.array(texts, pa.string()))]
+
+
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from("ab 's\t\n\x1c\x85\u2028\u3000é1"), st.characters(codec="utf-8")), max_size=40), min_size=1, max_size=4))
+@settings(max_examples=400, deadline=None)
+def test_ids_by_either_pattern_are_those_of_the_library(texts):
+    texts = [*texts, "<|endoftext|>".join(texts)]
+    assert packed_ids(texts) == [library_ids(t) for t in texts]
+
+
+def test_ids_of_texts_with_and_without_runs_of_white_space():
+    assert packed_ids(RUNS) == [library_ids(t) for t in RUNS]
+
+
+def test_a_process_reads_its_vocabulary_once():
+    assert queries.byte_bpe().encoding() is queries.byte_bpe().encoding()
+
+
 @given(st.text(alphabet=st.sampled_from("ab 'sé  \x1c\x85\t\n\r<|>1٣世界🙂́"), max_size=60))
 @settings(max_examples=400, deadline=None)
 def test_ids_are_those_of_the_tokenizers_library(text):
